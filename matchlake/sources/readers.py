@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from matchlake.catalog import DATASETS, dataset_path
 
@@ -23,11 +24,17 @@ def read_json_documents(spark: SparkSession, path: str, schema: str) -> DataFram
 def read_csv(spark: SparkSession, path: str, schema: str, partitions: int | None = None) -> DataFrame:
     """Delimited rows with a header, gzip by file extension; the header names choose the columns.
 
-    A gzip file is one task, so ``partitions`` spreads its rows after reading.
+    A column the header lacks and a value that is not of its type are NULL. A gzip
+    file is one task, so ``partitions`` spreads its rows after reading.
     """
-    header = spark.read.option("header", True).csv(path)
-    wanted = spark.createDataFrame([], schema).schema
-    rows = header.select(*(header[f.name].try_cast(f.dataType).alias(f.name) for f in wanted))
+    text = spark.read.option("header", True).csv(path)
+    present = set(text.columns)
+    rows = text.select(
+        *(
+            (F.col(f.name) if f.name in present else F.lit(None)).try_cast(f.dataType).alias(f.name)
+            for f in spark.createDataFrame([], schema).schema
+        )
+    )
     return rows.repartition(partitions) if partitions else rows
 
 
