@@ -354,6 +354,12 @@ def oracle_queries() -> dict[str, str]:
                       goal_difference, source), season || '-12-31' AS last_updated
                FROM standing WHERE source = 'api_football'""",
         ),
+        "union_standings": using(
+            "standing",
+            f"""SELECT team_id, CASE WHEN source = 'api_football' THEN league
+                       ELSE {CODES.format("upper(substr(league, 1, 2))")} END AS league,
+                       season, rank, points, goal_difference, source FROM standing""",
+        ),
         "dedupe_keys": first_per(
             "l_orderkey, l_linenumber",
             """l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax,

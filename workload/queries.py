@@ -155,7 +155,7 @@ def league_slice(spark, sf_dir):
 def sink_partitioned_roundtrip(spark, sf_dir):
     """Unified matches written by league and season, then read back."""
     landed = shared_folder(spark, "matches")
-    sources.write_files(views.fact_matches(spark, sf_dir), landed, "parquet", ("league", "season"))
+    sources.write_files(views.matches(spark, sf_dir), landed, "parquet", ("league", "season"))
     return sources.read_parquet(spark, landed)
 
 
@@ -312,6 +312,13 @@ def fact_standings(spark, sf_dir):
     return tables.fact_standings_a(views.raw_standings_a(spark, sf_dir))
 
 
+@query
+def union_standings(spark, sf_dir):
+    """Both vendors' standings, through their shapes, stacked."""
+    b = tables.fact_standings_b(views.raw_standings_b(spark, sf_dir), leagues=LEAGUES)
+    return tables.standings(tables.fact_standings_a(views.raw_standings_a(spark, sf_dir)), b)
+
+
 @query
 def dedupe_keys(spark, sf_dir):
     """One order line per order and line number, the smallest by its other columns."""
@@ -384,7 +391,7 @@ def resolve_final(spark, sf_dir):
 
 
 def enriched(spark, sf_dir):
-    return operators.enrich(views.fact_matches(spark, sf_dir), views.club_links(spark, sf_dir))
+    return operators.enrich(views.matches(spark, sf_dir), views.club_links(spark, sf_dir))
 
 
 def training_sets(spark, sf_dir):
@@ -399,7 +406,7 @@ def enrich_two_sided(spark, sf_dir):
 @query
 def enrich_compat(spark, sf_dir):
     """The same with the earlier jobs' keys: teams of both vendors cross over, per season."""
-    matches = views.fact_matches(spark, sf_dir).select("match_id", "source", "league", "home_team_id", "away_team_id")
+    matches = views.matches(spark, sf_dir).select("match_id", "source", "league", "home_team_id", "away_team_id")
     links = operators.teams_of_season(views.club_links(spark, sf_dir), None)
     both = operators.enrich(matches, links, compat=True)
     return operators.row_counts(both, "source", "league", "home_transfermarkt_club_name", "away_transfermarkt_club_id")
@@ -407,7 +414,7 @@ def enrich_compat(spark, sf_dir):
 
 @query
 def standings_join(spark, sf_dir):
-    matches = views.fact_matches(spark, sf_dir)
+    matches = views.matches(spark, sf_dir)
     return operators.with_standings(matches, views.standings(spark, sf_dir))
 
 
@@ -424,7 +431,7 @@ def future_dataset(spark, sf_dir):
 @query
 def undecided_matches(spark, sf_dir):
     """Matches outside both datasets, per outcome: those whose away goals alone are missing."""
-    matches = views.fact_matches(spark, sf_dir)
+    matches = views.matches(spark, sf_dir)
     away = F.when(F.col("home_goals") != 4, F.col("away_goals"))
     damaged = matches.withColumns(
         {"away_goals": away, "result": outcome_from_score(F.col("home_goals"), away)}
@@ -437,12 +444,12 @@ def undecided_matches(spark, sf_dir):
 @query
 def unpivot_roles(spark, sf_dir):
     roles = ["team_id", "team_name", "team_logo", "goals"]
-    return operators.stack_roles(views.fact_matches(spark, sf_dir), ["match_id", "league", "season", "source"], roles)
+    return operators.stack_roles(views.matches(spark, sf_dir), ["match_id", "league", "season", "source"], roles)
 
 
 @query
 def team_stats_latest(spark, sf_dir):
-    logos = operators.logo_per_team(views.fact_matches(spark, sf_dir))
+    logos = operators.logo_per_team(views.matches(spark, sf_dir))
     return operators.latest_team_stats(training_sets(spark, sf_dir)[0], logos)
 
 
@@ -464,7 +471,7 @@ def logo_per_team(spark, sf_dir):
 
 def predictions(spark, sf_dir):
     """Matches as prediction records, the outcome standing in for the forecast."""
-    matches = views.fact_matches(spark, sf_dir)
+    matches = views.matches(spark, sf_dir)
     forecast = forecast_label(target_of(F.col("result")))
     return matches.select(
         F.date_format("match_date", "yyyy-MM-dd HH:mm:ss").alias("fecha"),
@@ -623,7 +630,7 @@ def eval_metrics(spark, sf_dir):
 
 @query
 def dq_rowcounts(spark, sf_dir):
-    return operators.row_counts(views.fact_matches(spark, sf_dir), "league", "season", "source")
+    return operators.row_counts(views.matches(spark, sf_dir), "league", "season", "source")
 
 
 @query
@@ -637,7 +644,7 @@ def dq_nonnull_counts(spark, sf_dir):
 
 @query
 def dq_duplicate_keys(spark, sf_dir):
-    return operators.duplicate_keys(views.fact_matches(spark, sf_dir), ["match_id", "source"])
+    return operators.duplicate_keys(views.matches(spark, sf_dir), ["match_id", "source"])
 
 
 @query

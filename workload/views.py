@@ -7,10 +7,12 @@ the league. Customers are also players of their nation's club.
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from matchlake.functions import name_key
+from matchlake.functions import name_key, outcome_from_score
 from matchlake.operators import stack_roles, team_values
 from matchlake.plans import tables
 from matchlake.plans.fields import SOURCE_A, SOURCE_B
@@ -19,7 +21,9 @@ LEAGUES = {"AF": "africa", "AM": "america", "AS": "asia", "EU": "europe"}
 FIRST_VALUED_SEASON = 1999
 
 
+@cache
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A test table; its footer is read once per session."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -28,21 +32,29 @@ def iso(day: Column, zone: str) -> Column:
 
 
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every order line with both nations, before any vendor's shape is put on it."""
-    region = table(spark, sf_dir, "region")
+    """Every order line with both nations, before any vendor's shape is put on it.
+
+    Each dimension is joined as the file it is, so that Spark sees its true size:
+    the estimate of a joined dimension is a product, and above some size the
+    facts would be broadcast in its place.
+    """
     nation = table(spark, sf_dir, "nation")
-    home = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select(
-        F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("home_team_name"), "r_name"
-    )
+    home = nation.select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("home_team_name"), "n_regionkey")
     away = nation.select(F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("away_team_name"))
-    customers = table(spark, sf_dir, "customer").join(home, "c_nationkey")
-    suppliers = table(spark, sf_dir, "supplier").join(away, "s_nationkey")
-    orders = table(spark, sf_dir, "orders").join(customers, F.col("o_custkey") == F.col("c_custkey"))
-    lineitem = table(spark, sf_dir, "lineitem").join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
+    region = table(spark, sf_dir, "region")
+    customer, supplier = table(spark, sf_dir, "customer"), table(spark, sf_dir, "supplier")
+    orders = table(spark, sf_dir, "orders").join(customer, F.col("o_custkey") == F.col("c_custkey"))
+    lineitem = table(spark, sf_dir, "lineitem").join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
+    joined = (
+        lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        .join(home, "c_nationkey")
+        .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
+        .join(away, "s_nationkey")
+    )
     played = F.col("o_orderstatus") != "P"
     home_goals = F.when(played, F.col("l_quantity").cast("bigint") % 5)
     away_goals = F.when(played, (F.col("l_linenumber") % 4).cast("bigint"))
-    return lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
+    return joined.select(
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("match_id"),
         F.col("o_orderdate").alias("match_date"),
         F.lower("r_name").alias("league"),
@@ -219,8 +231,8 @@ def raw_teams_b(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def records(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
-    """Results of each team, league and season: overall, at home and away."""
+def records(matches: DataFrame) -> DataFrame:
+    """Results of each team, league, season and vendor: overall, at home and away."""
 
     def side(role: str, other: str) -> Column:
         return F.struct(
@@ -232,7 +244,7 @@ def records(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
         )
 
     both = F.explode(F.array(side("home", "away"), side("away", "home"))).alias("side")
-    sides = lines_of(spark, sf_dir, source).select("league", "season", both).select("league", "season", "side.*")
+    sides = matches.select("source", "league", "season", both).select("source", "league", "season", "side.*")
     counted = []
     for suffix, chosen in (("all", F.lit(True)), ("home", F.col("role") == "home"), ("away", F.col("role") == "away")):
         scored, conceded = F.col("scored"), F.col("conceded")
@@ -244,8 +256,8 @@ def records(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
             F.coalesce(F.sum(F.when(chosen, scored)), F.lit(0)).alias(f"goals_for_{suffix}"),
             F.coalesce(F.sum(F.when(chosen, conceded)), F.lit(0)).alias(f"goals_against_{suffix}"),
         ]
-    results = sides.groupBy("league", "season", "team_id", "team_name").agg(*counted)
-    table_order = Window.partitionBy("league", "season").orderBy(
+    results = sides.groupBy("source", "league", "season", "team_id", "team_name").agg(*counted)
+    table_order = Window.partitionBy("source", "league", "season").orderBy(
         F.desc("points"), F.desc("goal_difference"), "team_id"
     )
     return results.withColumns(
@@ -271,7 +283,7 @@ def raw_standings_a(spark: SparkSession, sf_dir: str) -> DataFrame:
         ).alias(suffix)
 
     name = F.col("team_name")
-    return records(spark, sf_dir, SOURCE_A).select(
+    return records(lines_of(spark, sf_dir, SOURCE_A)).select(
         F.struct(F.col("team_id").alias("id"), name.alias("name"), logo(name).alias("logo")).alias("team"),
         "rank",
         "points",
@@ -304,7 +316,7 @@ def raw_standings_b(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     overall = group("TOTAL", F.col("points"))
     at_home = group("HOME", F.col("wins_home") * 3 + F.col("draws_home"))
-    return records(spark, sf_dir, SOURCE_B).select(
+    return records(lines_of(spark, sf_dir, SOURCE_B)).select(
         F.struct(F.upper(F.substring("league", 1, 2)).alias("code")).alias("competition"),
         F.struct(F.concat(F.col("season").cast("string"), F.lit("-01-01")).alias("startDate")).alias("season"),
         F.array(overall, at_home).alias("standings"),
@@ -320,11 +332,38 @@ def fact_matches_b(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fact_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Both vendors' matches, through the vendors' shapes and back."""
+    """Both vendors' matches, taken through the vendors' shapes and unified."""
     unified = tables.fact_matches(fact_matches_a(spark, sf_dir), fact_matches_b(spark, sf_dir))
     return unified.withColumn("match_date", F.col("match_date").cast("timestamp_ntz"))
 
 
+def matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same table straight from the order lines, as the later jobs read it from storage."""
+    written = F.when(F.col("source") == SOURCE_A, iso(F.col("match_date"), "+00:00")).otherwise(
+        iso(F.col("match_date"), "Z")
+    )
+    return lines(spark, sf_dir).select(
+        "match_id",
+        written.alias("match_date_raw"),
+        "match_date",
+        "league",
+        "season",
+        "home_team_id",
+        "home_team_name",
+        logo(F.col("home_team_name")).alias("home_team_logo"),
+        "away_team_id",
+        "away_team_name",
+        logo(F.col("away_team_name")).alias("away_team_logo"),
+        "home_goals",
+        "away_goals",
+        "home_goals_halftime",
+        "away_goals_halftime",
+        "match_status",
+        outcome_from_score(F.col("home_goals"), F.col("away_goals")).alias("result"),
+        "source",
+    )
+
+
 def players(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers as players of their nation's club; the last order tells the last season."""
     last = (
@@ -369,9 +408,9 @@ def club_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def standings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Both vendors' standings, through the vendors' shapes and back."""
-    b = tables.fact_standings_b(raw_standings_b(spark, sf_dir), leagues=LEAGUES | {"MI": "middle east"})
-    return tables.standings(tables.fact_standings_a(raw_standings_a(spark, sf_dir)), b)
+    """Rank, points and goal difference of every team, league, season and vendor."""
+    columns = ("team_id", "league", "season", "source", "rank", "points", "goal_difference")
+    return records(lines(spark, sf_dir)).select(*columns)
 
 
 def named_teams(spark: SparkSession, sf_dir: str) -> DataFrame:
