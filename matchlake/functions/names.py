@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Removed as whole words, one after the other in this order,
-# because overlapping phrases depend on it ("club de futbol club" keeps "de").
-CLUB_PHRASES = (
+# Words and phrases that say nothing about a club, in order of removal.
+CLUB_WORDS = (
     "football club",
     "futbol club",
     "club de futbol",
@@ -19,6 +18,10 @@ CLUB_PHRASES = (
     "spvgg",
     "sa",
 )
+# Removing a word leaves its spaces, so no phrase arises from its neighbours and one
+# pass does for all. Only one pair of phrases overlaps against the order: "futbol
+# club" goes first, so "club de futbol" must leave its end to a following "club".
+CLUB_PATTERN = rf"\b(?:{'|'.join(CLUB_WORDS)})\b".replace("de futbol", r"de futbol(?! club\b)")
 
 ACCENTED = "áàâäãåéèêëíìîïóòôöõúùûüñçýÿ"
 PLAIN = "aaaaaaeeeeiiiiooooouuuuncyy"
@@ -37,6 +40,5 @@ def name_key(name: Column, fold_accents: bool = False) -> Column:
 def club_key(name: Column, fold_accents: bool = False) -> Column:
     """Club key: as the simple key, but punctuation separates words and club words go."""
     key = F.regexp_replace(_lowered(name, fold_accents), "[^a-z0-9 ]", " ")
-    for phrase in CLUB_PHRASES:
-        key = F.regexp_replace(key, rf"\b{phrase}\b", "")
-    return F.trim(F.regexp_replace(key, r"\s+", " "))
+    key = F.regexp_replace(key, CLUB_PATTERN, "")
+    return F.trim(F.regexp_replace(key, " +", " "))

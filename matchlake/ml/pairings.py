@@ -30,7 +30,7 @@ def find_teams(names: DataFrame, stats: DataFrame, lookup: str = "search") -> Da
     latest season, an equal name before a longer one. ``exact`` takes the equal name.
     Texts without a team are absent.
     """
-    asked = names.select("asked").dropna().distinct()
+    asked = names.select("asked").filter(F.lower("asked").isNotNull()).distinct()
     if lookup == "exact":
         return keep_one(asked.join(stats, F.col("asked") == F.col("team_name")), ["asked"], _preference(stats))
     if lookup != "search":
@@ -38,7 +38,7 @@ def find_teams(names: DataFrame, stats: DataFrame, lookup: str = "search") -> Da
     lowered = asked.withColumn("_wanted", F.lower("asked"))
     named = stats.withColumn("_name", F.lower("team_name"))
     found = best_holder(lowered, "_wanted", named, "_name", _preference(stats), min_length=0)
-    return lowered.join(found, "_wanted").drop("_wanted", "_name")
+    return found.drop("_wanted", "_name")
 
 
 def score_pairings(

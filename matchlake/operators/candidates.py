@@ -30,7 +30,7 @@ def _segment(length: Column, index: Column, k: int) -> tuple[Column, Column]:
 
 
 def _signature(role: int, length: Column, index: Column, piece: Column) -> Column:
-    return F.xxhash64(F.lit(role), length, index, piece).alias("signature")
+    return F.xxhash64(F.lit(role), length, index, piece)
 
 
 def _segments(names: DataFrame, role: int, k: int) -> DataFrame:
@@ -41,7 +41,7 @@ def _segments(names: DataFrame, role: int, k: int) -> DataFrame:
     return (
         names.filter(length > k)
         .select("name", F.explode(F.sequence(F.lit(0), F.lit(k))).alias("index"))
-        .select("name", _signature(role, length, index, F.substring(name, start, size)))
+        .select("name", _signature(role, length, index, F.substring(name, start, size)).alias("signature"))
     )
 
 
@@ -58,25 +58,25 @@ def _windows(names: DataFrame, role: int, k: int, min_gap: int) -> DataFrame:
         .select("name", "gap", F.explode(F.sequence(F.lit(0), F.lit(k))).alias("index"))
         .filter(left <= right)
         .select("name", "gap", "index", F.explode(F.sequence(left, right)).alias("at"))
-        .select("name", _signature(role, longer, index, F.substring(name, at, size)))
+        .select("name", _signature(role, longer, index, F.substring(name, at, size)).alias("signature"))
     )
 
 
 def _short(names: DataFrame, k: int) -> DataFrame:
     """Names of at most ``k`` characters are all within ``k`` edits of one another."""
-    role = F.lit(BOTH_SHORT)
-    return names.filter(F.length("name") <= k).select("name", _signature(BOTH_SHORT, role, role, F.lit("")))
+    signature = _signature(BOTH_SHORT, F.lit(k), F.lit(0), F.lit(""))
+    return names.filter(F.length("name") <= k).select("name", signature.alias("signature"))
 
 
-def _spread(signed: DataFrame, hot: DataFrame, own: str, other: str) -> DataFrame:
+def _spread(signed: DataFrame, shared: DataFrame, own: str, other: str) -> DataFrame:
     """Place each row in one band of its own side, and in every band of the other side."""
-    cells = signed.join(hot, "signature", "left").select(
+    met = signed.join(shared, "signature").distinct()
+    return met.select(
         "name",
         "signature",
-        F.pmod(F.xxhash64("name"), F.coalesce(F.col(own), F.lit(1))).alias(own),
-        F.explode(F.sequence(F.lit(0), F.coalesce(F.col(other), F.lit(1)) - 1)).alias(other),
+        F.pmod(F.xxhash64("name"), F.col(own)).alias(own),
+        F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(other) - 1)).alias(other),
     )
-    return cells.withColumn(other, F.col(other).cast("long"))
 
 
 def near_names(teams: DataFrame, clubs: DataFrame, k: int) -> DataFrame:
@@ -86,27 +86,27 @@ def near_names(teams: DataFrame, clubs: DataFrame, k: int) -> DataFrame:
     names is split into a grid of cells, each holding about ``CELL_SIDE`` names of
     either side, so no task gets such a group whole.
     """
+    # Every name becomes many signatures, which asks for more tasks than its bytes do.
+    tasks = int(teams.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    teams, clubs = teams.repartition(tasks), clubs.repartition(tasks)
     team_sides = [_segments(teams, TEAM_LONGER, k), _windows(teams, CLUB_LONGER, k, 1), _short(teams, k)]
     club_sides = [_windows(clubs, TEAM_LONGER, k, 0), _segments(clubs, CLUB_LONGER, k), _short(clubs, k)]
     # k = 0 leaves no shorter club side: its gaps would start above their end.
     if k == 0:
         team_sides.pop(1), club_sides.pop(1)
-    signed_teams = reduce(DataFrame.unionByName, team_sides).distinct()
-    signed_clubs = reduce(DataFrame.unionByName, club_sides).distinct()
+    signed_teams = reduce(DataFrame.unionByName, team_sides)
+    signed_clubs = reduce(DataFrame.unionByName, club_sides)
 
+    # Only signatures of both sides can give pairs; counting them also sizes the grid.
     team_load = signed_teams.groupBy("signature").agg(F.count(F.lit(1)).alias("n_teams"))
     club_load = signed_clubs.groupBy("signature").agg(F.count(F.lit(1)).alias("n_clubs"))
-    hot = (
-        team_load.join(club_load, "signature")
-        .filter(F.col("n_teams") * F.col("n_clubs") > CELL_SIDE * CELL_SIDE)
-        .select(
-            "signature",
-            F.ceil(F.col("n_teams") / CELL_SIDE).cast("int").alias("team_band"),
-            F.ceil(F.col("n_clubs") / CELL_SIDE).cast("int").alias("club_band"),
-        )
+    shared = team_load.join(club_load, "signature").select(
+        "signature",
+        F.ceil(F.col("n_teams") / CELL_SIDE).alias("team_band"),
+        F.ceil(F.col("n_clubs") / CELL_SIDE).alias("club_band"),
     )
-    left = _spread(signed_teams, hot, "team_band", "club_band").withColumnRenamed("name", "team_key")
-    right = _spread(signed_clubs, hot, "club_band", "team_band").withColumnRenamed("name", "club_key")
+    left = _spread(signed_teams, shared, "team_band", "club_band").withColumnRenamed("name", "team_key")
+    right = _spread(signed_clubs, shared, "club_band", "team_band").withColumnRenamed("name", "club_key")
     distance = F.levenshtein("team_key", "club_key", k)
     met = left.join(right, ["signature", "team_band", "club_band"])
     return (

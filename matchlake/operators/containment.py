@@ -28,8 +28,9 @@ def cut_substrings(texts: DataFrame, text: str, sought: DataFrame, key: str, min
     shortest = min(min_length, GRAM)
     wanted = F.length(key)
     # One row per leading gram; its list is bounded by the longest key, not by the table.
+    allowed = sought.filter(wanted >= min_length) if min_length else sought
     directory = (
-        sought.filter(wanted >= min_length)
+        allowed
         .select(F.substring(key, 1, GRAM).alias("_gram"), wanted.alias("_length"))
         .groupBy("_gram")
         .agg(F.collect_set("_length").alias("_lengths"))
@@ -62,13 +63,13 @@ def best_holder(
     order: Sequence[Column],
     min_length: int = GRAM,
 ) -> DataFrame:
-    """For each distinct ``key`` of ``sought``, the first row of ``texts`` whose ``text`` contains it.
+    """Rows of ``sought`` with the first row of ``texts`` whose ``text`` contains their ``key``.
 
     ``order`` may use ``key``. The candidates are ranked per substring inside each
     task before the shuffle, so a word that most texts contain stays cheap.
     """
     found = keep_one(cut_substrings(texts, text, sought, key, min_length), [key], order)
-    return sought.select(key).distinct().join(found, key)
+    return sought.join(found, key)
 
 
 def best_held(
@@ -79,9 +80,9 @@ def best_held(
     order: Sequence[Column],
     min_length: int = GRAM,
 ) -> DataFrame:
-    """For each distinct ``text``, the first row of ``sought`` whose ``key`` occurs in it.
+    """Rows of ``texts`` with the first row of ``sought`` whose ``key`` occurs in their ``text``.
 
-    ``sought`` holds each key once, so a text gains one row per key inside it.
+    Both hold each string once, so a text gains one row per key inside it.
     """
-    found = cut_substrings(texts.select(text).distinct(), text, sought, key, min_length)
+    found = cut_substrings(texts, text, sought, key, min_length)
     return keep_one(found.join(sought, key), [text], order)

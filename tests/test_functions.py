@@ -1,4 +1,6 @@
 import datetime
+import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -16,6 +18,7 @@ from matchlake.functions import (
     season_of,
     target_of,
 )
+from matchlake.functions.names import CLUB_WORDS
 
 
 @pytest.mark.parametrize(
@@ -39,6 +42,21 @@ def test_name_keys(frame, name, simple, club):
     assert tuple(df.first()) == (simple, club)
 
 
+def test_club_words_go_as_if_one_after_the_other(frame):
+    rng = random.Random(3)
+    words = ["club", "de", "futbol", "football", "fc", "sa", "calcio", "clubs", "xfc", "c", " "]
+    names = [rng.choice([" ", "-"]).join(rng.choice(words) for _ in range(rng.randint(1, 9))) for _ in range(3000)]
+
+    def expected(name):
+        key = re.sub("[^a-z0-9 ]", " ", name.strip(" ").lower())
+        for phrase in CLUB_WORDS:
+            key = re.sub(rf"\b{phrase}\b", "", key)
+        return re.sub(r"\s+", " ", key).strip(" ")
+
+    df = frame([(n,) for n in names], "name string").select("name", club_key(F.col("name")).alias("key"))
+    assert all(r.key == expected(r.name) for r in df.collect())
+
+
 def test_accents_can_be_folded(frame):
     df = frame([("Fútbol Club Köln",)], "name string")
     assert df.select(club_key(F.col("name"), fold_accents=True)).first()[0] == "koln"

@@ -6,7 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entries
-from workload.queries import TABLES
+from workload.views import TABLES
 
 SF_DIR = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(SF_DIR).exists(), reason="test tables not present")

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from matchlake.functions.names import CLUB_PHRASES
+from matchlake.functions.names import CLUB_WORDS
 from matchlake.ml import FEATURES
 from matchlake.operators.enrich import TRAINING_COLUMNS, VALUE_COLUMNS
+from workload.views import TABLES
 
 CODES = "CASE {0} WHEN 'AF' THEN 'africa' WHEN 'AM' THEN 'america' WHEN 'AS' THEN 'asia' WHEN 'EU' THEN 'europe' ELSE {0} END"
 OUTCOME = """CASE WHEN {home} > {away} THEN 'HOME_WIN' WHEN {home} < {away} THEN 'AWAY_WIN'
@@ -17,7 +18,7 @@ def simple_key(name: str) -> str:
 
 def word_key(name: str) -> str:
     key = f"regexp_replace(lower(trim({name})), '[^a-z0-9 ]', ' ', 'g')"
-    for phrase in CLUB_PHRASES:
+    for phrase in CLUB_WORDS:
         key = rf"regexp_replace({key}, '\b{phrase}\b', '', 'g')"
     return rf"trim(regexp_replace({key}, '\s+', ' ', 'g'))"
 
@@ -285,9 +286,9 @@ def oracle_queries() -> dict[str, str]:
                        {CODES.format("upper(substr(league, 1, 2))")} AS league, season
                 FROM standing WHERE source = 'football_data_org'""",
         ),
-        "parse_timestamps": """SELECT event_id,
+        "parse_timestamp": """SELECT event_id,
             CASE WHEN event_type <> 'error' THEN date_trunc('second', ts) END AS ts FROM events""",
-        "seasons": """SELECT o_orderkey, CASE WHEN o_orderpriority <> '4-NOT SPECIFIED'
+        "season_of": """SELECT o_orderkey, CASE WHEN o_orderpriority <> '4-NOT SPECIFIED'
             THEN cast(year(o_orderdate) AS int) END AS season FROM orders""",
         "league_map": f"""
             SELECT *, CASE league WHEN 'africa' THEN 'Africa' WHEN 'america' THEN 'The Americas'
@@ -295,10 +296,10 @@ def oracle_queries() -> dict[str, str]:
             FROM (SELECT c_custkey, code, {CODES.format("code")} AS league
                   FROM (SELECT c_custkey, upper(substr(r_name, 1, 2)) AS code FROM customer
                         JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey))""",
-        "outcomes_from_score": using(
+        "outcome_from_score": using(
             "match", "SELECT league, season, result, count(*) AS count FROM match GROUP BY 1, 2, 3"
         ),
-        "outcomes_from_code": using(
+        "outcome_from_code": using(
             "match",
             """SELECT season, CASE result WHEN 'HOME_WIN' THEN 'HOME_TEAM' WHEN 'AWAY_WIN' THEN 'AWAY_TEAM'
                       WHEN 'DRAW' THEN 'DRAW' END AS winner_raw, result, count(*) AS count
@@ -514,6 +515,13 @@ def oracle_queries() -> dict[str, str]:
                       count(away_squad_market_value_eur) AS away_squad_market_value_eur,
                       count(market_value_diff_eur) AS market_value_diff_eur FROM enriched""",
         ),
+        "dq_profile": " UNION ALL ".join(
+            f"""SELECT '{name}' AS dataset, 'ok' AS status, (SELECT count(*) FROM {name}) AS rows,
+                       (SELECT string_agg(name, ',' ORDER BY cid) FROM pragma_table_info('{name}')) AS columns,
+                       cast(NULL AS varchar) AS error"""
+            for name in TABLES
+        )
+        + " UNION ALL SELECT 'missing', 'failed', NULL, NULL, 'PATH_NOT_FOUND'",
         "dq_duplicate_keys": using(
             "fact", "SELECT match_id, source, count(*) AS count FROM fact GROUP BY 1, 2 HAVING count(*) > 1"
         ),

@@ -9,31 +9,17 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchlake import ml, operators, sources
-from matchlake.functions import (
-    club_key,
-    league_label,
-    league_name,
-    name_key,
-    outcome_from_code,
-    outcome_from_score,
-    parse_timestamp,
-    season_of,
-)
+from matchlake import functions, ml, operators, sources
 from matchlake.functions.columns import forecast_label, target_of
 from matchlake.ml.pairings import find_teams
 from matchlake.plans import fields, tables
 from matchlake.session import shared_folder
 from workload import views
-from workload.views import LEAGUES, table
+from workload.views import LEAGUES, TABLES, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-TABLES = (
-    "region nation customer supplier part orders lineitem events documents embeddings "
-    "pages benchmark labels conversations"
-).split()
 LEAGUE_LABELS = {"africa": "Africa", "america": "The Americas", "asia": "Asia"}
 
 
@@ -58,22 +44,21 @@ def src_json_records(spark, sf_dir):
 
 @query
 def src_json_documents(spark, sf_dir):
-    """Each conversation turn as a document file in nested folders, read as whole files."""
+    """Conversations as document files in nested folders, sixteen turns to a file, read whole."""
     landed = shared_folder(spark, "json-documents")
-    turns = table(spark, sf_dir, "conversations").select(
-        F.struct(F.col("conv_id").alias("code"), F.col("role").alias("name")).alias("competition"),
-        F.array(F.struct("turn", "text")).alias("rows"),
-        F.col("role").alias("folder"),
-        F.pmod("conv_id", F.lit(50)).alias("shelf"),
+    page = F.floor(F.col("turn") / 16)
+    documents = (
+        table(spark, sf_dir, "conversations")
+        .groupBy("conv_id", page.alias("page"))
+        .agg(F.collect_list(F.struct("turn", "role", "text")).alias("rows"))
+        .select(F.struct(F.col("conv_id").alias("code")).alias("competition"), "rows", "page")
     )
     # A whole-file document holds one object, so every row is its own file.
-    sources.write_files(turns, landed, "json", ("folder", "shelf"), maxRecordsPerFile="1")
-    schema = """competition struct<code:bigint,name:string>,
-                rows array<struct<turn:bigint,text:string>>"""
-    documents = sources.read_json_documents(spark, landed, schema)
-    header = (("competition.code", "conv_id"), ("competition.name", "role"))
-    rows = operators.explode_rows(documents, "rows", "row", header)
-    return operators.flatten(rows, [("conv_id", "conv_id"), ("role", "role"), ("row.turn", "turn"), ("row.text", "text")])
+    sources.write_files(documents, landed, "json", ("page",), maxRecordsPerFile="1")
+    schema = "competition struct<code:bigint>, rows array<struct<turn:bigint,role:string,text:string>>"
+    back = sources.read_json_documents(spark, landed, schema)
+    rows = operators.explode_rows(back, "rows", "row", [("competition.code", "conv_id")])
+    return operators.flatten(rows, "conv_id\nrow.turn turn\nrow.role role\nrow.text text")
 
 
 @query
@@ -212,20 +197,20 @@ def explode_two_level(spark, sf_dir):
 
 
 @query
-def parse_timestamps(spark, sf_dir):
+def parse_timestamp(spark, sf_dir):
     """Event times as ISO text; those of errors are damaged and give NULL."""
     written = views.iso(F.col("ts"), "Z")
     text = F.when(F.col("event_type") == "error", F.concat(F.lit("x"), written)).otherwise(written)
     events = table(spark, sf_dir, "events").select("event_id", text.alias("raw"))
-    return events.select("event_id", parse_timestamp(F.col("raw")).cast("timestamp_ntz").alias("ts"))
+    return events.select("event_id", functions.parse_timestamp(F.col("raw")).cast("timestamp_ntz").alias("ts"))
 
 
 @query
-def seasons(spark, sf_dir):
+def season_of(spark, sf_dir):
     """Season of every order's date text; unspecified priorities have damaged dates."""
     day = F.date_format("o_orderdate", "yyyy-MM-dd")
     text = F.when(F.col("o_orderpriority") == "4-NOT SPECIFIED", F.concat(F.lit("x"), day)).otherwise(day)
-    return table(spark, sf_dir, "orders").select("o_orderkey", season_of(text).alias("season"))
+    return table(spark, sf_dir, "orders").select("o_orderkey", functions.season_of(text).alias("season"))
 
 
 @query
@@ -236,25 +221,25 @@ def league_map(spark, sf_dir):
         F.col("n_nationkey").alias("c_nationkey"), F.upper(F.substring("r_name", 1, 2)).alias("code")
     )
     customers = table(spark, sf_dir, "customer").join(codes, "c_nationkey")
-    league = league_name(F.col("code"), LEAGUES)
+    league = functions.league_name(F.col("code"), LEAGUES)
     return customers.select(
-        "c_custkey", "code", league.alias("league"), league_label(league, LEAGUE_LABELS).alias("label")
+        "c_custkey", "code", league.alias("league"), functions.league_label(league, LEAGUE_LABELS).alias("label")
     )
 
 
 @query
-def outcomes_from_score(spark, sf_dir):
+def outcome_from_score(spark, sf_dir):
     """Matches per league, season and outcome by goals."""
-    result = outcome_from_score(F.col("home_goals"), F.col("away_goals"))
+    result = functions.outcome_from_score(F.col("home_goals"), F.col("away_goals"))
     matches = views.lines(spark, sf_dir).select("league", "season", result.alias("result"))
     return operators.row_counts(matches, "league", "season", "result")
 
 
 @query
-def outcomes_from_code(spark, sf_dir):
+def outcome_from_code(spark, sf_dir):
     """Vendor B's matches per season, winner code and outcome."""
     matches = views.fact_matches_b(spark, sf_dir)
-    decoded = matches.select("season", "winner_raw", outcome_from_code(F.col("winner_raw")).alias("result"))
+    decoded = matches.select("season", "winner_raw", functions.outcome_from_code(F.col("winner_raw")).alias("result"))
     return operators.row_counts(decoded, "season", "winner_raw", "result")
 
 
@@ -271,12 +256,12 @@ def _names(spark, sf_dir):
 
 @query
 def name_key_simple(spark, sf_dir):
-    return _names(spark, sf_dir).select("kind", "id", name_key(F.col("name")).alias("name_key"))
+    return _names(spark, sf_dir).select("kind", "id", functions.name_key(F.col("name")).alias("name_key"))
 
 
 @query
 def name_key_club(spark, sf_dir):
-    return _names(spark, sf_dir).select("kind", "id", club_key(F.col("name")).alias("name_key"))
+    return _names(spark, sf_dir).select("kind", "id", functions.club_key(F.col("name")).alias("name_key"))
 
 
 # --- published tables ----------------------------------------------------------
@@ -434,7 +419,7 @@ def undecided_matches(spark, sf_dir):
     matches = views.matches(spark, sf_dir)
     away = F.when(F.col("home_goals") != 4, F.col("away_goals"))
     damaged = matches.withColumns(
-        {"away_goals": away, "result": outcome_from_score(F.col("home_goals"), away)}
+        {"away_goals": away, "result": functions.outcome_from_score(F.col("home_goals"), away)}
     )
     links, table_ = views.club_links(spark, sf_dir), views.standings(spark, sf_dir)
     undecided = operators.training_sets(operators.enrich(damaged, links), table_)[2]

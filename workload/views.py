@@ -17,6 +17,10 @@ from matchlake.operators import stack_roles, team_values
 from matchlake.plans import tables
 from matchlake.plans.fields import SOURCE_A, SOURCE_B
 
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings "
+    "pages benchmark labels conversations"
+).split()
 LEAGUES = {"AF": "africa", "AM": "america", "AS": "asia", "EU": "europe"}
 FIRST_VALUED_SEASON = 1999
 
