@@ -52,17 +52,25 @@ def fit_forest(
     training: DataFrame,
     features: Sequence[str] = FEATURES,
     target: str = TARGET,
+    keys: Sequence[str] = ("match_id", "source"),
     trees: int = 100,
     depth: int = 5,
     seed: int = 42,
 ) -> PipelineModel:
-    """Assemble the features and fit a random forest; both steps are kept in one model."""
+    """Assemble the features and fit a random forest; both steps are kept in one model.
+
+    The trees' samples depend on the partition and position of each row, so rows are
+    first laid out by their key: the same rows give the same model however they
+    arrive, and a partition computed again after a loss equals the lost one.
+    """
     assembler = VectorAssembler(inputCols=list(features), outputCol="features")
     forest = RandomForestClassifier(
         featuresCol="features", labelCol=target, numTrees=trees, maxDepth=depth, seed=seed
     )
     # The fit reads its input several times; only the columns it needs are kept around.
-    needed = feature_rows(training.select(*features, target), features, target).persist()
+    rows = feature_rows(training.select(*keys, *features, target), features, target)
+    tasks = int(training.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    needed = rows.repartition(tasks, *keys).sortWithinPartitions(*rows.columns).persist()
     try:
         return Pipeline(stages=[assembler, forest]).fit(needed)
     finally:

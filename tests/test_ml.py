@@ -76,6 +76,14 @@ def test_saved_model_scores_alike(matches, model, tmp_path):
     )
 
 
+def test_fit_does_not_depend_on_the_layout(matches):
+    weights = [
+        ml.fit_forest(matches.repartition(n).orderBy(F.rand(n)), trees=5).stages[-1].featureImportances
+        for n in (1, 6)
+    ]
+    assert weights[0] == weights[1]
+
+
 def test_published_predictions(matches, model):
     future = matches.select(
         F.lit("2025-05-01 18:00:00").cast("timestamp").alias("match_date"),
