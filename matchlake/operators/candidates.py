@@ -5,6 +5,11 @@ The filter is the partition scheme of Pass-Join (Li, Deng, Wang and Feng, VLDB
 edits one segment survives and occurs in the shorter string, near its own
 position. Names therefore meet only on a shared segment and length, and each
 meeting is verified, so the result equals that of comparing all pairs.
+
+A segment that very many names share ("sporting ") is not enough to meet on. Of the
+surviving segments one has at most ``index`` edits before and ``k - index`` after
+it, so the rest of the name can be cut in the same way, and such names meet only
+when a piece of the rest survives as well.
 """
 
 from __future__ import annotations
@@ -21,56 +26,112 @@ TEAM_LONGER, CLUB_LONGER, BOTH_SHORT = 0, 1, 2
 CELL_SIDE = 2000
 
 
-def _segment(length: Column, index: Column, k: int) -> tuple[Column, Column]:
-    """Start (from 1) and length of one of ``k + 1`` near-equal segments; the longer ones come last."""
-    base = F.floor(length / (k + 1)).cast("int")
-    shorter = F.lit(k + 1) - F.pmod(length, F.lit(k + 1))
-    start = F.lit(1) + index * base + F.greatest(F.lit(0), index - shorter)
-    return start, base + F.when(index >= shorter, 1).otherwise(0)
-
-
-def _signature(role: int, length: Column, index: Column, piece: Column) -> Column:
-    return F.xxhash64(F.lit(role), length, index, piece)
+def _with_segment(df: DataFrame, length: str, index: str, edits: Column) -> DataFrame:
+    """Adds ``start`` (from 1) and ``size`` of one of ``edits + 1`` near-equal segments, longer ones last."""
+    base, shorter, i = F.col("_base"), F.col("_shorter"), F.col(index)
+    halved = df.withColumns(
+        {
+            "_base": F.floor(F.col(length) / (edits + 1)).cast("int"),
+            "_shorter": edits + 1 - F.pmod(F.col(length), edits + 1),
+        }
+    )
+    return halved.withColumns(
+        {
+            "start": F.lit(1) + i * base + F.greatest(F.lit(0), i - shorter),
+            "size": base + F.when(i >= shorter, 1).otherwise(0),
+        }
+    ).drop("_base", "_shorter")
+
+
+def _window(index: Column, edits: Column, gap: Column, length: Column) -> Column:
+    """Positions a segment can have in a string ``gap`` shorter: ``index`` edits before it, the rest after."""
+    start, size, later = F.col("start"), F.col("size"), edits - index
+    first = F.greatest(F.lit(1), start - F.least(index, gap + later))
+    last = F.least(length - size + 1, start + F.least(index, later - gap))
+    return F.when(first <= last, F.sequence(first, last))
+
+
+def _placed(df: DataFrame, role: int, in_place: bool) -> DataFrame:
+    """The signature of the piece of ``name`` at ``at``, for the segment ``index`` of a name ``longer`` long."""
+    piece = F.substring(F.col("name"), F.col("at"), F.col("size"))
+    return df.select(
+        "name",
+        F.xxhash64(F.lit(role), "longer", "index", piece).alias("signature"),
+        "index",
+        "at",
+        "start",
+        "size",
+        "longer",
+        F.lit(in_place).alias("in_place"),
+    )
 
 
 def _segments(names: DataFrame, role: int, k: int) -> DataFrame:
-    """Signatures of the longer side: its segments."""
-    name, index = F.col("name"), F.col("index")
-    length = F.length(name)
-    start, size = _segment(length, index, k)
-    return (
-        names.filter(length > k)
-        .select("name", F.explode(F.sequence(F.lit(0), F.lit(k))).alias("index"))
-        .select("name", _signature(role, length, index, F.substring(name, start, size)).alias("signature"))
-    )
+    """The longer side: its segments, in their own places."""
+    every = F.explode(F.sequence(F.lit(0), F.lit(k))).alias("index")
+    cut = names.select("name", F.length("name").alias("longer"), every).filter(F.col("longer") > k)
+    return _placed(_with_segment(cut, "longer", "index", F.lit(k)).withColumn("at", F.col("start")), role, True)
 
 
 def _windows(names: DataFrame, role: int, k: int, min_gap: int) -> DataFrame:
-    """Signatures of the shorter side: where a segment of a name ``gap`` longer can have moved to."""
-    name, gap, index, at = F.col("name"), F.col("gap"), F.col("index"), F.col("at")
-    longer = F.length(name) + gap
-    start, size = _segment(longer, index, k)
-    left = F.greatest(F.lit(1), start - index, start - gap - (F.lit(k) - index))
-    right = F.least(F.length(name) - size + 1, start + index, start - gap + (F.lit(k) - index))
-    return (
-        names.select("name", F.explode(F.sequence(F.lit(min_gap), F.lit(k))).alias("gap"))
-        .filter(longer > k)
-        .select("name", "gap", F.explode(F.sequence(F.lit(0), F.lit(k))).alias("index"))
-        .filter(left <= right)
-        .select("name", "gap", "index", F.explode(F.sequence(left, right)).alias("at"))
-        .select("name", _signature(role, longer, index, F.substring(name, at, size)).alias("signature"))
-    )
+    """The shorter side: wherever a segment of a name up to ``k`` longer can have moved to."""
+    length, index = F.length("name"), F.col("index")
+    lengths = F.explode(F.sequence(length + min_gap, length + k)).alias("longer")
+    every = F.explode(F.sequence(F.lit(0), F.lit(k))).alias("index")
+    cut = names.select("name", lengths).filter(F.col("longer") > k).select("name", "longer", every)
+    moved = _with_segment(cut, "longer", "index", F.lit(k))
+    window = _window(index, F.lit(k), F.col("longer") - length, length)
+    return _placed(moved.select("*", F.explode(window).alias("at")), role, False)
 
 
 def _short(names: DataFrame, k: int) -> DataFrame:
     """Names of at most ``k`` characters are all within ``k`` edits of one another."""
-    signature = _signature(BOTH_SHORT, F.lit(k), F.lit(0), F.lit(""))
-    return names.filter(F.length("name") <= k).select("name", signature.alias("signature"))
+    whole = {name: F.lit(0) for name in ("at", "start", "size", "longer")}
+    short = names.filter(F.length("name") <= k).withColumns({"index": F.lit(None).cast("int"), **whole})
+    return _placed(short, BOTH_SHORT, True)
+
+
+def _refined(places: DataFrame, k: int) -> DataFrame:
+    """``name`` and ``signature``, which for a hot one also holds a piece of the rest of the name.
+
+    The rest is what follows the segment, or precedes it for the later segments.
+    """
+    name, index, at, rest, part = (F.col(c) for c in ("name", "index", "at", "rest", "part"))
+    # Between names of at most k characters, which have no segments, every pair is a result.
+    split = F.col("hot") & index.isNotNull()
+    follows = index * 2 <= k
+    after = F.substring(name, at + F.col("size"), F.length(name))
+    before = F.substring(name, F.lit(1), at - 1)
+    rests = places.select(
+        "name",
+        "signature",
+        "in_place",
+        F.when(split, F.when(follows, after).otherwise(before)).alias("rest"),
+        F.when(follows, F.col("longer") - F.col("start") - F.col("size") + 1)
+        .otherwise(F.col("start") - 1)
+        .alias("rest_length"),
+        F.when(split, F.when(follows, F.lit(k) - index).otherwise(index)).otherwise(0).alias("edits"),
+    )
+    parts = rests.select("*", F.explode(F.sequence(F.lit(0), F.col("edits"))).alias("part"))
+    cut = _with_segment(parts, "rest_length", "part", F.col("edits"))
+    window = _window(part, F.col("edits"), F.col("rest_length") - F.length(rest), F.length(rest))
+    place = F.when(rest.isNull() | F.col("in_place"), F.array("start")).otherwise(window)
+    piece = F.substring(rest, F.col("place"), F.col("size"))
+    signature = F.when(rest.isNull(), F.col("signature")).otherwise(F.xxhash64("signature", "part", piece))
+    return cut.select("*", F.explode(place).alias("place")).select("name", signature.alias("signature"))
+
+
+def _shared(teams: DataFrame, clubs: DataFrame) -> DataFrame:
+    """Signatures that both sides have, with the number of rows of either."""
+    counted = [
+        side.groupBy("signature").agg(F.count(F.lit(1)).alias(n)) for side, n in ((teams, "n_teams"), (clubs, "n_clubs"))
+    ]
+    return counted[0].join(counted[1], "signature")
 
 
-def _spread(signed: DataFrame, shared: DataFrame, own: str, other: str) -> DataFrame:
+def _spread(signed: DataFrame, cells: DataFrame, own: str, other: str) -> DataFrame:
     """Place each row in one band of its own side, and in every band of the other side."""
-    met = signed.join(shared, "signature").distinct()
+    met = signed.join(cells, "signature").distinct()
     return met.select(
         "name",
         "signature",
@@ -82,31 +143,34 @@ def _spread(signed: DataFrame, shared: DataFrame, own: str, other: str) -> DataF
 def near_names(teams: DataFrame, clubs: DataFrame, k: int) -> DataFrame:
     """Distinct ``(team_key, club_key, name_distance)`` with a distance of at most ``k``.
 
-    Both inputs hold distinct strings in ``name``. A signature shared by very many
+    Both inputs hold distinct strings in ``name``. Signatures of more than
+    ``CELL_SIDE`` squared meetings are refined; what is still shared by very many
     names is split into a grid of cells, each holding about ``CELL_SIDE`` names of
     either side, so no task gets such a group whole.
     """
     # Every name becomes many signatures, which asks for more tasks than its bytes do.
     tasks = int(teams.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     teams, clubs = teams.repartition(tasks), clubs.repartition(tasks)
-    team_sides = [_segments(teams, TEAM_LONGER, k), _windows(teams, CLUB_LONGER, k, 1), _short(teams, k)]
-    club_sides = [_windows(clubs, TEAM_LONGER, k, 0), _segments(clubs, CLUB_LONGER, k), _short(clubs, k)]
-    # k = 0 leaves no shorter club side: its gaps would start above their end.
-    if k == 0:
-        team_sides.pop(1), club_sides.pop(1)
-    signed_teams = reduce(DataFrame.unionByName, team_sides)
-    signed_clubs = reduce(DataFrame.unionByName, club_sides)
-
-    # Only signatures of both sides can give pairs; counting them also sizes the grid.
-    team_load = signed_teams.groupBy("signature").agg(F.count(F.lit(1)).alias("n_teams"))
-    club_load = signed_clubs.groupBy("signature").agg(F.count(F.lit(1)).alias("n_clubs"))
-    shared = team_load.join(club_load, "signature").select(
+    team_places = [_segments(teams, TEAM_LONGER, k), _short(teams, k)]
+    club_places = [_windows(clubs, TEAM_LONGER, k, 0), _short(clubs, k)]
+    if k > 0:
+        team_places.append(_windows(teams, CLUB_LONGER, k, 1))
+        club_places.append(_segments(clubs, CLUB_LONGER, k))
+    placed_teams = reduce(DataFrame.unionByName, team_places)
+    placed_clubs = reduce(DataFrame.unionByName, club_places)
+
+    # Only signatures of both sides can give pairs.
+    hot = F.col("n_teams") * F.col("n_clubs") > CELL_SIDE * CELL_SIDE
+    shared = _shared(placed_teams, placed_clubs).select("signature", hot.alias("hot"))
+    signed_teams = _refined(placed_teams.join(shared, "signature"), k)
+    signed_clubs = _refined(placed_clubs.join(shared, "signature"), k)
+    cells = _shared(signed_teams, signed_clubs).select(
         "signature",
         F.ceil(F.col("n_teams") / CELL_SIDE).alias("team_band"),
         F.ceil(F.col("n_clubs") / CELL_SIDE).alias("club_band"),
     )
-    left = _spread(signed_teams, shared, "team_band", "club_band").withColumnRenamed("name", "team_key")
-    right = _spread(signed_clubs, shared, "club_band", "team_band").withColumnRenamed("name", "club_key")
+    left = _spread(signed_teams, cells, "team_band", "club_band").withColumnRenamed("name", "team_key")
+    right = _spread(signed_clubs, cells, "club_band", "team_band").withColumnRenamed("name", "club_key")
     distance = F.levenshtein("team_key", "club_key", k)
     met = left.join(right, ["signature", "team_band", "club_band"])
     return (

@@ -63,6 +63,20 @@ def test_near_names_equal_all_pairs(frame, k):
     assert len(got) == len(expected) and {tuple(r) for r in got} == expected
 
 
+@pytest.mark.parametrize("k", [1, 2, 4, 7])
+def test_refined_signatures_equal_all_pairs(frame, monkeypatch, k):
+    monkeypatch.setattr("matchlake.operators.candidates.CELL_SIDE", 1)
+    rng = random.Random(100 + k)
+    letters = "ab "
+    base = ["sporting " + "".join(rng.choice(letters) for _ in range(rng.randint(0, 12))) for _ in range(25)]
+    left = {edited(rng, w, rng.randint(0, k + 1), letters) for w in base}
+    right = {edited(rng, w, rng.randint(0, k + 1), letters) for w in base} | {"", "ab"}
+    got = near_names(
+        frame([(w,) for w in left], "name string"), frame([(w,) for w in right], "name string"), k
+    ).collect()
+    assert {tuple(r) for r in got} == {(a, b, distance(a, b)) for a in left for b in right if distance(a, b) <= k}
+
+
 def test_hot_signatures_are_split_without_losing_pairs(frame, monkeypatch):
     monkeypatch.setattr("matchlake.operators.candidates.CELL_SIDE", 3)
     words = [f"club {chr(97 + i)}{chr(97 + j)}" for i in range(6) for j in range(6)]
