@@ -23,6 +23,7 @@ from matchlake.functions.names import name_key
 from matchlake.operators.resolve import TEAM_COLUMNS, club_columns, teams_of_season
 
 TEAM_LONGER, CLUB_LONGER, BOTH_SHORT = 0, 1, 2
+MEETINGS_PER_ROW = 100
 CELL_SIDE = 2000
 
 
@@ -143,10 +144,11 @@ def _spread(signed: DataFrame, cells: DataFrame, own: str, other: str) -> DataFr
 def near_names(teams: DataFrame, clubs: DataFrame, k: int) -> DataFrame:
     """Distinct ``(team_key, club_key, name_distance)`` with a distance of at most ``k``.
 
-    Both inputs hold distinct strings in ``name``. Signatures of more than
-    ``CELL_SIDE`` squared meetings are refined; what is still shared by very many
-    names is split into a grid of cells, each holding about ``CELL_SIDE`` names of
-    either side, so no task gets such a group whole.
+    Both inputs hold distinct strings in ``name``. A signature is refined when it
+    would let each of its rows meet ``MEETINGS_PER_ROW`` others or more, which is
+    above what refining adds; what is still shared by very many names is split into
+    a grid of cells, each holding about ``CELL_SIDE`` names of either side, so no task
+    gets such a group whole.
     """
     # Every name becomes many signatures, which asks for more tasks than its bytes do.
     tasks = int(teams.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -160,7 +162,8 @@ def near_names(teams: DataFrame, clubs: DataFrame, k: int) -> DataFrame:
     placed_clubs = reduce(DataFrame.unionByName, club_places)
 
     # Only signatures of both sides can give pairs.
-    hot = F.col("n_teams") * F.col("n_clubs") > CELL_SIDE * CELL_SIDE
+    meetings, rows = F.col("n_teams") * F.col("n_clubs"), F.col("n_teams") + F.col("n_clubs")
+    hot = meetings > rows * MEETINGS_PER_ROW
     shared = _shared(placed_teams, placed_clubs).select("signature", hot.alias("hot"))
     signed_teams = _refined(placed_teams.join(shared, "signature"), k)
     signed_clubs = _refined(placed_clubs.join(shared, "signature"), k)

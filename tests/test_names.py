@@ -65,7 +65,8 @@ def test_near_names_equal_all_pairs(frame, k):
 
 @pytest.mark.parametrize("k", [1, 2, 4, 7])
 def test_refined_signatures_equal_all_pairs(frame, monkeypatch, k):
-    monkeypatch.setattr("matchlake.operators.candidates.CELL_SIDE", 1)
+    monkeypatch.setattr("matchlake.operators.candidates.MEETINGS_PER_ROW", 0)
+    monkeypatch.setattr("matchlake.operators.candidates.CELL_SIDE", 2)
     rng = random.Random(100 + k)
     letters = "ab "
     base = ["sporting " + "".join(rng.choice(letters) for _ in range(rng.randint(0, 12))) for _ in range(25)]
