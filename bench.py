@@ -62,7 +62,7 @@ def timed(query, spark, sf_dir: str) -> float:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "1"))
+    runs = int(os.environ.get("BENCH_RUNS", "2"))
     wanted = os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",")
     spark = create_session("matchlake-bench", f"local[{cpus}]", **one_machine(cpus))
     spark.sparkContext.setLogLevel("ERROR")

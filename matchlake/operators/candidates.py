@@ -124,10 +124,9 @@ def _refined(places: DataFrame, k: int) -> DataFrame:
 
 def _shared(teams: DataFrame, clubs: DataFrame) -> DataFrame:
     """Signatures that both sides have, with the number of rows of either."""
-    counted = [
-        side.groupBy("signature").agg(F.count(F.lit(1)).alias(n)) for side, n in ((teams, "n_teams"), (clubs, "n_clubs"))
-    ]
-    return counted[0].join(counted[1], "signature")
+    n_teams = teams.groupBy("signature").agg(F.count(F.lit(1)).alias("n_teams"))
+    n_clubs = clubs.groupBy("signature").agg(F.count(F.lit(1)).alias("n_clubs"))
+    return n_teams.join(n_clubs, "signature")
 
 
 def _spread(signed: DataFrame, cells: DataFrame, own: str, other: str) -> DataFrame:

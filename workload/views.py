@@ -43,7 +43,9 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     facts would be broadcast in its place.
     """
     nation = table(spark, sf_dir, "nation")
-    home = nation.select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("home_team_name"), "n_regionkey")
+    home = nation.select(
+        F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("home_team_name"), "n_regionkey"
+    )
     away = nation.select(F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("away_team_name"))
     region = table(spark, sf_dir, "region")
     customer, supplier = table(spark, sf_dir, "customer"), table(spark, sf_dir, "supplier")
@@ -430,7 +432,10 @@ def named_teams(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.reverse(name))
     )
     parts = table(spark, sf_dir, "part").select(
-        F.col("p_partkey").alias("team_id"), written.alias("team_name"), F.lower(kind).alias("league"), F.lit("parts").alias("source")
+        F.col("p_partkey").alias("team_id"),
+        written.alias("team_name"),
+        F.lower(kind).alias("league"),
+        F.lit("parts").alias("source"),
     )
     customers = table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("team_id"),
@@ -474,7 +479,9 @@ def overrides(spark: SparkSession, sf_dir: str) -> DataFrame:
         .filter(kind.isin("STANDARD", "LARGE"))
         .select(
             F.lower(kind).alias("league"),
-            F.when(kind == "STANDARD", F.reverse(name)).otherwise(F.concat(F.lit("Club "), name, F.lit(" F.C."))).alias("team_name"),
+            F.when(kind == "STANDARD", F.reverse(name))
+            .otherwise(F.concat(F.lit("Club "), name, F.lit(" F.C.")))
+            .alias("team_name"),
             name.alias("transfermarkt_club_name"),
             F.when(kind == "STANDARD", "fix").otherwise("skip").alias("action"),
         )
