@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchlake.llm import cuckoo, mixing, suffix_arrays, token_files
+from matchlake.llm import cuckoo, mixing, near_dedup, suffix_arrays, token_files
 from matchlake.llm.common import scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -98,6 +98,14 @@ def op5_suffix_arrays(spark, sf_dir):
     )
 
 
+@query
+def op6_minhash_bayes(spark, sf_dir):
+    """Groups of documents linked by three-word shingles with a similarity of 0.85 or more."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = near_dedup.near_duplicates(docs, near_dedup.Similarity(words=3, percent=85))
+    return found.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
 @query
 def op7_cuckoo_dedup(spark, sf_dir):
     """The document that stays of each group of equal texts."""
