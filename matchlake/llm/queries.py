@@ -8,8 +8,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchlake.llm import cuckoo, mixing, near_dedup, suffix_arrays, token_files
+from matchlake.llm import cuckoo, mixing, near_dedup, neighbours, suffix_arrays, token_files, toxicity
 from matchlake.llm.common import scratch
+from matchlake.llm.labelled import held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -121,3 +122,24 @@ with hashed as (
 )
 select doc_id, keep_id, group_size, doc_id = keep_id as kept, text_sha256 from hashed join groups using (text_sha256)
 """
+
+
+def _predictions(scored: DataFrame, score: str, least: float) -> DataFrame:
+    predicted = F.when(F.col(score) >= least, 1).otherwise(0)
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col(score).alias("score"), predicted.alias("predicted"))
+
+
+@query
+def op8_toxic_sentences(spark, sf_dir):
+    """Toxicity of every document, learned from labels of whole documents."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return _predictions(toxicity.score(docs, model), "toxicity", 0.5)
+
+
+@query
+def op10_quality_neighbours(spark, sf_dir):
+    """Quality of every document by its nearest labelled neighbours."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = neighbours.fit(docs, table(spark, sf_dir, "labels"))
+    return _predictions(neighbours.score(docs, model), "quality", 0.3)
