@@ -6,13 +6,23 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from matchlake.llm import mixing, suffix_arrays, token_files
+from matchlake.llm import mixing, near_dedup, suffix_arrays, token_files, toxicity
 from matchlake.llm.common import scratch
 from matchlake.llm.queries import END_ID, table, tokenizer_file
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def harmless(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that a model of the labelled ones doesn't call toxic."""
+    return toxicity.without_toxic(docs, table(spark, sf_dir, "labels"))
+
+
+def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group that five-word shingles link with a similarity of 0.8 or more."""
+    return near_dedup.without_near_duplicates(docs, near_dedup.Similarity(words=5, percent=80))
+
+
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no ten consecutive words of a benchmark item occur."""
     return suffix_arrays.decontaminated(docs, table(spark, sf_dir, "benchmark"))
@@ -31,6 +41,8 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", harmless),
+    ("near duplicates", distinct),
     ("benchmark decontamination", without_benchmark),
     ("mixing to target weights", mixed),
     ("token ids", tokens),
