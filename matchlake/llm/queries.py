@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchlake.llm import cuckoo, mixing, near_dedup, neighbours, suffix_arrays, token_files, toxicity
+from matchlake.llm import cuckoo, mixing, near_dedup, neighbours, pii, suffix_arrays, token_files, toxicity
 from matchlake.llm.common import scratch
 from matchlake.llm.labelled import held_out
 
@@ -42,6 +42,21 @@ def op2_token_files(spark, sf_dir):
     return token_files.token_digests(spark, path)
 
 
+@query
+def op3_weak_supervision_pii(spark, sf_dir):
+    """Personal data in every document: base spans, and those that the trained classifier adds."""
+    found = pii.personal_data(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = F.filter("spans", lambda s: s["base"])
+
+    def count(kind):
+        return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["begin"], s["end"])), ",")
+
+    return found.select("doc_id", *map(count, pii.KINDS), F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+
+
 @query
 def op4_source_mixing(spark, sf_dir):
     """How many words of every document the mix of all sources takes."""
