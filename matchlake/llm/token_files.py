@@ -15,6 +15,7 @@ import json
 import re
 import zlib
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -25,8 +26,8 @@ from pyspark.sql.window import Window
 
 #: Ids that a shard holds at most, unless its only document has more.
 SHARD_IDS = 2_000_000
-#: Words that a task remembers the ids of.
-REMEMBERED = 400_000
+#: Words that a Python worker remembers the ids of, from task to task; the first ones are the common ones.
+REMEMBERED = 600_000
 
 _LENGTHS = np.array([[(byte >> 2 * k & 3) + 1 for k in range(4)] for byte in range(256)], np.int64)
 
@@ -113,9 +114,13 @@ class Encoder:
 
     def bare(self, part: str) -> bytes:
         key = f"\0{part}"
-        if key not in self.known:
-            self.known[key] = self.text(part)
-        return self.known[key]
+        ids = self.known.get(key)
+        return self.remember(key, self.text(part)) if ids is None else ids
+
+    def remember(self, key: str, ids: bytes) -> bytes:
+        if len(self.known) < REMEMBERED:
+            self.known[key] = ids
+        return ids
 
     def piece(self, piece: str) -> bytes:
         """Ids of what followed a space, or of a line end and what follows it."""
@@ -128,14 +133,12 @@ class Encoder:
                 ids = self.piece(core) + self.bare(piece[len(core) :])
             else:
                 ids = self.word(piece) if piece.isalpha() else self.text(f" {piece}")
-            self.known[piece] = ids
+            self.remember(piece, ids)
         return ids
 
     def __call__(self, text: str) -> np.ndarray:
         if not self.by_piece or self.whole.search(text):
             return np.frombuffer(self.text(text), "<u4")
-        if len(self.known) > REMEMBERED:
-            self.known = {}
         first, *pieces = text.replace("\n", " \n").split(" ")
         if first[:1] == "\n" or not pieces:
             start = self.text(first)
@@ -145,6 +148,12 @@ class Encoder:
         return np.frombuffer(start + b"".join([known(x) or self.piece(x) for x in pieces]), "<u4")
 
 
+@cache
+def encoder_of(path: str) -> Encoder:
+    """The worker's encoder: loaded once, whatever the number of its tasks."""
+    return Encoder(path)
+
+
 def _shard(part: int, number: int, docs: list, ids: list[np.ndarray]) -> dict:
     stream = np.concatenate(ids)
     distinct, place, counts = np.unique(stream, return_inverse=True, return_counts=True)
@@ -178,7 +187,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int | None
     arrow = _arrow_schema(kind)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, end = Encoder(tokenizer), np.array([] if end_id is None else [end_id], "<u4")
+        encoder, end = encoder_of(tokenizer), np.array([] if end_id is None else [end_id], "<u4")
         names, ids, held, number, part = [], [], 0, 0, 0
         for batch in batches:
             part = batch["part"][0].as_py() if batch.num_rows else part
