@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchlake.llm import cuckoo, mixing, near_dedup, neighbours, pii, suffix_arrays, token_files, toxicity
+from matchlake.llm import cuckoo, mixing, near_dedup, neighbours, pii, suffix_arrays, token_files, toxicity, url_rules, warc_audit
 from matchlake.llm.common import scratch
 from matchlake.llm.labelled import held_out
 
@@ -34,6 +34,22 @@ def tokenizer_file() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+URL_RULES = [
+    ("allow", "com", "/"),
+    ("block", "example.com", "/en/"),
+    ("allow", "www.example.com", "/en/"),
+    ("block", "net", "/es/"),
+    ("block", "net", "/fr/"),
+]
+
+
+@query
+def op1_association_rules(spark, sf_dir):
+    """Verdict on the url of every page, by written rules and by rules mined from what those decide."""
+    judged = url_rules.judged(table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES)
+    return judged.select("page_id", "host", "path", "rule", "verdict", "mined", "confidence")
+
+
 @query
 def op2_token_files(spark, sf_dir):
     """Token ids of every document, read back from the files they were written to."""
@@ -158,3 +174,36 @@ def op10_quality_neighbours(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = neighbours.fit(docs, table(spark, sf_dir, "labels"))
     return _predictions(neighbours.score(docs, model), "quality", 0.3)
+
+
+#: A page of which the second replica has another first byte: an arbitrary 256th of them.
+DAMAGED = "substr(md5(url), 1, 2) = '00' AND substr(html, 1, 1) = '<'"
+
+
+@query
+def op9_merkle_audit(spark, sf_dir):
+    """All pages as WARC records, audited against a second replica with some damaged bytes."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    damaged = pages.withColumn("html", F.expr(f"CASE WHEN {DAMAGED} THEN '~' || substr(html, 2) ELSE html END"))
+    replicas = [scratch(spark, f"warc-{n}") for n in (1, 2)]
+    for replica, path in zip((pages, damaged), replicas, strict=True):
+        warc_audit.write_warc(replica, path)
+    found = warc_audit.audit(spark, *replicas)
+    page_id = F.regexp_extract("record_id", r"<urn:page:(-?\d*)>", 1).try_cast("long")
+    return found.select(page_id.alias("page_id"), "length", "sha256", "status")
+
+
+ORACLE["op9_merkle_audit"] = """
+with records as (
+  select page_id, url, html, 'WARC/1.0' || chr(13) || chr(10) || 'WARC-Type: resource' || chr(13) || chr(10)
+    || 'WARC-Date: 1970-01-01T00:00:00Z' || chr(13) || chr(10) || 'WARC-Record-ID: <urn:page:' || coalesce(page_id::varchar, '') || '>'
+    || chr(13) || chr(10) || 'WARC-Target-URI: '
+    || replace(replace(coalesce(url, ''), chr(13), '%0D'), chr(10), '%0A') || chr(13) || chr(10)
+    || 'Content-Type: text/html' || chr(13) || chr(10) || 'Content-Length: ' || strlen(coalesce(html, ''))
+    || chr(13) || chr(10) || chr(13) || chr(10) || coalesce(html, '') || chr(13) || chr(10) || chr(13) || chr(10) as record
+  from pages
+)
+select page_id, strlen(record)::bigint as length, sha256(record) as sha256,
+  case when substr(md5(url), 1, 2) = '00' and substr(html, 1, 1) = '<' then 'differs' else 'intact' end as status
+from records
+"""
