@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -67,3 +69,10 @@ def placed(df: DataFrame, order: list[Column], place: str) -> DataFrame:
         .withColumn(place, F.col(first) + F.col(at))
         .select(*[F.col(f"`{c}`") for c in df.columns], place)
     )
+
+
+def in_portions(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """The rows of large batches in smaller ones, so that results go back before much text has gathered."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)

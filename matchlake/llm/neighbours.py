@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from matchlake.llm.common import in_portions
 from matchlake.llm.labelled import sample
 
 #: Labelled documents of each class in the sample, at most, and the latent dimensions.
@@ -32,7 +33,7 @@ FEATURES = WORD_FEATURES + SHAPE_FEATURES + 2
 _AGAIN, _SAME_RUN = FEATURES - 2, FEATURES - 1
 #: Documents whose cosines are computed at a time, and words that a task remembers.
 BLOCK = 256
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 
 
 
@@ -159,12 +160,10 @@ def score(docs: DataFrame, model: Model, neighbours: int = NEIGHBOURS) -> DataFr
 
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = Counter()
-        for batch in batches:
-            text, scores = batch.column(batch.schema.get_field_index("text")), []
-            for at in range(0, batch.num_rows, BLOCK):
-                counts = np.array([counter(t.as_py()) for t in text.slice(at, BLOCK)])
-                scores.append(held.value.votes(held.value.latent(counts), neighbours))
-            new = pa.array(np.concatenate(scores) if scores else [], pa.float64())
+        for batch in in_portions(batches, BLOCK):
+            text = batch.column(batch.schema.get_field_index("text"))
+            counts = np.array([counter(t.as_py()) for t in text])
+            new = pa.array(held.value.votes(held.value.latent(counts), neighbours), pa.float64())
             yield pa.RecordBatch.from_arrays([*batch.columns, new], schema=pa.schema([*batch.schema, ("quality", pa.float64())]))
 
     return docs.mapInArrow(vote, T.StructType([*docs.schema.fields, T.StructField("quality", T.DoubleType())]))

@@ -90,7 +90,7 @@ def luhn(digits: Column) -> Column:
     turned = F.reverse(digits)
 
     def add(total: Column, place: Column) -> Column:
-        digit = F.substr(turned, place, F.lit(1)).cast("int")
+        digit = F.coalesce(F.substr(turned, place, F.lit(1)).try_cast("int"), F.lit(0))
         doubled = 2 * digit - F.when(digit > 4, 9).otherwise(0)
         return total + F.when(place % 2 == 0, doubled).otherwise(digit)
 

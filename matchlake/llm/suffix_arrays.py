@@ -237,12 +237,11 @@ def _one_block(docs: DataFrame, items: Items, extra: str) -> DataFrame:
             sizes = pc.fill_null(pc.binary_length(text), 0).to_numpy(zero_copy_only=False)
             cuts = np.searchsorted(np.cumsum(sizes), np.arange(SHARD_BYTES, sizes.sum() + SHARD_BYTES, SHARD_BYTES), "right")
             bounds = sorted({0, *map(int, cuts), batch.num_rows})
-            results: tuple[list, list, list] = ([], [], [])
             for a, b in zip(bounds, bounds[1:], strict=False):
-                for all_, some in zip(results, _searched(text.slice(a, b - a).to_pylist(), held.value), strict=True):
-                    all_ += some
-            new = [pa.array(x, f.type) for x, f in zip(results, arrow, strict=True)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *new], schema=pa.schema([*batch.schema, *arrow]))
+                found = _searched(text.slice(a, b - a).to_pylist(), held.value)
+                new = [pa.array(x, f.type) for x, f in zip(found, arrow, strict=True)]
+                rows = batch.slice(a, b - a).columns
+                yield pa.RecordBatch.from_arrays([*rows, *new], schema=pa.schema([*batch.schema, *arrow]))
 
     return docs.mapInArrow(search, StructType([*docs.schema.fields, *added.fields]))
 

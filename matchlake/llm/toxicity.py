@@ -20,10 +20,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from matchlake.llm.common import in_portions
 from matchlake.llm.labelled import sample
 
 #: Labelled documents of each class that a model is fitted on, at most.
 PER_CLASS = 2_500
+#: Words without a weight that a task remembers.
+REMEMBERED = 100_000
 #: Letters (bytes) of the prefix that stands for words which the fit has not seen.
 PREFIX = 5
 #: Least likelihood ratio, against chance, of a word or prefix that gets a weight.
@@ -159,8 +162,8 @@ def score(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fitted, own = held.value, None
-        for batch in batches:
-            if own is None or len(own.weights) > len(fitted.weights) + 300_000:
+        for batch in in_portions(batches):
+            if own is None or len(own.weights) > len(fitted.weights) + REMEMBERED:
                 own = Model(fitted.bias, dict(fitted.weights))
             scores, found = [], []
             for text in batch.column(batch.schema.get_field_index("text")):
