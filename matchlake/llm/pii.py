@@ -177,7 +177,7 @@ def votes(candidates: DataFrame) -> DataFrame:
     return candidates.withColumns({f"vote_{k}": v for k, v in cast.items()})
 
 
-def reliabilities(patterns: DataFrame, rounds: int = 12) -> dict[str, dict]:
+def reliabilities(patterns: DataFrame, rounds: int = 10) -> dict[str, dict]:
     """Per kind: the share of personal data, and how likely each labeler votes so if it is and if not.
 
     ``patterns`` has the votes and their count ``n``: a row for each pattern, whatever the
@@ -236,24 +236,23 @@ def span_features(candidates: DataFrame) -> DataFrame:
     return candidates.withColumns({k: F.coalesce(v.cast("double"), F.lit(0.0)) for k, v in flags.items()})
 
 
-def train(candidates: DataFrame) -> Column | None:
-    """The classifier as a column over ``span_features``; None without candidates.
+def train(judged: DataFrame) -> Column | None:
+    """The classifier as a column over ``FEATURES``; None without candidates.
 
-    Spans of equal features are one row of the fit, weighted by their likelihoods.
+    ``judged`` has candidates with votes and features. Spans of equal features are one row
+    of the fit, weighted by their likelihoods.
     """
-    names = [f"vote_{k}" for k in LABELERS]
-    patterns = stored(candidates.groupBy("kind", *names).agg(F.count(F.lit(1)).alias("n")), "votes")
+    names, columns = [f"vote_{k}" for k in LABELERS], list(FEATURES)
+    patterns = stored(judged.groupBy("kind", *names).agg(F.count(F.lit(1)).alias("n")).coalesce(1), "votes")
     known = reliabilities(patterns)
     if not known:
         return None
-    columns = list(FEATURES)
-    alike = span_features(candidates).withColumn("p", likelihood(known)).groupBy(*columns)
+    alike = judged.withColumn("p", likelihood(known)).groupBy(*columns)
     alike = alike.agg(F.sum("p").alias("yes"), F.sum(1 - F.col("p")).alias("no"))
     sides = [F.struct(F.lit(y).alias("label"), (F.col(c) + 1e-6).alias("weight")) for y, c in ((1.0, "yes"), (0.0, "no"))]
     rows = alike.select(*columns, F.explode(F.array(*sides)).alias("side")).select(*columns, "side.*")
-    vectors = stored(rows, "span-features")
-    vectors = VectorAssembler(inputCols=columns, outputCol="features").transform(vectors)
-    model = LogisticRegression(weightCol="weight", maxIter=25, regParam=1e-3, standardization=False).fit(vectors)
+    vectors = VectorAssembler(inputCols=columns, outputCol="features").transform(stored(rows.coalesce(1), "span-features"))
+    model = LogisticRegression(weightCol="weight", maxIter=15, regParam=1e-3, standardization=False).fit(vectors)
     terms = [F.col(c) * float(w) for c, w in zip(columns, model.coefficients, strict=True)]
     return 1 / (1 + F.exp(-sum(terms, F.lit(float(model.intercept)))))
 
@@ -269,17 +268,15 @@ def personal_data(docs: DataFrame, least: float = 0.9) -> DataFrame:
     row, list_ = fresh(docs, "row_id"), fresh(docs, "candidates")
     narrow = [c for c in docs.columns if c not in ("text", "spans")]
     seen = docs.select(*[F.col(f"`{c}`") for c in narrow], _candidates(F.coalesce("text", F.lit(""))).alias(list_))
-    seen = stored(seen, "candidates")
-    candidates = votes(seen.select(F.explode(list_).alias("c")).select("c.*"))
-    score = train(candidates)
+    numbered = stored(seen.withColumn(row, F.monotonically_increasing_id()), "candidates")
+    candidates = numbered.select(F.col(row).alias("row"), F.explode(list_).alias("c")).select("row", "c.*")
+    judged = stored(span_features(votes(candidates)).drop("before", "after"), "judged")
+    score = train(judged)
     if score is None:
-        return seen.select(*[F.col(f"`{c}`") for c in narrow], F.array().cast(_SPANS).alias("spans"))
-    # A candidate's score depends on itself alone: those that are no base spans are judged
-    # in their own rows, and come back to their document by its row.
-    numbered = stored(seen.withColumn(row, F.monotonically_increasing_id()), "numbered")
-    wider = numbered.select(row, F.explode(F.filter(list_, lambda c: ~c["base"])).alias("c")).select(row, "c.*")
-    judged = span_features(votes(wider)).withColumn("score", score).where(F.col("score") >= least)
-    added = judged.groupBy(row).agg(
+        return numbered.select(*[F.col(f"`{c}`") for c in narrow], F.array().cast(_SPANS).alias("spans"))
+    # Those that are no base spans come back to their document by its row.
+    wider = judged.where("NOT base").withColumn("score", score).where(F.col("score") >= least)
+    added = wider.groupBy(F.col("row").alias(row)).agg(
         F.collect_list(F.struct("begin", "end", "kind", F.lit(False).alias("base"), "score", "match")).alias("added")
     )
     merged = numbered.join(added, row, "left")
