@@ -15,10 +15,17 @@ def main() -> None:
     parser.add_argument("--base", required=True, help="folder or URI that holds all datasets")
     parser.add_argument("--overwrite", choices=["static", "dynamic"], default="static")
     parser.add_argument("--season", type=int, help="resolve, candidates: season of the teams")
+    parser.add_argument("--distance", type=int, help="candidates: most edits between two names")
     parser.add_argument("--dumps", help="slices: folder of the registry's csv.gz files")
     parser.add_argument("--home", help="predict: home team")
     parser.add_argument("--away", help="predict: away team")
     args = parser.parse_args()
+    if args.job == "slices" and not args.dumps:
+        parser.error("slices needs --dumps")
+    if args.job == "candidates" and args.distance is None:
+        parser.error("candidates needs --distance")
+    if args.job == "predict" and not (args.home and args.away):
+        parser.error("predict needs --home and --away")
 
     spark = create_session(f"matchlake {args.job}")
     if args.job == "profile":
@@ -33,6 +40,8 @@ def main() -> None:
         options = {}
         if args.job in ("resolve", "candidates"):
             options["season"] = args.season
+        if args.job == "candidates":
+            options["max_distance"] = args.distance
         if args.job == "slices":
             options["dumps"] = args.dumps
         for name, path in run_job(spark, args.job, args.base, args.overwrite, **options).items():

@@ -74,7 +74,7 @@ PREDICTIONS = """
     prob_empate double, prob_gana_visitante double, pronostico string
 """
 TEAM_STATS = """
-    team_id bigint, team_name string, league string, squad_market_value_eur double,
+    source string, team_id bigint, team_name string, league string, squad_market_value_eur double,
     avg_player_market_value_eur double, players_count bigint, rank bigint, points bigint,
     goal_diff bigint, logo_url string
 """

@@ -56,12 +56,14 @@ def fit_forest(
     trees: int = 100,
     depth: int = 5,
     seed: int = 42,
+    tasks: int = 32,
 ) -> PipelineModel:
     """Assemble the features and fit a random forest; both steps are kept in one model.
 
     The trees' samples depend on the partition and position of each row, so rows are
-    first laid out by their key: the same rows give the same model however they
-    arrive, and a partition computed again after a loss equals the lost one.
+    first laid out by their key over ``tasks`` partitions: the same rows give the same
+    model however they arrive and whatever the session's settings, and a partition
+    computed again after a loss equals the lost one. Large tables want more tasks.
     """
     assembler = VectorAssembler(inputCols=list(features), outputCol="features")
     forest = RandomForestClassifier(
@@ -69,7 +71,6 @@ def fit_forest(
     )
     # The fit reads its input several times; only the columns it needs are kept around.
     rows = feature_rows(training.select(*keys, *features, target), features, target)
-    tasks = int(training.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     needed = rows.repartition(tasks, *keys).sortWithinPartitions(*rows.columns).persist()
     try:
         return Pipeline(stages=[assembler, forest]).fit(needed)

@@ -28,11 +28,19 @@ def find_teams(names: DataFrame, stats: DataFrame, lookup: str = "search") -> Da
 
     ``search`` takes the team whose name contains the text, ignoring case: of its
     latest season, an equal name before a longer one. ``exact`` takes the equal name.
-    Texts without a team are absent.
+    Texts without a team are absent. Where ``names`` has ``asked_league``, an exact
+    lookup looks in that league alone, or in all where it is NULL.
     """
-    asked = names.select("asked").filter(F.lower("asked").isNotNull()).distinct()
+    by_league = "asked_league" in names.columns
+    if by_league and lookup != "exact":
+        raise ValueError("a league can be asked for in exact lookups only")
+    keys = ["asked", "asked_league"] if by_league else ["asked"]
+    asked = names.select(*keys).filter(F.lower("asked").isNotNull()).distinct()
     if lookup == "exact":
-        return keep_one(asked.join(stats, F.col("asked") == F.col("team_name")), ["asked"], _preference(stats))
+        found = asked.join(stats, F.col("asked") == F.col("team_name"))
+        if by_league:
+            found = found.filter(F.col("asked_league").isNull() | (F.col("asked_league") == F.col("league")))
+        return keep_one(found, keys, _preference(stats))
     if lookup != "search":
         raise ValueError(f"unknown lookup {lookup!r}")
     lowered = asked.withColumn("_wanted", F.lower("asked"))
@@ -56,17 +64,20 @@ def score_pairings(
     exactly), ``incomplete`` (a figure is missing and ``null_fill`` is not given), and
     only ``ok`` rows carry a forecast.
     ``cross_league`` tells that the teams play in different leagues, ``liga`` is the
-    home team's.
+    home team's. A column ``league`` of ``pairings`` says which league both names are
+    looked up in, exactly; NULL means any.
     """
-    texts = pairings.select(F.explode(F.array(*ASKED)).alias("asked"))
+    leagues = ["league"] if "league" in pairings.columns else []
+    texts = pairings.select(F.explode(F.array(*ASKED)).alias("asked"), *(F.col(c).alias("asked_league") for c in leagues))
     teams = find_teams(texts, stats, lookup).select(
         F.col("asked").alias("team"),
+        *(F.col("asked_league") for _ in leagues),
         F.col("team_name").alias("found"),
         "league",
         "team_id",
         *(F.col(name).cast("double").alias(name) for name in PROFILE),
     )
-    paired = _both_teams(pairings, teams)
+    paired = _both_teams(pairings, teams, leagues)
 
     same = F.lit(lookup == "exact") & (F.col("home_team") == F.col("away_team"))
     if null_fill is not None:
@@ -76,7 +87,7 @@ def score_pairings(
     )
     missing = F.lit(False)
     for feature in FEATURES:
-        missing = missing | F.col(feature).isNull()
+        missing = missing | F.col(feature).isNull() | F.isnan(F.col(feature).cast("double"))
     status = (
         F.when(F.col("home_found").isNull(), "home_not_found")
         .when(F.col("away_found").isNull(), "away_not_found")
@@ -102,12 +113,17 @@ def score_pairings(
     )
 
 
-def _both_teams(pairings: DataFrame, teams: DataFrame) -> DataFrame:
+def _both_teams(pairings: DataFrame, teams: DataFrame, leagues: list[str]) -> DataFrame:
     columns = ("found", "league", "team_id", *PROFILE)
     paired = pairings
     for role in ROLES:
         side = teams.select(
-            F.col("team").alias(f"{role}_team"), *(F.col(name).alias(f"{role}_{name}") for name in columns)
+            F.col("team").alias("_team"),
+            *(F.col("asked_league").alias("_league") for _ in leagues),
+            *(F.col(name).alias(f"{role}_{name}") for name in columns),
         )
-        paired = paired.join(side, f"{role}_team", "left")
+        same = F.col(f"{role}_team") == F.col("_team")
+        for league in leagues:
+            same = same & F.col(league).eqNullSafe(F.col("_league"))
+        paired = paired.join(side, same, "left").drop("_team", "_league")
     return paired

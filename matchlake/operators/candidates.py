@@ -3,13 +3,8 @@
 The filter is the partition scheme of Pass-Join (Li, Deng, Wang and Feng, VLDB
 2011): cut the longer of two strings into ``k + 1`` segments; with at most ``k``
 edits one segment survives and occurs in the shorter string, near its own
-position. Names therefore meet only on a shared segment and length, and each
-meeting is verified, so the result equals that of comparing all pairs.
-
-A segment that very many names share ("sporting ") is not enough to meet on. Of the
-surviving segments one has at most ``index`` edits before and ``k - index`` after
-it, so the rest of the name can be cut in the same way, and such names meet only
-when a piece of the rest survives as well.
+position. Names therefore meet only on a shared segment and length, and each pair
+that meets is verified, so the result equals that of comparing all pairs.
 """
 
 from __future__ import annotations
@@ -23,8 +18,6 @@ from matchlake.functions.names import name_key
 from matchlake.operators.resolve import TEAM_COLUMNS, club_columns, teams_of_season
 
 TEAM_LONGER, CLUB_LONGER, BOTH_SHORT = 0, 1, 2
-MEETINGS_PER_ROW = 100
-CELL_SIDE = 2000
 
 
 def _with_segment(df: DataFrame, length: str, index: str, edits: Column) -> DataFrame:
@@ -52,26 +45,17 @@ def _window(index: Column, edits: Column, gap: Column, length: Column) -> Column
     return F.when(first <= last, F.sequence(first, last))
 
 
-def _placed(df: DataFrame, role: int, in_place: bool) -> DataFrame:
+def _placed(df: DataFrame, role: int) -> DataFrame:
     """The signature of the piece of ``name`` at ``at``, for the segment ``index`` of a name ``longer`` long."""
     piece = F.substring(F.col("name"), F.col("at"), F.col("size"))
-    return df.select(
-        "name",
-        F.xxhash64(F.lit(role), "longer", "index", piece).alias("signature"),
-        "index",
-        "at",
-        "start",
-        "size",
-        "longer",
-        F.lit(in_place).alias("in_place"),
-    )
+    return df.select("name", F.xxhash64(F.lit(role), "longer", "index", piece).alias("signature"))
 
 
 def _segments(names: DataFrame, role: int, k: int) -> DataFrame:
     """The longer side: its segments, in their own places."""
     every = F.explode(F.sequence(F.lit(0), F.lit(k))).alias("index")
     cut = names.select("name", F.length("name").alias("longer"), every).filter(F.col("longer") > k)
-    return _placed(_with_segment(cut, "longer", "index", F.lit(k)).withColumn("at", F.col("start")), role, True)
+    return _placed(_with_segment(cut, "longer", "index", F.lit(k)).withColumn("at", F.col("start")), role)
 
 
 def _windows(names: DataFrame, role: int, k: int, min_gap: int) -> DataFrame:
@@ -82,72 +66,22 @@ def _windows(names: DataFrame, role: int, k: int, min_gap: int) -> DataFrame:
     cut = names.select("name", lengths).filter(F.col("longer") > k).select("name", "longer", every)
     moved = _with_segment(cut, "longer", "index", F.lit(k))
     window = _window(index, F.lit(k), F.col("longer") - length, length)
-    return _placed(moved.select("*", F.explode(window).alias("at")), role, False)
+    return _placed(moved.select("*", F.explode(window).alias("at")), role)
 
 
 def _short(names: DataFrame, k: int) -> DataFrame:
     """Names of at most ``k`` characters are all within ``k`` edits of one another."""
-    whole = {name: F.lit(0) for name in ("at", "start", "size", "longer")}
-    short = names.filter(F.length("name") <= k).withColumns({"index": F.lit(None).cast("int"), **whole})
-    return _placed(short, BOTH_SHORT, True)
-
-
-def _refined(places: DataFrame, k: int) -> DataFrame:
-    """``name`` and ``signature``, which for a hot one also holds a piece of the rest of the name.
-
-    The rest is what follows the segment, or precedes it for the later segments.
-    """
-    name, index, at, rest, part = (F.col(c) for c in ("name", "index", "at", "rest", "part"))
-    # Between names of at most k characters, which have no segments, every pair is a result.
-    split = F.col("hot") & index.isNotNull()
-    follows = index * 2 <= k
-    after = F.substring(name, at + F.col("size"), F.length(name))
-    before = F.substring(name, F.lit(1), at - 1)
-    rests = places.select(
-        "name",
-        "signature",
-        "in_place",
-        F.when(split, F.when(follows, after).otherwise(before)).alias("rest"),
-        F.when(follows, F.col("longer") - F.col("start") - F.col("size") + 1)
-        .otherwise(F.col("start") - 1)
-        .alias("rest_length"),
-        F.when(split, F.when(follows, F.lit(k) - index).otherwise(index)).otherwise(0).alias("edits"),
-    )
-    parts = rests.select("*", F.explode(F.sequence(F.lit(0), F.col("edits"))).alias("part"))
-    cut = _with_segment(parts, "rest_length", "part", F.col("edits"))
-    window = _window(part, F.col("edits"), F.col("rest_length") - F.length(rest), F.length(rest))
-    place = F.when(rest.isNull() | F.col("in_place"), F.array("start")).otherwise(window)
-    piece = F.substring(rest, F.col("place"), F.col("size"))
-    signature = F.when(rest.isNull(), F.col("signature")).otherwise(F.xxhash64("signature", "part", piece))
-    return cut.select("*", F.explode(place).alias("place")).select("name", signature.alias("signature"))
-
-
-def _shared(teams: DataFrame, clubs: DataFrame) -> DataFrame:
-    """Signatures that both sides have, with the number of rows of either."""
-    n_teams = teams.groupBy("signature").agg(F.count(F.lit(1)).alias("n_teams"))
-    n_clubs = clubs.groupBy("signature").agg(F.count(F.lit(1)).alias("n_clubs"))
-    return n_teams.join(n_clubs, "signature")
-
-
-def _spread(signed: DataFrame, cells: DataFrame, own: str, other: str) -> DataFrame:
-    """Place each row in one band of its own side, and in every band of the other side."""
-    met = signed.join(cells, "signature").distinct()
-    return met.select(
-        "name",
-        "signature",
-        F.pmod(F.xxhash64("name"), F.col(own)).alias(own),
-        F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(other) - 1)).alias(other),
-    )
+    whole = {name: F.lit(0) for name in ("at", "size", "longer", "index")}
+    return _placed(names.filter(F.length("name") <= k).withColumns(whole), BOTH_SHORT)
 
 
 def near_names(teams: DataFrame, clubs: DataFrame, k: int) -> DataFrame:
     """Distinct ``(team_key, club_key, name_distance)`` with a distance of at most ``k``.
 
-    Both inputs hold distinct strings in ``name``. A signature is refined when it
-    would let each of its rows meet ``MEETINGS_PER_ROW`` others or more, which is
-    above what refining adds; what is still shared by very many names is split into
-    a grid of cells, each holding about ``CELL_SIDE`` names of either side, so no task
-    gets such a group whole.
+    Both inputs hold distinct strings in ``name``. Each side is spread to its signatures
+    once; pairs that meet on several are one before they are verified, in the task that
+    joins them already. A signature that many names share is a skewed key, which
+    adaptive execution splits.
     """
     # Every name becomes many signatures, which asks for more tasks than its bytes do.
     tasks = int(teams.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -157,40 +91,24 @@ def near_names(teams: DataFrame, clubs: DataFrame, k: int) -> DataFrame:
     if k > 0:
         team_places.append(_windows(teams, CLUB_LONGER, k, 1))
         club_places.append(_segments(clubs, CLUB_LONGER, k))
-    placed_teams = reduce(DataFrame.unionByName, team_places)
-    placed_clubs = reduce(DataFrame.unionByName, club_places)
-
-    # Only signatures of both sides can give pairs.
-    meetings, rows = F.col("n_teams") * F.col("n_clubs"), F.col("n_teams") + F.col("n_clubs")
-    hot = meetings > rows * MEETINGS_PER_ROW
-    shared = _shared(placed_teams, placed_clubs).select("signature", hot.alias("hot"))
-    signed_teams = _refined(placed_teams.join(shared, "signature"), k)
-    signed_clubs = _refined(placed_clubs.join(shared, "signature"), k)
-    cells = _shared(signed_teams, signed_clubs).select(
-        "signature",
-        F.ceil(F.col("n_teams") / CELL_SIDE).alias("team_band"),
-        F.ceil(F.col("n_clubs") / CELL_SIDE).alias("club_band"),
-    )
-    left = _spread(signed_teams, cells, "team_band", "club_band").withColumnRenamed("name", "team_key")
-    right = _spread(signed_clubs, cells, "club_band", "team_band").withColumnRenamed("name", "club_key")
+    left = reduce(DataFrame.unionByName, team_places).withColumnRenamed("name", "team_key")
+    right = reduce(DataFrame.unionByName, club_places).withColumnRenamed("name", "club_key")
+    met = left.join(right, "signature").select("team_key", "club_key").distinct()
     distance = F.levenshtein("team_key", "club_key", k)
-    met = left.join(right, ["signature", "team_band", "club_band"])
-    return (
-        met.select("team_key", "club_key", distance.alias("name_distance"))
-        .filter(F.col("name_distance") >= 0)
-        .distinct()
-    )
+    return met.select("*", distance.alias("name_distance")).filter(F.col("name_distance") >= 0)
 
 
 def name_candidates(
     teams: DataFrame,
     values: DataFrame,
-    max_distance: int = 12,
+    max_distance: int,
     season: int | None = None,
     ordered: bool = False,
 ) -> DataFrame:
     """Every (team, club) whose simple keys are at most ``max_distance`` edits apart.
 
+    Names of at most ``max_distance`` characters are all within it of one another, so
+    the distance should be well below the usual name's length.
     Names are compared once per distinct key; ``ordered`` sorts the result for a
     report, which a table does not need.
     """

@@ -29,22 +29,26 @@ def logo_per_team(matches: DataFrame) -> DataFrame:
 
 
 def latest_team_stats(
-    training: DataFrame, logos: DataFrame, keys: Sequence[str] = ("team_id", "league")
+    training: DataFrame, logos: DataFrame, keys: Sequence[str] = ("source", "team_id", "league")
 ) -> DataFrame:
     """Each team's complete figures in its latest season, with its logo or an empty text.
 
+    Vendors number their teams on their own, so the vendor belongs to the key; with
+    ``keys=("team_id", "league")`` one of two teams of equal ids stays, as in the earlier jobs.
+
     A team's figures repeat in all its matches of a season; they are made distinct
     first, which aggregates before the shuffle and leaves little to rank.
     """
-    rows = stack_roles(training, ["league", "season"], STAT_COLUMNS).dropna().distinct()
+    named = list(dict.fromkeys(["league", "season", *(k for k in keys if k != "team_id")]))
+    rows = stack_roles(training, named, STAT_COLUMNS).dropna().distinct()
     ties = [F.col(c) for c in rows.columns if c not in (*keys, "season")]
     latest = keep_one(rows, keys, [F.col("season").desc(), *ties]).drop("season")
     stats = latest.join(logos, "team_name", "left").withColumn("logo_url", F.coalesce("logo_url", F.lit("")))
-    return stats.select("league", *STAT_COLUMNS, "logo_url")
+    return stats.select(*(c for c in named if c != "season"), *STAT_COLUMNS, "logo_url")
 
 
 def team_profiles(matches_to_clubs: DataFrame, standings: DataFrame) -> DataFrame:
-    """Latest squad value and latest standing of each team that has both, for pairings.
+    """Latest squad value of each team, with its latest standing or NULL, for pairings.
 
     ``season`` is that of the squad value.
     """
@@ -67,4 +71,4 @@ def team_profiles(matches_to_clubs: DataFrame, standings: DataFrame) -> DataFram
     table = latest(
         standings.select(*keys, "season", "rank", "points", F.col("goal_difference").alias("goal_diff"))
     ).drop("season")
-    return squads.join(table, keys)
+    return squads.join(table, keys, "left")

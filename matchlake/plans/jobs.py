@@ -53,8 +53,9 @@ def _standings(spark: SparkSession, base: str) -> DataFrame:
 
 def slices_job(spark: SparkSession, base: str, dumps: str) -> dict[str, DataFrame]:
     """League slices of the registry's full dumps ``<dumps>/{clubs,players,player_valuations}.csv.gz``."""
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))  # a gzip file is read by one
     full = {
-        name: spark.read.option("header", True).csv(f"{dumps.rstrip('/')}/{name}.csv.gz")
+        name: spark.read.option("header", True).csv(f"{dumps.rstrip('/')}/{name}.csv.gz").repartition(tasks)
         for name in ("clubs", "players", "player_valuations")
     }
     sliced = slice_by_league(full["clubs"], full["players"], full["player_valuations"])

@@ -20,11 +20,12 @@ from matchlake.functions.columns import (
 )
 from matchlake.functions.names import name_key
 from matchlake.operators.dedupe import keep_one
-from matchlake.operators.nested import explode_rows, flatten
+from matchlake.operators.nested import explode_rows, flatten, parse_fields
 from matchlake.operators.unify import tag_source, unify
 from matchlake.plans import fields
 
 TEAM_SEASON = ("team_id", "league", "season")
+LANDED = "ingest_date"
 HEADER_B = (
     ("competition.code", "competition_code"),
     ("competition.name", "competition_name"),
@@ -32,6 +33,19 @@ HEADER_B = (
 )
 
 
+def _landed(df: DataFrame) -> list[tuple[str, str]]:
+    """The landing day, where the raw rows have one."""
+    return [(LANDED, LANDED)] if LANDED in df.columns else []
+
+
+def _latest(flat: DataFrame, order: Sequence[Column] | None) -> DataFrame:
+    """One row per team, league and season: by ``order``, else of the latest landing."""
+    if order is None and LANDED in flat.columns:
+        rest = [F.col(c).asc_nulls_last() for c in flat.columns if c not in (*TEAM_SEASON, LANDED)]
+        order = [F.col(LANDED).desc_nulls_last(), *rest]
+    return keep_one(flat, TEAM_SEASON, order).drop(LANDED)
+
+
 def fact_matches_a(fixtures: DataFrame) -> DataFrame:
     """Matches of vendor A; the outcome follows from the goals."""
     flat = flatten(fixtures, fields.MATCH_FIELDS_A)
@@ -57,8 +71,8 @@ def fact_matches_b(documents: DataFrame, leagues: Mapping[str, str] = LEAGUE_BY_
 
 
 def dim_teams_a(teams: DataFrame, order: Sequence[Column] | None = None) -> DataFrame:
-    """Teams of vendor A, one row per team, league and season."""
-    return keep_one(flatten(teams, fields.TEAM_FIELDS_A), TEAM_SEASON, order)
+    """Teams of vendor A, one row per team, league and season: that of the latest landing."""
+    return _latest(flatten(teams, [*parse_fields(fields.TEAM_FIELDS_A), *_landed(teams)]), order)
 
 
 def _league_and_season(flat: DataFrame, leagues: Mapping[str, str]) -> DataFrame:
@@ -75,15 +89,15 @@ def dim_teams_b(
     order: Sequence[Column] | None = None,
     leagues: Mapping[str, str] = LEAGUE_BY_CODE,
 ) -> DataFrame:
-    """Teams of vendor B, one row per team, league and season."""
-    teams = explode_rows(documents, "teams", "team", HEADER_B)
-    flat = _league_and_season(flatten(teams, fields.TEAM_FIELDS_B), leagues)
-    return keep_one(tag_source(flat, fields.SOURCE_B), TEAM_SEASON, order)
+    """Teams of vendor B, one row per team, league and season: that of the latest landing."""
+    teams = explode_rows(documents, "teams", "team", [*HEADER_B, *_landed(documents)])
+    flat = flatten(teams, [*parse_fields(fields.TEAM_FIELDS_B), *_landed(documents)])
+    return _latest(tag_source(_league_and_season(flat, leagues), fields.SOURCE_B), order)
 
 
 def fact_standings_a(standings: DataFrame, order: Sequence[Column] | None = None) -> DataFrame:
-    """Standings of vendor A, one row per team, league and season."""
-    return keep_one(flatten(standings, fields.STANDING_FIELDS_A), TEAM_SEASON, order)
+    """Standings of vendor A, one row per team, league and season: that of the latest landing."""
+    return _latest(flatten(standings, [*parse_fields(fields.STANDING_FIELDS_A), *_landed(standings)]), order)
 
 
 def fact_standings_b(
@@ -92,15 +106,15 @@ def fact_standings_b(
     order: Sequence[Column] | None = None,
     leagues: Mapping[str, str] = LEAGUE_BY_CODE,
 ) -> DataFrame:
-    """Overall standings of vendor B; ``unique=False`` keeps re-landed rows."""
-    header = (HEADER_B[0], HEADER_B[2])
+    """Overall standings of vendor B, of the latest landing; ``unique=False`` keeps re-landed rows."""
+    header = (HEADER_B[0], HEADER_B[2], *_landed(documents))
     names = tuple((name, name) for _, name in header)
     overall = F.col("standing.type") == "TOTAL"
     groups = explode_rows(documents, "standings", "standing", header, where=overall)
     rows = explode_rows(groups, "standing.table", "row", names)
-    flat = _league_and_season(flatten(rows, fields.STANDING_FIELDS_B), leagues)
-    table = flat.drop("competition_code", "season_start_date")
-    return keep_one(table, TEAM_SEASON, order) if unique else table
+    flat = flatten(rows, [*parse_fields(fields.STANDING_FIELDS_B), *_landed(documents)])
+    table = _league_and_season(flat, leagues).drop("competition_code", "season_start_date")
+    return _latest(table, order) if unique else table.drop(LANDED)
 
 
 def dim_clubs(clubs: DataFrame, order: Sequence[Column] | None = None) -> DataFrame:
@@ -127,7 +141,7 @@ def fact_matches(
 def dim_teams(teams_a: DataFrame, teams_b: DataFrame) -> DataFrame:
     """Teams of both vendors with their simple key, one row per team, league, season and vendor."""
     sources = {fields.SOURCE_A: teams_a.withColumnRenamed("team_code", "team_tla"), fields.SOURCE_B: teams_b}
-    unified = unify(sources, fields.TEAM_COLUMNS, (*TEAM_SEASON, "source"))
+    unified = unify(sources, fields.TEAM_COLUMNS)  # both vendors' teams are unique already
     return unified.withColumn("team_name_normalized", name_key(F.col("team_name")))
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import atexit
 import uuid
 
 from pyspark.sql import SparkSession
@@ -31,14 +31,21 @@ def create_session(app_name: str = "matchlake", master: str | None = None, **con
 
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder every executor can reach, below ``spark.checkpoint.dir``.
+    """A fresh folder every executor can reach, removed when this process ends.
 
-    Only a local session may fall back on a temporary folder of this machine.
+    It lies below ``spark.checkpoint.dir`` or, where that is unset, in the warehouse,
+    which all executors share as well.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        root = tempfile.mkdtemp(prefix="matchlake-")
-        spark.sparkContext.setCheckpointDir(root)
-    return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+        root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/intermediate"
+    folder = f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    atexit.register(remove_folder, spark, folder)
+    return folder
+
+
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    """Delete a folder of the session's file systems, if it is there."""
+    jvm, hadoop = spark._jvm, spark._jsc.hadoopConfiguration() if spark._jsc.sc() else None
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(hadoop or jvm.org.apache.hadoop.conf.Configuration()).delete(path, True)

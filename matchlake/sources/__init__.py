@@ -9,6 +9,8 @@ from matchlake.sources.readers import (
     read_parquet,
     require_rows,
     rows_frame,
+    split_json_records,
+    with_landing,
 )
 from matchlake.sources.slices import slice_by_league
 from matchlake.sources.writers import land_records, write_dataset, write_files
@@ -26,6 +28,8 @@ __all__ = [
     "rows_frame",
     "slice_by_league",
     "split_envelopes",
+    "split_json_records",
+    "with_landing",
     "write_dataset",
     "write_files",
 ]

@@ -6,13 +6,35 @@ from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from matchlake.catalog import DATASETS, dataset_path
 
 
-def read_json_records(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """Rows from JSON lines or one-line JSON arrays of rows; such files can be split."""
-    return spark.read.schema(schema).json(path)
+LANDED = "ingest_date"
+CORRUPT = "_corrupt_record"
+
+
+def read_json_records(spark: SparkSession, path: str, schema: str | StructType, multi_line: bool = False) -> DataFrame:
+    """Rows from JSON lines or one-line JSON arrays of rows; such files can be split.
+
+    ``multi_line`` reads arrays and objects that go over several lines, a file to a task.
+    """
+    return spark.read.schema(schema).option("multiLine", multi_line).json(path)
+
+
+def split_json_records(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame, DataFrame]:
+    """Rows of JSON lines, and the lines that are no records of the schema: ``value`` and ``file``.
+
+    The columns of the folders' names stay with the rows.
+    """
+    lines = spark.read.text(path)
+    folders = [c for c in lines.columns if c != "value"]
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    row = F.from_json("value", f"{schema}, {CORRUPT} string", options).alias("row")
+    parsed = lines.select("value", row, *folders, F.col("_metadata.file_path").alias("file"))
+    broken = F.col(f"row.{CORRUPT}").isNotNull()
+    return parsed.filter(~broken).select("row.*", *folders).drop(CORRUPT), parsed.filter(broken).select("value", "file")
 
 
 def read_json_documents(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -24,10 +46,12 @@ def read_json_documents(spark: SparkSession, path: str, schema: str) -> DataFram
 def read_csv(spark: SparkSession, path: str, schema: str, partitions: int | None = None) -> DataFrame:
     """Delimited rows with a header, gzip by file extension; the header names choose the columns.
 
-    A column the header lacks and a value that is not of its type are NULL. A gzip
-    file is one task, so ``partitions`` spreads its rows after reading.
+    A column the header lacks and a value that is not of its type are NULL. Files whose
+    headers differ are an error, as their values would go to each other's columns. A
+    gzip file is one task, so ``partitions`` spreads its rows after reading.
     """
-    text = spark.read.option("header", True).csv(path)
+    header = spark.read.option("header", True).csv(path)
+    text = spark.read.schema(header.schema).option("header", True).option("enforceSchema", False).csv(path)
     present = set(text.columns)
     rows = text.select(
         *(
@@ -44,12 +68,19 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_dataset(spark: SparkSession, name: str, base: str) -> DataFrame:
-    """A dataset of the catalog."""
+    """A dataset of the catalog; raw JSON also gets the day that its path names, NULL where there is none."""
     dataset, path = DATASETS[name], dataset_path(base, name)
     if dataset.layout == "parquet":
         return read_parquet(spark, path)
     reader = {"records": read_json_records, "documents": read_json_documents, "csv": read_csv}
-    return reader[dataset.layout](spark, path, dataset.schema)
+    df = reader[dataset.layout](spark, path, dataset.schema)
+    return df if dataset.layout == "csv" else with_landing(df)
+
+
+def with_landing(df: DataFrame) -> DataFrame:
+    """``df`` as it is read from files, with the last date in each file's path as ``ingest_date``."""
+    day = F.regexp_extract("_metadata.file_path", r"^.*(\d{4}-\d{2}-\d{2})", 1)
+    return df.withColumn(LANDED, F.when(day != "", day))
 
 
 def require_rows(df: DataFrame, name: str) -> DataFrame:

@@ -27,7 +27,7 @@ def write_files(
     tasks, which a plain repartition by the folder's columns would not.
     """
     if files:
-        df = df.coalesce(files)
+        df = df.repartition(files)
     elif partition_by:
         df = df.hint("rebalance", *(F.col(c) for c in partition_by))
     writer = df.write.mode(mode).format(file_format).options(**options)
@@ -48,9 +48,10 @@ def write_dataset(
 
 
 def land_records(df: DataFrame, path: str, ingest_date: str) -> None:
-    """Append one day's raw records as JSON lines, below league, season and day.
+    """Land one day's raw records as JSON lines, below league, season and day.
 
-    The day is a folder of its own; "latest landing wins" rules order by it.
+    The day is a folder of its own, by which the latest landing wins. Landing a day
+    again replaces its records of the leagues and seasons that it lands.
     """
     dated = df.withColumn("ingest_date", F.lit(ingest_date))
-    write_files(dated, path, "json", ("league", "season", "ingest_date"), mode="append")
+    write_files(dated, path, "json", ("league", "season", "ingest_date"), overwrite="dynamic")

@@ -85,7 +85,7 @@ def base(spark, tmp_path_factory):
         "dim_clubs", "team_market_values", "fact_matches", "dim_teams",
     ):
         run_job(spark, job, root)
-    run_job(spark, "candidates", root, season=2025)
+    run_job(spark, "candidates", root, season=2025, max_distance=4)
     run_job(spark, "resolve", root)
     for job in ("enrich", "training", "model", "team_stats"):
         run_job(spark, job, root)

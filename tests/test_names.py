@@ -64,9 +64,7 @@ def test_near_names_equal_all_pairs(frame, k):
 
 
 @pytest.mark.parametrize("k", [1, 2, 4, 7])
-def test_refined_signatures_equal_all_pairs(frame, monkeypatch, k):
-    monkeypatch.setattr("matchlake.operators.candidates.MEETINGS_PER_ROW", 0)
-    monkeypatch.setattr("matchlake.operators.candidates.CELL_SIDE", 2)
+def test_names_with_a_common_segment_equal_all_pairs(frame, k):
     rng = random.Random(100 + k)
     letters = "ab "
     base = ["sporting " + "".join(rng.choice(letters) for _ in range(rng.randint(0, 12))) for _ in range(25)]
@@ -78,8 +76,7 @@ def test_refined_signatures_equal_all_pairs(frame, monkeypatch, k):
     assert {tuple(r) for r in got} == {(a, b, distance(a, b)) for a in left for b in right if distance(a, b) <= k}
 
 
-def test_hot_signatures_are_split_without_losing_pairs(frame, monkeypatch):
-    monkeypatch.setattr("matchlake.operators.candidates.CELL_SIDE", 3)
+def test_hot_signatures_lose_no_pairs(frame):
     words = [f"club {chr(97 + i)}{chr(97 + j)}" for i in range(6) for j in range(6)]
     names = frame([(w,) for w in words], "name string")
     got = {tuple(r)[:2] for r in near_names(names, names, 1).collect()}

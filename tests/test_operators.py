@@ -137,7 +137,7 @@ def test_roles_rename_and_stack(frame, rows):
 
 def test_latest_stats_need_every_figure(frame, rows):
     columns = (
-        "league string, season int, "
+        "league string, season int, source string, "
         + ", ".join(
             f"{r}_team_id int, {r}_team_name string, {r}_squad_market_value_eur double, "
             f"{r}_avg_player_market_value_eur double, {r}_players_count int, {r}_rank int, {r}_points int, "
@@ -147,9 +147,21 @@ def test_latest_stats_need_every_figure(frame, rows):
     )
     old, new = (1, "one", 5.0, 1.0, 20, 3, 30, 1), (1, "one", 6.0, 1.0, 20, 2, 40, 9)
     partial = (2, "two", None, 1.0, 20, 2, 40, 9)
-    df = frame([("x", 2023, *old, *partial), ("x", 2024, *partial, *new)], columns)
+    df = frame([("x", 2023, "a", *old, *partial), ("x", 2024, "a", *partial, *new)], columns)
     logos = frame([("two", "l")], "team_name string, logo_url string")
-    assert rows(operators.latest_team_stats(df, logos)) == [("x", *new, "")]
+    assert rows(operators.latest_team_stats(df, logos)) == [("x", "a", *new, "")]
+    assert rows(operators.latest_team_stats(df, logos, ("team_id", "league"))) == [("x", *new, "")]
+
+
+def test_vendors_share_team_ids(frame, rows):
+    sides = ("home", "away")
+    figures = [f"{r}_{c}" for r in sides for c in operators.stats.STAT_COLUMNS]
+    one, two = (1, "Alpha", 1.0, 1.0, 1, 1, 1, 1), (1, "Gamma", 2.0, 1.0, 1, 1, 1, 1)
+    kinds = {"team_name": "string", "squad_market_value_eur": "double", "avg_player_market_value_eur": "double"}
+    schema = "league string, season int, source string, " + ", ".join(f"{c} {kinds.get(c.split('_', 1)[1], 'int')}" for c in figures)
+    df = frame([("x", 2024, "a", *one, *one), ("x", 2024, "b", *two, *two)], schema)
+    logos = frame([], "team_name string, logo_url string")
+    assert [r[:4] for r in rows(operators.latest_team_stats(df, logos))] == [("x", "a", 1, "Alpha"), ("x", "b", 1, "Gamma")]
 
 
 def test_logo_is_the_smallest_seen(frame, rows):

@@ -286,8 +286,10 @@ def oracle_queries() -> dict[str, str]:
                        {CODES.format("upper(substr(league, 1, 2))")} AS league, season
                 FROM standing WHERE source = 'football_data_org'""",
         ),
+        "src_json_rejected": """SELECT o_orderkey, CASE WHEN o_orderstatus <> 'P' THEN o_custkey END AS o_custkey,
+            o_orderstatus = 'P' AS rejected FROM orders""",
         "parse_timestamp": """SELECT event_id,
-            CASE WHEN event_type <> 'error' THEN date_trunc('second', ts) END AS ts FROM events""",
+            CASE WHEN event_type <> 'error' THEN ts END AS ts FROM events""",
         "season_of": """SELECT o_orderkey, CASE WHEN o_orderpriority <> '4-NOT SPECIFIED'
             THEN cast(year(o_orderdate) AS int) END AS season FROM orders""",
         "league_map": f"""
@@ -355,6 +357,14 @@ def oracle_queries() -> dict[str, str]:
                       goal_difference, source), season || '-12-31' AS last_updated
                FROM standing WHERE source = 'api_football'""",
         ),
+        "standings_relanded": using(
+            "standing",
+            """SELECT team_id, team_name, lower(team_name) || '.png' AS team_logo, rank, points, goal_difference,
+                      cast(NULL AS varchar) AS recent_form, CASE WHEN rank = 1 THEN 'Champion' END AS description,
+                      'same' AS status, league AS group_name, * EXCLUDE (team_id, team_name, rank, points,
+                      goal_difference, source), season || '-12-31' AS last_updated
+               FROM standing WHERE source = 'api_football'""",
+        ),
         "union_standings": using(
             "standing",
             f"""SELECT team_id, CASE WHEN source = 'api_football' THEN league
@@ -441,13 +451,13 @@ def oracle_queries() -> dict[str, str]:
         ),
         "team_stats_latest": using(
             "training",
-            """SELECT league, team_id, team_name, squad_market_value_eur, avg_player_market_value_eur, players_count,
+            """SELECT league, source, team_id, team_name, squad_market_value_eur, avg_player_market_value_eur, players_count,
                       rank, points, goal_diff, lower(team_name) || '.png' AS logo_url
-               FROM (SELECT *, row_number() OVER (PARTITION BY team_id, league ORDER BY season DESC, team_name,
+               FROM (SELECT *, row_number() OVER (PARTITION BY source, team_id, league ORDER BY season DESC, team_name,
                         squad_market_value_eur, avg_player_market_value_eur, players_count, rank, points, goal_diff) AS place
                      FROM ("""
             + " UNION ALL ".join(
-                f"""SELECT league, season, {role}_team_id AS team_id, {role}_team_name AS team_name,
+                f"""SELECT league, season, source, {role}_team_id AS team_id, {role}_team_name AS team_name,
                            {role}_squad_market_value_eur AS squad_market_value_eur,
                            {role}_avg_player_market_value_eur AS avg_player_market_value_eur,
                            {role}_players_count AS players_count, {role}_rank AS rank, {role}_points AS points,
@@ -490,6 +500,20 @@ def oracle_queries() -> dict[str, str]:
                             WHEN home_team_id = away_team_id THEN 'same_team' ELSE 'ok' END AS status FROM match)
                GROUP BY 1""",
         ),
+        "pairing_incomplete": """
+            SELECT n_name AS home_team, CASE WHEN n_nationkey = 0 THEN 'same_team' WHEN n_nationkey % 2 = 1 THEN 'incomplete'
+                   ELSE 'ok' END AS status, n_nationkey > 0 AND n_nationkey % 2 = 0 AS has_forecast FROM nation""",
+        "score_pairings_checks": using(
+            "match",
+            """SELECT match_id, CASE WHEN home_goals IS NULL THEN 'away_not_found' ELSE 'ok' END AS status,
+                      home_goals IS NOT NULL AS has_forecast FROM match""",
+        ),
+        "feature_importance_checks": "SELECT 13 AS n_features, true AS adds_up",
+        "score_future_checks": using(
+            "with_table",
+            f"""SELECT league AS liga, count(*) AS n_rows, cast(0 AS bigint) AS n_wrong FROM with_table
+                WHERE home_goals IS NULL AND {" AND ".join(f"{c} IS NOT NULL" for c in FEATURES)} GROUP BY 1""",
+        ),
         "pairing_teams": using(
             "team club",
             """SELECT asked, transfermarkt_club_id AS team_id, transfermarkt_club_name AS team_name,

@@ -42,6 +42,20 @@ def src_json_records(spark, sf_dir):
     return sources.read_json_records(spark, landed, schema)
 
 
+@query
+def src_json_rejected(spark, sf_dir):
+    """Orders as JSON lines, of which the pending ones are cut off; the lines that are no records, by order."""
+    landed = shared_folder(spark, "json-rejected")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    line = F.to_json(F.struct("*"))
+    broken = F.when(F.col("o_orderstatus") == "P", F.substr(line, F.lit(1), F.length(line) - 1)).otherwise(line)
+    orders.select(broken.alias("value")).write.text(landed)
+    good, rejected = sources.split_json_records(spark, landed, "o_orderkey bigint, o_custkey bigint, o_orderstatus string")
+    key = F.regexp_extract("value", r'"o_orderkey":(\d+)', 1).cast("bigint")
+    lost = rejected.select(key.alias("o_orderkey"), F.lit(None).cast("bigint").alias("o_custkey"), F.lit(True).alias("rejected"))
+    return good.select("o_orderkey", "o_custkey", F.lit(False).alias("rejected")).unionByName(lost)
+
+
 @query
 def src_json_documents(spark, sf_dir):
     """Conversations as document files in nested folders, sixteen turns to a file, read whole."""
@@ -198,8 +212,8 @@ def explode_two_level(spark, sf_dir):
 
 @query
 def parse_timestamp(spark, sf_dir):
-    """Event times as ISO text; those of errors are damaged and give NULL."""
-    written = views.iso(F.col("ts"), "Z")
+    """Event times as ISO text, with their fractions; those of errors are damaged and give NULL."""
+    written = F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("Z"))
     text = F.when(F.col("event_type") == "error", F.concat(F.lit("x"), written)).otherwise(written)
     events = table(spark, sf_dir, "events").select("event_id", text.alias("raw"))
     return events.select("event_id", functions.parse_timestamp(F.col("raw")).cast("timestamp_ntz").alias("ts"))
@@ -297,6 +311,18 @@ def fact_standings(spark, sf_dir):
     return tables.fact_standings_a(views.raw_standings_a(spark, sf_dir))
 
 
+@query
+def standings_relanded(spark, sf_dir):
+    """Vendor A's standings landed on two days with different figures, the later day twice: its figures hold."""
+    landed = shared_folder(spark, "standings")
+    raw = views.raw_standings_a(spark, sf_dir)
+    early = raw.withColumns({"rank": F.col("rank") - 100, "points": F.lit(0).cast("bigint"), "goalsDiff": F.lit(-999).cast("bigint")})
+    for rows, day in ((raw, "2025-05-30"), (early, "2024-09-01"), (raw, "2025-05-30")):
+        sources.land_records(rows, landed, day)
+    back = sources.with_landing(sources.read_json_records(spark, landed, raw.schema))
+    return tables.fact_standings_a(back)
+
+
 @query
 def union_standings(spark, sf_dir):
     """Both vendors' standings, through their shapes, stacked."""
@@ -440,7 +466,7 @@ def team_stats_latest(spark, sf_dir):
 
 @query
 def logo_per_team(spark, sf_dir):
-    """The smallest of the brands seen with each part name, on either side of an order line pair."""
+    """The smallest of the brands and types seen with each part name, on either side of a row."""
     part = table(spark, sf_dir, "part")
     seen = part.select(
         F.col("p_name").alias("home_team_name"),
@@ -544,6 +570,27 @@ def score_future(spark, sf_dir):
     return ml.score(fitted(spark, sf_dir), training_sets(spark, sf_dir)[1])
 
 
+@query
+def score_future_checks(spark, sf_dir):
+    """Forecasts per league, and those whose shares or label can't be right."""
+    scored = ml.score(fitted(spark, sf_dir), training_sets(spark, sf_dir)[1])
+    shares = [F.col(name) for name in ml.scoring.PERCENTAGES]
+    largest = F.greatest(*shares)
+    named = F.when(F.col("pronostico") == forecast_label(F.lit(0.0)), shares[0])
+    named = named.when(F.col("pronostico") == forecast_label(F.lit(1.0)), shares[1])
+    named = named.when(F.col("pronostico") == forecast_label(F.lit(2.0)), shares[2])
+    wrong = F.coalesce((F.abs(sum(shares[1:], shares[0]) - 100) > 0.05) | (largest - named > 0.011), F.lit(True))
+    return scored.groupBy("liga").agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(wrong).alias("n_wrong"))
+
+
+@query
+def feature_importance_checks(spark, sf_dir):
+    """How many features the forest weighs, and whether their importances add up."""
+    found = ml.importances(spark, fitted(spark, sf_dir))
+    total = F.sum(F.col("importance"))
+    return found.agg(F.count(F.lit(1)).alias("n_features"), (F.abs(total - 1) < 1e-6).alias("adds_up"))
+
+
 @query
 def model_roundtrip(spark, sf_dir):
     """Forecasts of a saved and loaded model that differ from the fitted one's, per league."""
@@ -601,6 +648,26 @@ def score_pairings_exact(spark, sf_dir):
     )
 
 
+@query
+def pairing_incomplete(spark, sf_dir):
+    """Every nation against nation 0, where nations of odd numbers have a squad and no table."""
+    links = views.club_links(spark, sf_dir)
+    table_ = views.standings(spark, sf_dir).filter(F.col("team_id") % 2 == 0)
+    away = F.regexp_replace("n_name", "[0-9]+$", "0")
+    pairings = table(spark, sf_dir, "nation").select(
+        F.col("n_name").alias("home_team"), away.alias("away_team"), F.lit(None).cast("string").alias("league")
+    )
+    scored = ml.score_pairings(pairings, operators.team_profiles(links, table_), fitted(spark, sf_dir), lookup="exact")
+    return scored.select("home_team", "status", F.col("pronostico").isNotNull().alias("has_forecast"))
+
+
+@query
+def score_pairings_checks(spark, sf_dir):
+    """Status of every pairing, and whether it has a forecast."""
+    scored = ml.score_pairings(asked_pairings(spark, sf_dir), profiles(spark, sf_dir), fitted(spark, sf_dir))
+    return scored.select("match_id", "status", F.col("pronostico").isNotNull().alias("has_forecast"))
+
+
 @query
 def eval_metrics(spark, sf_dir):
     """Accuracy and weighted F1 of the line status as a forecast of the return flag."""
