@@ -37,10 +37,10 @@ def split_json_records(spark: SparkSession, path: str, schema: str) -> tuple[Dat
     return parsed.filter(~broken).select("row.*", *folders).drop(CORRUPT), parsed.filter(broken).select("value", "file")
 
 
-def read_json_documents(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """One JSON object per ``*.json`` file at any folder depth; folder names are not columns."""
+def read_json_documents(spark: SparkSession, path: str, schema: str, files: str = "*.json") -> DataFrame:
+    """One JSON object, or an array of them, per file at any folder depth; folder names are not columns."""
     reader = spark.read.schema(schema).option("recursiveFileLookup", True)
-    return reader.option("pathGlobFilter", "*.json").option("multiLine", True).json(path)
+    return reader.option("pathGlobFilter", files).option("multiLine", True).json(path)
 
 
 def read_csv(spark: SparkSession, path: str, schema: str, partitions: int | None = None) -> DataFrame:

@@ -58,19 +58,22 @@ def src_json_rejected(spark, sf_dir):
 
 @query
 def src_json_documents(spark, sf_dir):
-    """Conversations as document files in nested folders, sixteen turns to a file, read whole."""
+    """Conversations as arrays of documents of sixteen turns, in files in nested folders, read whole."""
     landed = shared_folder(spark, "json-documents")
     page = F.floor(F.col("turn") / 16)
     documents = (
         table(spark, sf_dir, "conversations")
         .groupBy("conv_id", page.alias("page"))
         .agg(F.collect_list(F.struct("turn", "role", "text")).alias("rows"))
-        .select(F.struct(F.col("conv_id").alias("code")).alias("competition"), "rows", "page")
+        .select(F.to_json(F.struct(F.struct(F.col("conv_id").alias("code")).alias("competition"), "rows")).alias("document"), "page", "conv_id")
     )
-    # A whole-file document holds one object, so every row is its own file.
-    sources.write_files(documents, landed, "json", ("page",), maxRecordsPerFile="1")
+    # A file that is read whole holds one array, here of the documents of up to a thousand ids.
+    arrays = documents.groupBy("page", F.expr("conv_id div 1000").alias("ids")).agg(
+        F.concat(F.lit("["), F.array_join(F.collect_list("document"), ","), F.lit("]")).alias("value")
+    )
+    sources.write_files(arrays.drop("ids"), landed, "text", ("page",), maxRecordsPerFile="1")
     schema = "competition struct<code:bigint>, rows array<struct<turn:bigint,role:string,text:string>>"
-    back = sources.read_json_documents(spark, landed, schema)
+    back = sources.read_json_documents(spark, landed, schema, files="*.txt")
     rows = operators.explode_rows(back, "rows", "row", [("competition.code", "conv_id")])
     return operators.flatten(rows, "conv_id\nrow.turn turn\nrow.role role\nrow.text text")
 

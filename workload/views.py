@@ -23,6 +23,8 @@ TABLES = (
 ).split()
 LEAGUES = {"AF": "africa", "AM": "america", "AS": "asia", "EU": "europe"}
 FIRST_VALUED_SEASON = 1999
+#: Range of match numbers whose matches of a league and season are one document.
+DOCUMENT_MATCHES = 20_000
 
 
 @cache
@@ -137,7 +139,7 @@ def raw_fixtures_a(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_matches_b(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Vendor B's match documents."""
+    """Vendor B's match documents: some matches of a league and season each."""
     home, away = F.col("home_goals"), F.col("away_goals")
 
     def side(role: str) -> Column:
@@ -171,7 +173,9 @@ def raw_matches_b(spark: SparkSession, sf_dir: str) -> DataFrame:
             ).alias("halfTime"),
         ).alias("score"),
     )
-    return lines_of(spark, sf_dir, SOURCE_B).select(competition().alias("competition"), F.array(match).alias("matches"))
+    chunk = F.expr(f"match_id div {DOCUMENT_MATCHES}").alias("chunk")
+    documents = lines_of(spark, sf_dir, SOURCE_B).groupBy("code", "r_name", "season", chunk)
+    return documents.agg(F.collect_list(match).alias("matches")).select(competition().alias("competition"), "matches")
 
 
 def competition() -> Column:
@@ -308,7 +312,7 @@ def raw_standings_a(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_standings_b(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Vendor B's standing documents: an overall and a home table each."""
+    """Vendor B's standing documents, one for each league and season: an overall and a home table."""
 
     def group(kind: str, points: Column) -> Column:
         row = F.struct(
@@ -318,14 +322,15 @@ def raw_standings_b(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("goal_difference").alias("goalDifference"),
             F.lit(None).cast("string").alias("form"),
         )
-        return F.struct(F.lit(kind).alias("type"), F.array(row).alias("table"))
+        return F.struct(F.lit(kind).alias("type"), F.collect_list(row).alias("table"))
 
     overall = group("TOTAL", F.col("points"))
     at_home = group("HOME", F.col("wins_home") * 3 + F.col("draws_home"))
-    return records(lines_of(spark, sf_dir, SOURCE_B)).select(
+    documents = records(lines_of(spark, sf_dir, SOURCE_B)).groupBy("league", F.col("season").alias("year"))
+    return documents.agg(F.array(overall, at_home).alias("standings")).select(
         F.struct(F.upper(F.substring("league", 1, 2)).alias("code")).alias("competition"),
-        F.struct(F.concat(F.col("season").cast("string"), F.lit("-01-01")).alias("startDate")).alias("season"),
-        F.array(overall, at_home).alias("standings"),
+        F.struct(F.concat(F.col("year").cast("string"), F.lit("-01-01")).alias("startDate")).alias("season"),
+        "standings",
     )
 
 
