@@ -34,12 +34,17 @@ def base(text):
     return [f"{k}:{m.start()}:{m.end()}" for k, p in PLAIN.items() for m in re.finditer(p, text or "") if passes(k, m[0])]
 
 
+def long_text(n):
+    """Texts on which careless patterns take quadratic time or deep recursion."""
+    return ["9" * n, "a." * n, "1 " * n, "+1" + " " * n, "a@" + "b." * n + "c", "1." * (n // 4) + "x", "+1" * n]
+
+
 def made():
     pick = random.Random(3)
     parts = ["a", "b.c", "@", "x@y.co", "_", ".", "1", "255", "256.1", "1.2.3.4", "4111 1111 1111 1111", "4111-1111-1111-1112"]
     parts += ["+1 (555) 555-1234", "+49", " ", "-", "é", "日", "(", "%", "call 555-123-4567", "me at home dot com", "+", "007.08.9.10"]
     texts = ["".join(pick.choices(parts, k=pick.randint(0, 20))) for _ in range(1500)]
-    return [*texts, None, "", "9" * 100_000, "a." * 50_000, "1 " * 50_000, "+1" + " " * 50_000, "a@" + "b." * 50_000 + "c"]
+    return [*texts, None, "", *(long_text(2000))]
 
 
 @pytest.fixture(scope="module")
@@ -74,6 +79,13 @@ def test_added_spans_are_ordered_and_overlap_no_other(found):
     assert added > 20
 
 
+def test_very_long_texts(frame):
+    rows = list(enumerate([*long_text(100_000), "x " * 200_000 + "me@a.org"]))
+    got = {r["doc_id"]: r["spans"] for r in pii.personal_data(frame(rows, "doc_id long, text string")).collect()}
+    assert [len([s for s in got[n] if s["kind"] == "email"]) for n in got if n in (0, 1, 4, 7)] == [0, 0, 1, 1]
+    assert got[7][0]["begin"] == 400_000 and got[7][0]["match"] == "me@a.org" and len([s for s in got[5] if s["base"]]) == 6250
+
+
 def test_texts_without_candidates_and_empty_tables(frame):
     docs = frame([(1, "nothing", 1), (2, None, 2)], "doc_id long, text string, row_id int")
     got = pii.personal_data(docs)
