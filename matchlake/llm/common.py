@@ -2,44 +2,32 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from matchlake.session import remove_folder, shared_folder
+
 #: White space that separates words: space and the controls 9 to 13.
 SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def scratch(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder below ``spark.checkpoint.dir``, which all executors share.
-
-    Where that is unset, the folder lies in the warehouse, which is shared as well.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not root:
-        root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
-    return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
-
-
 def stored(df: DataFrame, purpose: str) -> DataFrame:
     """``df`` written to scratch and read again, so that a lost executor repeats nothing before it."""
     spark = df.sparkSession
-    path = scratch(spark, purpose)
+    path = shared_folder(spark, purpose)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def forget(df: DataFrame) -> None:
     """Removes the scratch files that a frame of ``stored`` reads; it can't be used any more."""
-    jvm, conf = df.sparkSession._jvm, df.sparkSession._jsparkSession.sessionState().newHadoopConf()
     for folder in {name.rsplit("/", 1)[0] for name in df.inputFiles()}:
-        path = jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(conf).delete(path, True)
+        remove_folder(df.sparkSession, folder)
 
 
 def fresh(df: DataFrame, name: str) -> str:

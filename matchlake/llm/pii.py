@@ -181,26 +181,28 @@ def reliabilities(patterns: DataFrame, rounds: int = 10) -> dict[str, dict]:
     """Per kind: the share of personal data, and how likely each labeler votes so if it is and if not.
 
     ``patterns`` has the votes and their count ``n``: a row for each pattern, whatever the
-    corpus. Every round of expectation-maximisation is one aggregate with a row for each kind.
+    corpus. Every round of expectation-maximisation is one aggregate with a row for each
+    kind, labeler and vote.
     """
     names = [f"vote_{k}" for k in LABELERS]
+    one_by_one = F.explode(F.array(*[F.struct(F.lit(c).alias("labeler"), F.col(c).alias("vote")) for c in names]))
     belief = F.least(F.greatest(1 / (1 + F.exp(-sum((F.col(c) for c in names), F.lit(0)))), F.lit(0.02)), F.lit(0.98))
     known: dict[str, dict] = {}
     for _ in range(rounds):
-        p = F.col("n") * belief
-        sums = [F.sum(p).alias("yes"), F.sum(F.col("n") - p).alias("no")]
-        for c in names:
-            for v in (-1, 0, 1):
-                sums += [F.sum(F.when(F.col(c) == v, p).otherwise(0.0)).alias(f"yes {c} {v}")]
-                sums += [F.sum(F.when(F.col(c) == v, F.col("n") - p).otherwise(0.0)).alias(f"no {c} {v}")]
+        rated = patterns.select("kind", "n", (F.col("n") * belief).alias("p"), one_by_one.alias("cast"))
+        sums = rated.groupBy("kind", "cast.labeler", "cast.vote").agg(F.sum("p").alias("yes"), F.sum(F.col("n") - F.col("p")).alias("no"))
+        counts: dict[str, dict] = {}
+        for row in sums.collect():  # at most 4 kinds, 6 labelers and 3 votes
+            counts.setdefault(row["kind"], {})[row["labeler"], row["vote"]] = (row["yes"], row["no"])
         known = {}
-        for row in patterns.groupBy("kind").agg(*sums).collect():  # one for each kind
-            rates = {
-                (c, v): ((row[f"yes {c} {v}"] + 0.5) / (row["yes"] + 1.5), (row[f"no {c} {v}"] + 0.5) / (row["no"] + 1.5))
-                for c in names
-                for v in (-1, 0, 1)
-            }
-            known[row["kind"]] = {"share": (row["yes"] + 1) / (row["yes"] + row["no"] + 2), "rates": rates}
+        for kind, votes_ in counts.items():
+            yes, no = (sum(x[i] for (c, _), x in votes_.items() if c == names[0]) for i in (0, 1))
+            rates = {}
+            for c in names:
+                for v in (-1, 0, 1):
+                    seen = votes_.get((c, v), (0.0, 0.0))
+                    rates[c, v] = ((seen[0] + 0.5) / (yes + 1.5), (seen[1] + 0.5) / (no + 1.5))
+            known[kind] = {"share": (yes + 1) / (yes + no + 2), "rates": rates}
         belief = likelihood(known)
     return known
 

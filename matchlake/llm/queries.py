@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from matchlake.llm import cuckoo, mixing, near_dedup, neighbours, pii, suffix_arrays, token_files, toxicity, url_rules, warc_audit
-from matchlake.llm.common import scratch
 from matchlake.llm.labelled import held_out
+from matchlake.session import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -53,7 +53,7 @@ def op1_association_rules(spark, sf_dir):
 @query
 def op2_token_files(spark, sf_dir):
     """Token ids of every document, read back from the files they were written to."""
-    path = scratch(spark, "tokens")
+    path = shared_folder(spark, "tokens")
     token_files.write_tokens(table(spark, sf_dir, "documents"), path, tokenizer_file(), END_ID)
     return token_files.token_digests(spark, path)
 
@@ -185,7 +185,7 @@ def op9_merkle_audit(spark, sf_dir):
     """All pages as WARC records, audited against a second replica with some damaged bytes."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     damaged = pages.withColumn("html", F.expr(f"CASE WHEN {DAMAGED} THEN '~' || substr(html, 2) ELSE html END"))
-    replicas = [scratch(spark, f"warc-{n}") for n in (1, 2)]
+    replicas = [shared_folder(spark, f"warc-{n}") for n in (1, 2)]
     for replica, path in zip((pages, damaged), replicas, strict=True):
         warc_audit.write_warc(replica, path)
     found = warc_audit.audit(spark, *replicas)

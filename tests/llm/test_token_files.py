@@ -7,9 +7,9 @@ from hypothesis import given
 from hypothesis import strategies as st
 
 from matchlake.llm import token_files
-from matchlake.llm.common import scratch
 from matchlake.llm.queries import END_ID, tokenizer_file
 from matchlake.llm.token_files import Encoder, pack, unpack
+from matchlake.session import shared_folder
 
 
 @given(st.lists(st.integers(0, 2**32 - 1), max_size=70))
@@ -47,7 +47,7 @@ def test_encoder_of_another_kind_goes_text_by_text():
 
 
 def written(spark, docs, **options):
-    path = scratch(spark, "tokens")
+    path = shared_folder(spark, "tokens")
     token_files.write_tokens(docs, path, tokenizer_file(), END_ID, **options)
     return path
 

@@ -7,8 +7,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from matchlake.llm import url_rules, warc_audit
-from matchlake.llm.common import scratch, stored
+from matchlake.llm.common import stored
 from matchlake.llm.queries import URL_RULES
+from matchlake.session import shared_folder
 
 
 def parts(url):
@@ -85,7 +86,7 @@ PAGES = [(n, f"http://a.org/{n}", f"<p>page {n}</p>" * (n % 9)) for n in range(3
 
 
 def replica(spark, frame, pages, **options):
-    path = scratch(spark, "warc")
+    path = shared_folder(spark, "warc")
     warc_audit.write_warc(frame([(*p, 1) for p in pages], "page_id long, url string, html string, file int").coalesce(2), path, **options)
     return path
 
