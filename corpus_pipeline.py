@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from matchlake.llm import mixing, near_dedup, suffix_arrays, token_files, toxicity
-from matchlake.llm.common import scratch
 from matchlake.llm.queries import END_ID, table, tokenizer_file
+from matchlake.session import shared_folder
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -35,7 +35,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token files of the mix; one row for each document in them."""
-    path = scratch(spark, "pipeline-tokens")
+    path = shared_folder(spark, "pipeline-tokens")
     token_files.write_tokens(docs, path, tokenizer_file(), END_ID)
     return token_files.token_digests(spark, path)
 
@@ -56,7 +56,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; each stage's result is written and read again."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        path = scratch(spark, name.replace(" ", "-"))
+        path = shared_folder(spark, name.replace(" ", "-"))
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
     return STAGES[-1][1](spark, docs, sf_dir)
