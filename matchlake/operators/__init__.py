@@ -2,7 +2,7 @@
 
 from matchlake.operators.candidates import name_candidates
 from matchlake.operators.dedupe import keep_one
-from matchlake.operators.enrich import enrich, training_sets, with_standings
+from matchlake.operators.enrich import enrich, split_matches, training_sets, with_standings
 from matchlake.operators.nested import explode_rows, flatten, parse_fields
 from matchlake.operators.quality import duplicate_keys, nonnull_counts, profile, row_counts
 from matchlake.operators.resolve import automatic_matches, manual_matches, resolve_teams, teams_of_season
@@ -38,6 +38,7 @@ __all__ = [
     "team_values",
     "teams_of_season",
     "top_teams",
+    "split_matches",
     "training_sets",
     "unify",
     "with_standings",

@@ -99,12 +99,16 @@ def with_standings(matches: DataFrame, standings: DataFrame) -> DataFrame:
 
 
 def training_sets(enriched: DataFrame, standings: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``split_matches`` of the enriched matches with both teams' standings."""
+    return split_matches(with_standings(enriched, standings))
+
+
+def split_matches(matches: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Decided matches with their target, matches to come, and those that are neither.
 
     A match is to come when it has no home goals. Neither are matches with only one
     side's goals, or with goals but no outcome.
     """
-    matches = with_standings(enriched, standings)
     played = F.col("home_goals").isNotNull() & F.col("away_goals").isNotNull()
     decided = played & F.coalesce(F.col("result").isin(*TARGET_BY_OUTCOME), F.lit(False))
     future = F.col("home_goals").isNull()

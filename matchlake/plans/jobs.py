@@ -18,11 +18,12 @@ from matchlake.operators import (
     resolve_teams,
     row_counts,
     team_profiles,
+    split_matches,
     team_values,
-    training_sets,
+    with_standings,
 )
 from matchlake.plans import tables
-from matchlake.sources import read_dataset, require_rows, slice_by_league, write_dataset
+from matchlake.sources import intermediate, read_dataset, require_rows, slice_by_league, write_dataset
 
 Job = Callable[..., dict[str, DataFrame]]
 
@@ -38,10 +39,9 @@ def _builds(target: str, build: Callable[..., DataFrame], *inputs: str) -> Job:
 
 
 def training_job(spark: SparkSession, base: str) -> dict[str, DataFrame]:
-    """training_dataset and future_dataset from the enriched matches and both standings."""
+    """training_dataset and future_dataset from the enriched matches and both standings, joined once."""
     enriched = read_dataset(spark, "enriched_fact_matches", base)
-    table = _standings(spark, base)
-    training, future, _ = training_sets(enriched, table)
+    training, future, _ = split_matches(intermediate(with_standings(enriched, _standings(spark, base)), "training"))
     return {"training_dataset": training, "future_dataset": future}
 
 

@@ -13,11 +13,12 @@ from matchlake.sources.readers import (
     with_landing,
 )
 from matchlake.sources.slices import slice_by_league
-from matchlake.sources.writers import land_records, write_dataset, write_files
+from matchlake.sources.writers import intermediate, land_records, write_dataset, write_files
 
 __all__ = [
     "decode_envelopes",
     "flatten_groups",
+    "intermediate",
     "land_records",
     "read_csv",
     "read_dataset",

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from matchlake.catalog import DATASETS, dataset_path
+from matchlake.session import shared_folder
 
 
 def write_files(
@@ -47,6 +48,13 @@ def write_dataset(
     return path
 
 
+def intermediate(df: DataFrame, purpose: str) -> DataFrame:
+    """``df`` written to an intermediate folder and read again: what several outputs share is computed once."""
+    folder = shared_folder(df.sparkSession, purpose)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
 def land_records(df: DataFrame, path: str, ingest_date: str) -> None:
     """Land one day's raw records as JSON lines, below league, season and day.
 
