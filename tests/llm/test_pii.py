@@ -82,7 +82,7 @@ def test_added_spans_are_ordered_and_overlap_no_other(found):
 def test_very_long_texts(frame):
     rows = list(enumerate([*long_text(100_000), "x " * 200_000 + "me@a.org"]))
     got = {r["doc_id"]: r["spans"] for r in pii.personal_data(frame(rows, "doc_id long, text string")).collect()}
-    assert [len([s for s in got[n] if s["kind"] == "email"]) for n in got if n in (0, 1, 4, 7)] == [0, 0, 1, 1]
+    assert [len([s for s in got[n] if s["kind"] == "email"]) for n in (0, 1, 4, 7)] == [0, 0, 1, 1]
     assert got[7][0]["begin"] == 400_000 and got[7][0]["match"] == "me@a.org" and len([s for s in got[5] if s["base"]]) == 6250
 
 
