@@ -145,3 +145,22 @@ def test_pairings_by_exact_name_fill_missing_figures(frame, stats, model):
     assert {r.n: r.status for r in scored} == {1: "ok", 2: "home_not_found", 3: "same_team", 4: "ok"}
     with pytest.raises(ValueError):
         ml.score_pairings(asked, stats, model, lookup="other")
+
+
+def test_pairings_by_name_and_league(frame, model):
+    figures = ", ".join(f"{name} double" for name in ml.pairings.PROFILE)
+    nan = float("nan")
+    stats = frame(
+        [(1, "Roma", "it", *[1.0] * 6), (2, "Roma", "br", *[2.0] * 6), (3, "Inter", "it", *[1.0] * 5, nan)],
+        f"team_id int, team_name string, league string, {figures}",
+    )
+    asked = frame(
+        [(1, "Roma", "Roma", "br"), (2, "Roma", "Inter", "it"), (3, "Roma", "Inter", "br"), (4, "Inter", "Roma", None)],
+        "n int, home_team string, away_team string, league string",
+    )
+    scored = {r.n: r for r in ml.score_pairings(asked, stats, model, lookup="exact").collect()}
+    assert {n: (r.status, r.liga) for n, r in scored.items()} == {
+        1: ("same_team", "br"), 2: ("incomplete", "it"), 3: ("away_not_found", "br"), 4: ("incomplete", "it")
+    }
+    with pytest.raises(ValueError):
+        ml.score_pairings(asked, stats, model)

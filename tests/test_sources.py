@@ -115,3 +115,30 @@ def test_shared_folder_follows_the_session(spark):
     folder = shared_folder(spark, "here")
     assert "/here-" in folder and (root is None or folder.startswith(root))
     assert folder != shared_folder(spark, "here")
+
+
+def test_csv_files_with_other_headers_are_refused(spark, tmp_path):
+    put(tmp_path / "a.csv", "a,b\n1,x\n")
+    put(tmp_path / "b.csv", "b,a\ny,2\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        sources.read_csv(spark, str(tmp_path), "a string, b string").collect()
+
+
+def test_lines_that_are_no_records_are_told(spark, tmp_path, rows):
+    put(tmp_path / "league=x/day.json", '{"id": 1}\n{"id": 2\n{"id": "no number"}\n')
+    good, rejected = sources.split_json_records(spark, str(tmp_path), "id bigint")
+    assert rows(good) == [(1, "x")]
+    assert rows(rejected.select("value")) == [('{"id": "no number"}',), ('{"id": 2',)]
+
+
+def test_arrays_over_several_lines(spark, tmp_path, rows):
+    put(tmp_path / "a.json", [{"id": 1}, {"id": 2}])
+    assert rows(sources.read_json_records(spark, str(tmp_path), "id bigint", multi_line=True)) == [(1,), (2,)]
+
+
+def test_landing_a_day_again_replaces_it(spark, frame, tmp_path, rows):
+    schema = "id int, league string, season int"
+    for day, values in (("2025-01-01", [1, 2]), ("2025-01-02", [3]), ("2025-01-01", [4])):
+        sources.land_records(frame([(v, "x", 2024) for v in values], schema), str(tmp_path / "raw"), day)
+    back = sources.with_landing(sources.read_json_records(spark, str(tmp_path / "raw"), schema))
+    assert rows(back.select("id", "ingest_date")) == [(3, "2025-01-02"), (4, "2025-01-01")]
