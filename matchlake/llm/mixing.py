@@ -30,8 +30,10 @@ def targets(sizes: DataFrame, weights: tuple[float, ...] = (5, 2, 1), most: int
     goes to the others by weight until none is above. One row for each source is moved.
     """
     turn = placed(sizes, [F.col("source").asc_nulls_last()], "turn")
-    weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.col("turn") % len(weights) + 1).cast("int"))
-    sources = stored(turn.select("source", "source_size", weight.alias("weight"), (most * F.col("source_size")).alias("cap")), "sources")
+    in_turn = F.array(*[F.lit(float(w)) for w in weights])
+    weight = F.element_at(in_turn, (F.col("turn") % len(weights) + 1).cast("int")).alias("weight")
+    cap = (most * F.col("source_size")).alias("cap")
+    sources = stored(turn.select("source", "source_size", weight, cap), "sources")
     share, capped = None, -1
     while True:
         above = F.lit(False) if share is None else F.col("weight") * share > F.col("cap")
@@ -64,14 +66,14 @@ def copies(
     which comes last. Equal rows are taken one by one. A source without words takes nothing.
     """
     docs = docs.withColumn("size", words(F.col("text")) if size is None else size).drop("source_size", "target", "copies")
-    place, first, same, there = (fresh(docs, x) for x in ("place", "first_place", "same_source", "there"))
+    place, first, same = (fresh(docs, x) for x in ("place", "first_place", "same_source"))
     order = [F.col("source").asc_nulls_last(), F.col("size").desc(), F.col("doc_id").asc_nulls_last()]
     row = placed(docs, order, place)
     per_source = row.groupBy("source").agg(F.sum("size").alias("source_size"), F.min(place).alias(first))
     per_source = stored(per_source, "source_sizes")
     shares = targets(per_source.select("source", "source_size"), weights, most)
     per_source = per_source.alias("a").join(shares.alias("b"), F.col("a.source").eqNullSafe(F.col("b.source")))
-    per_source = per_source.select(F.col("a.source").alias(same), "a.source_size", first, "target").withColumn(there, F.lit(True))
+    per_source = per_source.select(F.col("a.source").alias(same), "a.source_size", first, "target")
     rate = F.floor(F.col("target") / F.col("source_size") * 2**UNIT_BITS)
     rate = F.when(F.col("source_size") > 0, rate).otherwise(0).cast("long")
     k = F.col(place) - F.col(first)

@@ -236,7 +236,8 @@ def components(edges: DataFrame) -> DataFrame:
     Large and small stars by turns: each node's neighbours are tied to the smallest of them,
     until every component is a star. All tables have at most as many rows as there are edges.
     """
-    edges = stored(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
+    pairs = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    edges = stored(pairs.distinct(), "links")
     state = None
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -265,8 +266,8 @@ def near_duplicates(docs: DataFrame, how: Similarity = Similarity()) -> DataFram
     """
     signed = stored(_signed(docs, how), "signed")
     named = signed.where("set_key IS NOT NULL AND doc_id IS NOT NULL")
-    classes = named.groupBy("set_key").agg(F.min("doc_id").alias("node"), F.first("n_shingles").alias("weight"), F.first("bands").alias("bands"))
-    classes = stored(classes, "classes")
+    of_class = (F.min("doc_id").alias("node"), F.first("n_shingles").alias("weight"), F.first("bands").alias("bands"))
+    classes = stored(named.groupBy("set_key").agg(*of_class), "classes")
     spread = classes.select("node", "weight", F.posexplode("bands").alias("band", "key"))
     buckets = spread.groupBy("band", "key").agg(
         F.count(F.lit(1)).alias("members"),
@@ -274,17 +275,19 @@ def near_duplicates(docs: DataFrame, how: Similarity = Similarity()) -> DataFram
         F.min("node").alias("center"),
         F.bit_xor(F.xxhash64("node")).alias("mark"),
     )
-    same = buckets.where("members > 1").groupBy("members", "weight", "center", "mark").agg(F.min(F.struct("band", "key")).alias("first"))
+    same = buckets.where("members > 1").groupBy("members", "weight", "center", "mark")
+    same = same.agg(F.min(F.struct("band", "key")).alias("first"))
     chunks = F.ceil(F.col("weight") / CHUNK_SHINGLES).cast("int")
     buckets = stored(same.select("first.band", "first.key", "center", chunks.alias("chunks")), "buckets")
     chunk = F.pmod(F.xxhash64("node", "band"), F.col("chunks")).cast("int")
-    members = spread.join(buckets, ["band", "key"]).select("band", "key", chunk.alias("chunk"), "chunks", "node", "center")
-    members = stored(members, "members")
-    large = buckets.where("chunks > 1").select("band", "key", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), "center")
-    centers = large.select("band", "key", "chunk", F.col("center").alias("node"), "center")
+    met = spread.join(buckets, ["band", "key"])
+    members = stored(met.select("band", "key", chunk.alias("chunk"), "chunks", "node", "center"), "members")
+    every = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk")
+    large = buckets.where("chunks > 1").select("band", "key", every, "center")
+    centers = large.select("band", "key", "chunk", F.col("center").alias("node"), "center")  # also in every chunk
     texts = docs.select(F.col("doc_id").alias("node"), "text")
     asked = members.drop("chunks").unionByName(centers).join(texts, "node")
-    asked = asked.select("band", "key", "chunk", "node", F.col("node").alias("label"), F.lit(0).alias("side"), "center", "text")
+    asked = asked.withColumns({"label": F.col("node"), "side": F.lit(0)})
     links = stored(_linked(asked, how, across=False), "links")
     labels = components(links)
     if not buckets.where("chunks > 1").isEmpty():

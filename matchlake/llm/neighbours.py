@@ -83,7 +83,8 @@ def inverse_frequencies(docs: DataFrame) -> np.ndarray:
                 found[:FEATURES] += counter(text.as_py()) > 0
                 rows += 1
         found[FEATURES] = rows
-        yield pa.RecordBatch.from_pydict({"feature": pa.array(range(FEATURES + 1), pa.int32()), "documents": pa.array(found)})
+        columns = [pa.array(range(FEATURES + 1), pa.int32()), pa.array(found)]
+        yield pa.RecordBatch.from_arrays(columns, names=["feature", "documents"])
 
     per_task = docs.select("text").mapInArrow(count, "feature int, documents long")
     rows = per_task.groupBy("feature").agg(F.sum("documents").alias("documents")).collect()  # one for each feature
@@ -164,6 +165,7 @@ def score(docs: DataFrame, model: Model, neighbours: int = NEIGHBOURS) -> DataFr
             text = batch.column(batch.schema.get_field_index("text"))
             counts = np.array([counter(t.as_py()) for t in text])
             new = pa.array(held.value.votes(held.value.latent(counts), neighbours), pa.float64())
-            yield pa.RecordBatch.from_arrays([*batch.columns, new], schema=pa.schema([*batch.schema, ("quality", pa.float64())]))
+            fields = [*batch.schema, pa.field("quality", pa.float64())]
+            yield pa.RecordBatch.from_arrays([*batch.columns, new], schema=pa.schema(fields))
 
     return docs.mapInArrow(vote, T.StructType([*docs.schema.fields, T.StructField("quality", T.DoubleType())]))

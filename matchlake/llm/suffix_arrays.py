@@ -235,7 +235,8 @@ def _one_block(docs: DataFrame, items: Items, extra: str) -> DataFrame:
         for batch in batches:
             text = batch.column(batch.schema.get_field_index("text"))
             sizes = pc.fill_null(pc.binary_length(text), 0).to_numpy(zero_copy_only=False)
-            cuts = np.searchsorted(np.cumsum(sizes), np.arange(SHARD_BYTES, sizes.sum() + SHARD_BYTES, SHARD_BYTES), "right")
+            full = np.arange(SHARD_BYTES, sizes.sum() + SHARD_BYTES, SHARD_BYTES)
+            cuts = np.searchsorted(np.cumsum(sizes), full, "right")
             bounds = sorted({0, *map(int, cuts), batch.num_rows})
             for a, b in zip(bounds, bounds[1:], strict=False):
                 found = _searched(text.slice(a, b - a).to_pylist(), held.value)

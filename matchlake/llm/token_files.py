@@ -255,8 +255,8 @@ def _decoded(files: DataFrame, column: str, value, arrow_type: pa.DataType) -> D
     name = column.split(" ")[0]
     schema = f"doc_id {kind.simpleString()}, part int, shard int, place int, offset long, n_tokens long, {column}"
     doc_id = _arrow_schema(kind).field("doc_ids").type.value_type
-    numbers = [("part", pa.int32()), ("shard", pa.int32()), ("place", pa.int32()), ("offset", pa.int64()), ("n_tokens", pa.int64())]
-    arrow = pa.schema([("doc_id", doc_id), *numbers, (name, arrow_type)])
+    places = [(n, pa.int32()) for n in ("part", "shard", "place")]
+    arrow = pa.schema([("doc_id", doc_id), *places, ("offset", pa.int64()), ("n_tokens", pa.int64()), (name, arrow_type)])
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

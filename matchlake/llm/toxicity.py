@@ -33,8 +33,10 @@ PREFIX = 5
 RATIO = 20.0
 
 _END = b"\x01"
+_ENDS = b".?\n"
+#: ASCII letters are lower-cased; the ends of sentences become marks, other ASCII signs spaces.
 _LETTERS = bytes(
-    1 if chr(b) in ".?\n" else b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b > 127 else 32 for b in range(256)
+    1 if b in _ENDS else b + 32 if 65 <= b <= 90 else b if b > 127 or chr(b).isalnum() else 32 for b in range(256)
 )
 _SENTENCE = re.compile(r"[^.?\n]+")
 
