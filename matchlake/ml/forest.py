@@ -56,7 +56,7 @@ def fit_forest(
     trees: int = 100,
     depth: int = 5,
     seed: int = 42,
-    tasks: int = 32,
+    tasks: int = 16,
 ) -> PipelineModel:
     """Assemble the features and fit a random forest; both steps are kept in one model.
 
