@@ -1,9 +1,12 @@
 """Toxicity by multiple-instance learning.
 
 A document is a bag of sentences, and only the bag is labelled. A sentence is toxic with the
-logistic probability of the weights of its words; a document is toxic unless all of its
-sentences are harmless, which is the noisy-or of the sentences. The weights are those that
-make the documents' labels most likely, so that sentences get scores without labels.
+logistic probability of the weights of its learned words, or not at all without any; a
+document is toxic unless all of its sentences are harmless, which is the noisy-or of the
+sentences. Sentences with the same learned words are the same evidence and count once. What
+no learned word explains is left to a leak, one for each document, so that no length alone
+makes a document toxic. Weights and leak are those that make the documents' labels most
+likely, so that sentences get scores without labels.
 """
 
 from __future__ import annotations
@@ -11,8 +14,9 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from itertools import repeat
+from math import fsum
 
 import numpy as np
 import pyarrow as pa
@@ -46,26 +50,44 @@ def tokens(text: str | None) -> list[bytes]:
     return (text or "").encode().translate(_LETTERS).replace(_END, b" \x01 ").split()
 
 
+_NONE: frozenset[bytes] = frozenset()
+
+
 @dataclass
 class Model:
+    """Logit of a sentence with learned words, their weights, and the logit of a document's leak."""
+
     bias: float
     weights: dict[bytes, float]
-
-    def logits(self, text: str | None) -> np.ndarray:
-        """Of each sentence that has words, in order."""
-        weight, words = self.weights.get, tokens(text)
-        values = np.fromiter(map(weight, words, repeat(np.inf)), float, len(words))
-        for at in np.nonzero(values == np.inf)[0].tolist():  # looked up by its prefix once
+    leak: float = -np.inf
+    #: Of words met so far: 0 without a weight, 1 the end of a sentence, 2 with a weight.
+    known: dict[bytes, int] = field(default_factory=lambda: {_END: 1}, repr=False)
+
+    def sentences(self, text: str | None) -> list[frozenset[bytes]]:
+        """The learned features of each sentence that has words, in order."""
+        words = tokens(text)
+        kinds = np.fromiter(map(self.known.get, words, repeat(-1)), np.int8, len(words))
+        for at in np.nonzero(kinds < 0)[0].tolist():
             word = words[at]
-            if word not in self.weights:
-                self.weights[word] = np.nan if word == _END else self.weights.get(b"\x02" + word[:PREFIX], 0.0)
-            values[at] = self.weights[word]
-        end = np.isnan(values)
-        number = np.cumsum(end)[~end]
-        if not number.size:
-            return np.empty(0)
-        first = np.concatenate(([0], np.nonzero(np.diff(number))[0] + 1))
-        return self.bias + np.add.reduceat(values[~end], first)
+            if word not in self.known:
+                self.known[word] = 0 if self.weights.keys().isdisjoint(_features([word])) else 2
+            kinds[at] = self.known[word]
+        ends = kinds == 1
+        number = np.cumsum(ends)
+        learned: dict[int, set[bytes]] = {}
+        for at in np.nonzero(kinds == 2)[0].tolist():
+            learned.setdefault(int(number[at]), set()).update(_features([words[at]]) & self.weights.keys())
+        return [frozenset(learned.get(n, _NONE)) for n in np.unique(number[~ends]).tolist()]
+
+    def logit(self, learned: frozenset[bytes]) -> float:
+        """Of a sentence; without learned words it can't be toxic."""
+        return self.bias + fsum(self.weights[f] for f in learned) if learned else -np.inf
+
+    def toxicity(self, sentences: list[frozenset[bytes]]) -> float:
+        """The noisy-or of the leak and of each different set of learned features; 0 without sentences."""
+        if not sentences:
+            return 0.0
+        return noisy_or(np.array([self.leak, *sorted(map(self.logit, set(sentences) - {_NONE}))]))
 
 
 def _softplus(z: np.ndarray) -> np.ndarray:
@@ -107,50 +129,48 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, rounds:
     """Model of ``labels`` (doc_id, toxic) from at most ``per_class`` rows of each class, none held out.
 
     The fit is bounded by ``per_class`` and runs on the driver; classes weigh as all labels
-    have them. Without labels of both classes every sentence gets the same score.
+    have them. Without labels of both classes every document with words gets the same score.
     """
     texts, sizes = sample(docs, labels, "toxic", per_class)
     y = np.array([label for _, label in texts], np.int64)
     if len(set(y.tolist())) < 2:
-        return Model(0.0 if y.any() else -12.0, {})
+        return Model(-12.0, {}, 0.0 if y.any() else -12.0)
     bags = [tokens(text) for text, _ in texts]
     names = _telling(bags, y)
     number = {f: i for i, f in enumerate(names)}
-    occurrence, sentence, document, plain = [], [], [], np.zeros(len(texts))
+    occurrence, sentence, document = [], [], []
     for bag, words in enumerate(bags):
         ends = [-1, *(i for i, w in enumerate(words) if w == _END), len(words)]
-        for begin, end in zip(ends, ends[1:], strict=False):
-            found = [number[f] for w in words[begin + 1 : end] for f in (w, b"\x02" + w[:PREFIX]) if f in number]
-            if found:
-                occurrence += found
-                sentence += [len(document)] * len(found)
-                document.append(bag)
-            elif end > begin + 1:
-                plain[bag] += 1  # these have the bias alone
+        features = (_features(words[begin + 1 : end]) for begin, end in zip(ends, ends[1:], strict=False))
+        for found in sorted({tuple(sorted(number[f] for f in x if f in number)) for x in features} - {()}):
+            occurrence += found
+            sentence += [len(document)] * len(found)
+            document.append(bag)
+    speaks = np.array([any(w != _END for w in words) for words in bags], float)
     occurrence, sentence, document = (np.array(x, np.int64) for x in (occurrence, sentence, document))
     share = np.array([sizes[k] / (y == k).sum() for k in (0, 1)])[y]
     share /= share.mean()
-    weights, bias = np.zeros(len(names)), -8.0
-    squares, bias_squares = np.full(len(names), 1e-8), 1e-8
+    weights, bias, leak = np.zeros(len(names)), -8.0, -8.0
+    squares, bias_squares, leak_squares = np.full(len(names), 1e-8), 1e-8, 1e-8
     for _ in range(rounds):  # gradient steps, scaled by the gradients so far
         z = bias + np.bincount(sentence, weights[occurrence], len(document))
-        harmless = np.bincount(document, _softplus(z), len(texts)) + plain * _softplus(np.array(bias))
+        harmless = np.bincount(document, _softplus(z), len(texts)) + speaks * _softplus(np.array(leak))
         toxic = -np.expm1(-harmless)  # ``harmless`` is -log of the chance that all sentences are
         pull = np.where(y == 1, -np.exp(-harmless) / np.maximum(toxic, 1e-12), 1.0) * share
         slope = pull[document] * np.exp(-_softplus(-z))
-        for_bias = slope.sum() + (pull * plain).sum() * np.exp(-_softplus(np.array(-bias)))
+        for_bias, for_leak = slope.sum(), (pull * speaks).sum() * np.exp(-_softplus(np.array(-leak)))
         by_word = np.bincount(occurrence, slope[sentence], len(names)) + 0.02 * weights
         squares += by_word**2
         bias_squares += for_bias**2
+        leak_squares += for_leak**2
         weights -= 0.3 * by_word / np.sqrt(squares)
         bias -= 0.3 * for_bias / np.sqrt(bias_squares)
-    learned = dict(zip(names, weights.tolist(), strict=True))
-    whole = {f: w + learned.get(b"\x02" + f[:PREFIX], 0.0) for f, w in learned.items() if f[:1] != b"\x02"}
-    return Model(float(bias), {f: w for f, w in learned.items() if f[:1] == b"\x02"} | whole)
+        leak -= 0.3 * for_leak / np.sqrt(leak_squares)
+    return Model(float(bias), dict(zip(names, weights.tolist(), strict=True)), float(leak))
 
 
 def score(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
-    """``docs`` with toxicity, the noisy-or of its sentences, and toxic_sentences.
+    """``docs`` with toxicity, the leaky noisy-or of its sentences, and toxic_sentences.
 
     Needs text; columns of the new names are replaced. toxic_sentences are those with a score
     of ``least`` or more: where they begin and end in the text, in characters, and the score.
@@ -165,14 +185,14 @@ def score(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fitted, own = held.value, None
         for batch in in_portions(batches):
-            if own is None or len(own.weights) > len(fitted.weights) + REMEMBERED:
-                own = Model(fitted.bias, dict(fitted.weights))
+            if own is None or len(own.known) > REMEMBERED:
+                own = Model(fitted.bias, fitted.weights, fitted.leak)
             scores, found = [], []
             for text in batch.column(batch.schema.get_field_index("text")):
                 text = text.as_py() or ""
-                logits = own.logits(text)
-                scores.append(noisy_or(logits))
-                found.append(_located(text, logits, least) if logits.size and scores[-1] >= least else [])
+                sentences = own.sentences(text)
+                scores.append(own.toxicity(sentences))
+                found.append(_located(text, own, sentences, least) if sentences and scores[-1] >= least else [])
             new = [pa.array(scores, pa.float64()), pa.array(found, pa.list_(arrow_span))]
             fields = [pa.field("toxicity", pa.float64()), pa.field("toxic_sentences", pa.list_(arrow_span))]
             yield pa.RecordBatch.from_arrays([*batch.columns, *new], schema=pa.schema([*batch.schema, *fields]))
@@ -180,10 +200,10 @@ def score(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
     return docs.mapInArrow(judge, T.StructType([*docs.schema.fields, *added]))
 
 
-def _located(text: str, logits: np.ndarray, least: float) -> list[dict]:
-    """The sentences with words, as ``logits`` has them, that reach ``least``."""
+def _located(text: str, model: Model, sentences: list[frozenset[bytes]], least: float) -> list[dict]:
+    """The sentences with words, as ``sentences`` has them, that reach ``least``."""
     spans = [m.span() for m in _SENTENCE.finditer(text) if tokens(m[0])]
-    scores = 1 / (1 + np.exp(-logits))
+    scores = 1 / (1 + np.exp(-np.array([model.logit(learned) for learned in sentences])))
     return [{"begin": a, "end": b, "score": float(p)} for (a, b), p in zip(spans, scores, strict=True) if p >= least]
 
 

@@ -1,3 +1,4 @@
+import re
 from pathlib import Path
 
 import numpy as np
@@ -53,6 +54,28 @@ def test_sentences_are_found_from_labels_of_documents(frame):
     assert kept.columns == more.columns and kept.where("doc_id IS NULL").isEmpty() and kept.where("doc_id = 900").count() == 1
 
 
+def test_neither_length_nor_repeats_make_a_document_toxic(frame):
+    model = toxicity.fit(*labelled(frame))
+    once = "the sun rises. you said fiendish"
+    assert model.toxicity(model.sentences("a quiet morning. " * 100_000)) == model.toxicity(model.sentences("a quiet morning"))
+    assert model.toxicity(model.sentences(f"{once}. " * 10_000)) == model.toxicity(model.sentences(once))
+
+
+@pytest.mark.skipif(not Path(SF_DIR).exists(), reason="test tables not present")
+def test_clean_document_of_ten_thousand_real_sentences(spark):
+    docs, labels = (spark.read.parquet(f"{SF_DIR}/{name}.parquet") for name in ("documents", "labels"))
+    model = toxicity.fit(docs.select("doc_id", "text"), labels)
+    clean = docs.join(labels.where(held_out(F.col("doc_id")) & (F.col("toxic") == 0)), "doc_id").orderBy("doc_id")
+    sentences = [s for r in clean.collect() for s in re.findall(r"[^.?\n]+", r["text"] or "") if toxicity.tokens(s)]
+    mild = [s for s in sentences if model.logit(model.sentences(s)[0]) < np.log(0.2 / 0.8)][:10_000]
+    insult = "you worthless scum, stupid pathetic trash"
+    rows = [(1, ".\n".join(mild)), (2, ".\n".join([*mild[:5_000], insult, *mild[5_000:]]))]
+    long_, found = toxicity.score(spark.createDataFrame(rows, "doc_id long, text string"), model).orderBy("doc_id").collect()
+    assert len(mild) == 10_000 and long_["toxicity"] < 0.5 and long_["toxic_sentences"] == []
+    assert found["toxicity"] >= 0.5
+    assert [found["text"][s["begin"] : s["end"]] for s in found["toxic_sentences"]] == [insult]
+
+
 def test_noisy_or():
     logits = np.array([0.3, -2.0, 1.0])
     assert toxicity.noisy_or(logits) == pytest.approx(1 - np.prod(1 - 1 / (1 + np.exp(-logits))))
