@@ -146,10 +146,10 @@ def mismatches(one: DataFrame, two: DataFrame, fanout: int = FANOUT) -> DataFram
     """file, ordinal, begin, end and status of the records in which two trees differ.
 
     status is ``differs``, or ``missing`` and ``added`` for what only the first or the second has.
-    Below the roots only children of nodes that differ are compared.
+    All nodes of the highest level that both trees have are compared, which covers all files of
+    both; below it only children of nodes that differ.
     """
-    top = max(tree.agg(F.max("level").alias("top")).first()["top"] or 0 for tree in (one, two))
-    # The root of a smaller tree is compared at its own level and on all levels above.
+    top = min(tree.agg(F.max("level").alias("top")).first()["top"] or 0 for tree in (one, two))
     parents = None
     for level in range(top, -1, -1):
         a, b = (

@@ -147,6 +147,18 @@ def test_only_branches_that_differ_are_compared(spark, frame):
     assert [(r["file"], r["ordinal"], r["status"]) for r in found] == [("g", 37, "differs")]
 
 
+def test_a_lost_file_is_found_by_trees_of_different_depth(spark, frame):
+    schema = "file string, ordinal long, offset long, length long, sha256 string"
+    rows = [(file, n, n, 1, str(n)) for file, count in (("f", 16), ("g", 3), ("h", 5)) for n in range(count)]
+    other = [r for r in rows if r[0] != "g"] + [("f", 16, 16, 1, "16")]
+    one, two = (stored(warc_audit.merkle_tree(frame(x, schema), 4), "tree") for x in (rows, other))
+    lost = [("f", 16), ("g", 0), ("g", 1), ("g", 2)]
+    for a, b, names in ((one, two, ("added", "missing")), (two, one, ("missing", "added"))):
+        found = sorted((r["file"], r["ordinal"], r["status"]) for r in warc_audit.mismatches(a, b, 4).collect())
+        assert found == [(*x, names[x[0] == "g"]) for x in lost]
+    assert warc_audit.mismatches(one, one.limit(0), 4).count() == len(rows)
+
+
 def test_plain_and_broken_files():
     record = b"WARC/1.0\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n"
     plain = list(warc_audit.read_records(record * 2))
