@@ -16,7 +16,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cached_property
-from math import comb
+from math import ceil, comb, log, log1p
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +33,8 @@ _MIX = np.uint64(0x9E3779B97F4A7C15)
 REMEMBERED = 500_000
 #: Shingles that a chunk of a bucket holds at most, about; a single document may have more.
 CHUNK_SHINGLES = 250_000
+#: Bands of a signature at least, and at most as long as they can have fewer rows.
+LEAST_BANDS, MOST_BANDS = 24, 48
 
 
 @dataclass(frozen=True)
@@ -40,18 +42,32 @@ class Similarity:
     """What counts as similar, and how pairs are sought.
 
     ``words`` to a shingle; similar means 100 * intersection >= ``percent`` * union. With
-    ``bands`` of ``rows`` hashes a pair of similarity s shares a bucket with probability
-    1 - (1 - s**rows)**bands: at 0.85 all but 1e-5 of the pairs, at 0.8 all but 1e-4.
+    ``bands`` of ``rows`` hashes a pair of similarity s shares no bucket with probability
+    (1 - s**rows)**bands. Where they aren't given they are chosen so that this is at most
+    ``unmet`` at ``percent``: 24 bands of 6 at 0.85 (1.2e-5), 37 of 6 at 0.8 (1.3e-5).
     """
 
     words: int = 5
     percent: int = 80
-    bands: int = 24
-    rows: int = 6
+    bands: int | None = None
+    rows: int | None = None
+    unmet: float = 1.5e-5
     miss: float = 1e-6
     batch: int = 24
     seed: int = 1
 
+    def __post_init__(self):
+        """Rows: 6, or fewer where those would take over ``MOST_BANDS``; at least ``LEAST_BANDS`` bands."""
+
+        def needed(rows: int) -> int:
+            met = (self.percent / 100) ** rows
+            return max(LEAST_BANDS, ceil(log(self.unmet) / log1p(-met)) if met < 1 else 1)
+
+        fitting = (r for r in range(6, 1, -1) if needed(r) <= MOST_BANDS)
+        rows = self.rows or (6 if self.bands else next(fitting, 1))
+        object.__setattr__(self, "rows", rows)
+        object.__setattr__(self, "bands", self.bands or needed(rows))
+
     @cached_property
     def factors(self) -> tuple[np.ndarray, np.ndarray]:
         random = np.random.default_rng(self.seed)

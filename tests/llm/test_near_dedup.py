@@ -106,6 +106,13 @@ def test_signatures_estimate_similarity():
     assert abs(equal - 320 / 480) < 0.15
 
 
+@pytest.mark.parametrize("percent", [30, 50, 60, 80, 85, 95, 100])
+def test_bands_keep_to_the_stated_probability(percent):
+    how = Similarity(percent=percent)
+    assert (1 - (percent / 100) ** how.rows) ** how.bands <= how.unmet <= 1.5e-5
+    assert Similarity(percent=85).bands == 24 and Similarity(percent=80, bands=20, rows=5).bands == 20
+
+
 def test_pruning_keeps_to_the_miss_probability():
     how = Similarity(percent=80, miss=1e-3)
     for n, least in how.least:
