@@ -21,11 +21,11 @@ from math import ceil, comb, log, log1p
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from matchlake.llm.common import forget, stored
+from matchlake.llm.common import forget, fresh, stored
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -135,26 +135,39 @@ class Shingler:
 
 
 def _signed(docs: DataFrame, how: Similarity) -> DataFrame:
-    """doc_id, n_shingles, set_key and bands of each document; no set_key without words."""
+    """doc_id, text_key, n_shingles, set_key, part and bands of each row; no set_key without words.
+
+    ``part`` tells the sets of rows with the same doc_id apart, ``text_key`` their texts.
+    """
     from pyspark.sql.pandas.types import to_arrow_schema
 
-    added = "n_shingles bigint, set_key binary, bands array<bigint>"
+    added = "text_key bigint, n_shingles bigint, set_key binary, part bigint, bands array<bigint>"
     schema = T.StructType([docs.schema["doc_id"], *T.StructType.fromDDL(added).fields])
     arrow = to_arrow_schema(schema)
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(how)
         for batch in batches:
-            sizes, keys, bands = [], [], []
+            sizes, keys, parts, bands = [], [], [], []
             for text in batch["text"]:
                 shingles = shingler(text.as_py())
                 sizes.append(len(shingles))
                 keys.append(xxhash.xxh3_128_digest(shingles.tobytes()) if len(shingles) else None)
+                parts.append(_part(shingles) if len(shingles) else None)
                 bands.append(shingler.bands(shingler.signature(shingles)) if len(shingles) else None)
-            columns = [pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(bands, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], *columns], schema=arrow)
+            columns = [pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(parts, pa.int64())]
+            columns.append(pa.array(bands, pa.list_(pa.int64())))
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["text_key"], *columns], schema=arrow)
+
+    return docs.select("doc_id", _text_key(), "text").mapInArrow(sign, schema)
+
+
+def _text_key() -> Column:
+    return F.xxhash64("text").alias("text_key")
 
-    return docs.select("doc_id", "text").mapInArrow(sign, schema)
+
+def _part(shingles: np.ndarray) -> int:
+    return int.from_bytes(xxhash.xxh3_64_digest(shingles.tobytes()), "big", signed=True)
 
 
 class Chunk:
@@ -163,9 +176,13 @@ class Chunk:
     def __init__(self, shingler: Shingler, rows: list[dict]):
         self.how = shingler.how
         distinct = {(r["node"], r["text"]): r for r in rows}
-        rows = sorted(distinct.values(), key=lambda r: r["node"])
-        self.nodes = [r["node"] for r in rows]
-        self.sets = [shingler(r["text"]) for r in rows]
+        # A doc_id may have several texts: one of those with the node's set is taken.
+        sets = {}
+        for node, text in distinct:
+            if node not in sets and _part(shingles := shingler(text)) == node[1]:
+                sets[node] = (distinct[node, text], shingles)
+        self.nodes = sorted(sets)
+        rows, self.sets = [sets[node][0] for node in self.nodes], [sets[node][1] for node in self.nodes]
         self.sizes = np.array([len(s) for s in self.sets], np.int64)
         self.signatures = np.array([shingler.signature(s) for s in self.sets])
         self.bands = np.array([shingler.bands(s) for s in self.signatures])
@@ -221,7 +238,7 @@ def _linked(members: DataFrame, how: Similarity, across: bool) -> DataFrame:
     """Verified links (a, b) from the chunks of ``members``: band, key, chunk, node, label, side, center, text."""
     from pyspark.sql.pandas.types import to_arrow_schema
 
-    kind = members.schema["node"].dataType
+    kind = members.schema["node"].dataType  # (id, part)
     schema = T.StructType([T.StructField("a", kind), T.StructField("b", kind)])
     arrow, chunk_of = to_arrow_schema(schema), ("band", "key", "chunk")
 
@@ -230,7 +247,8 @@ def _linked(members: DataFrame, how: Similarity, across: bool) -> DataFrame:
 
         def links() -> Iterator[pa.RecordBatch]:
             if len(held) > 1:
-                found = [{"a": a, "b": b} for a, b in Chunk(shingler, held).links(now[0], across)]
+                pairs = Chunk(shingler, held).links(now[0], across)
+                found = [{side: {"id": n[0], "part": n[1]} for side, n in zip("ab", pair, strict=True)} for pair in pairs]
                 yield pa.RecordBatch.from_pylist(found, arrow)
 
         for batch in batches:
@@ -240,7 +258,7 @@ def _linked(members: DataFrame, how: Similarity, across: bool) -> DataFrame:
                     if of != now:
                         yield from links()
                         held, now = [], of
-                    held.append(row)
+                    held.append(row | {c: (row[c]["id"], row[c]["part"]) for c in ("node", "label", "center")})
         yield from links()
 
     return members.repartition(*chunk_of).sortWithinPartitions(*chunk_of).mapInArrow(compare, schema)
@@ -277,12 +295,19 @@ def near_duplicates(docs: DataFrame, how: Similarity = Similarity()) -> DataFram
     """doc_id, n_shingles and component_id of every row of ``docs`` (doc_id, text).
 
     component_id is the smallest doc_id that links lead to. A document without words has no
-    shingles and no links. Rows with the same doc_id count as one document. Rows whose doc_id
-    is NULL can't be named and link with nothing; their component_id is NULL.
+    shingles and no links. Rows with the same doc_id but other shingles are documents of their
+    own. Rows whose doc_id is NULL can't be named and link with nothing; their component_id is NULL.
     """
+    own = F.when(F.col("doc_id").isNotNull(), F.coalesce("label.id", "doc_id"))
+    return _labelled(docs, how).select("doc_id", "n_shingles", own.alias("component_id"))
+
+
+def _labelled(docs: DataFrame, how: Similarity) -> DataFrame:
+    """doc_id, text_key, n_shingles, part and label of each row; the label is the (id, part) of the smallest linked set."""
     signed = stored(_signed(docs, how), "signed")
     named = signed.where("set_key IS NOT NULL AND doc_id IS NOT NULL")
-    of_class = (F.min("doc_id").alias("node"), F.first("n_shingles").alias("weight"), F.first("bands").alias("bands"))
+    node = F.struct(F.col("doc_id").alias("id"), "part")
+    of_class = (F.min(node).alias("node"), F.first("n_shingles").alias("weight"), F.first("bands").alias("bands"))
     classes = stored(named.groupBy("set_key").agg(*of_class), "classes")
     spread = classes.select("node", "weight", F.posexplode("bands").alias("band", "key"))
     buckets = spread.groupBy("band", "key").agg(
@@ -301,8 +326,8 @@ def near_duplicates(docs: DataFrame, how: Similarity = Similarity()) -> DataFram
     every = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk")
     large = buckets.where("chunks > 1").select("band", "key", every, "center")
     centers = large.select("band", "key", "chunk", F.col("center").alias("node"), "center")  # also in every chunk
-    texts = docs.select(F.col("doc_id").alias("node"), "text")
-    asked = members.drop("chunks").unionByName(centers).join(texts, "node")
+    texts = docs.select(F.col("doc_id").alias("id"), "text")
+    asked = _with_texts(members.drop("chunks").unionByName(centers), texts)
     asked = asked.withColumns({"label": F.col("node"), "side": F.lit(0)})
     links = stored(_linked(asked, how, across=False), "links")
     labels = components(links)
@@ -313,10 +338,13 @@ def near_duplicates(docs: DataFrame, how: Similarity = Similarity()) -> DataFram
     found = stored(found.select("set_key", F.coalesce("label", "node").alias("label")), "labels")
     for old in (classes, members, buckets):
         forget(old)
-    # What has no set is looked up under its own id, so that it meets no other row.
-    result = signed.select("doc_id", "n_shingles", "set_key").join(found, "set_key", "left")
-    own = F.when(F.col("doc_id").isNotNull(), F.coalesce("label", "doc_id"))
-    return result.select("doc_id", "n_shingles", own.alias("component_id"))
+    result = signed.drop("bands").join(found, "set_key", "left")
+    return result.select("doc_id", "text_key", "n_shingles", "part", "label")
+
+
+def _with_texts(members: DataFrame, texts: DataFrame) -> DataFrame:
+    """``members`` with every text of their nodes' ids; ``Chunk`` takes the one with the node's set."""
+    return members.withColumn("id", F.col("node.id")).join(texts, "id").drop("id")
 
 
 def _across(members: DataFrame, labels: DataFrame, texts: DataFrame, how: Similarity) -> DataFrame:
@@ -329,7 +357,7 @@ def _across(members: DataFrame, labels: DataFrame, texts: DataFrame, how: Simila
     two = two.select("band", "key", F.col("chunk").alias("second"), "low", "high")
     pairs = one.join(two, ["band", "key"]).where("first < second AND (low <> low_1 OR high <> high_1 OR low <> high)")
     pairs = pairs.select("band", "key", F.explode(F.array("first", "second")).alias("side"), F.struct("first", "second").alias("chunk"))
-    rows = large.withColumnRenamed("chunk", "side").drop("chunks").join(pairs, ["band", "key", "side"]).join(texts, "node")
+    rows = _with_texts(large.withColumnRenamed("chunk", "side").drop("chunks").join(pairs, ["band", "key", "side"]), texts)
     name = F.concat_ws("-", "chunk.first", "chunk.second")
     return stored(_linked(rows.withColumn("chunk", name), how, across=True), "links")
 
@@ -337,9 +365,14 @@ def _across(members: DataFrame, labels: DataFrame, texts: DataFrame, how: Simila
 def without_near_duplicates(docs: DataFrame, how: Similarity = Similarity()) -> DataFrame:  # noqa: B008
     """``docs`` with one document of each component, the one with the smallest doc_id; all columns stay.
 
-    Rows whose doc_id is NULL stay; of rows with the same doc_id one stays.
+    Rows whose doc_id is NULL stay. Rows with the same doc_id are judged each by its own text;
+    of those with equal texts one stays, and of equal shingles the text with the smallest hash.
     """
-    found = near_duplicates(docs.select("doc_id", "text"), how)
-    kept = found.where("doc_id = component_id").select("doc_id").distinct()
-    named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    found = _labelled(docs.select("doc_id", "text"), how).where("doc_id IS NOT NULL")
+    first = found.where("label.id = doc_id AND label.part = part").groupBy("doc_id", "part").agg(F.min("text_key").alias("text_key"))
+    alone = found.where("n_shingles = 0")
+    kept = stored(first.select("doc_id", "text_key").unionByName(alone.select("doc_id", "text_key")), "kept")
+    key = fresh(docs, "text_key")
+    named = docs.withColumn(key, _text_key()).join(kept.withColumnRenamed("text_key", key), ["doc_id", key], "left_semi")
+    named = named.dropDuplicates(["doc_id", key]).select(*[F.col(f"`{c}`") for c in docs.columns])
     return named.unionByName(docs.where("doc_id IS NULL"))

@@ -78,6 +78,15 @@ def test_one_of_each_group_stays_with_its_columns(frame):
     assert kept == sorted(map(repr, [rows[1], rows[3], *rows[4:]]))
 
 
+def test_rows_of_one_id_are_judged_by_their_own_texts(frame):
+    texts = {name: " ".join(f"{name}{n}" for n in range(60)) for name in "abc"}
+    copy = [(1, texts["a"]), (5, texts["a"]), (5, texts["b"]), (5, texts["c"]), (5, texts["c"] + " end"), (5, texts["b"]), (6, texts["b"] + " end")]
+    docs = frame([*copy, (5, ""), (5, None), (1, texts["c"] + "  more")], "doc_id long, text string")
+    for tasks in (1, 5):
+        kept = near_dedup.without_near_duplicates(docs.repartition(tasks)).collect()
+        assert sorted((r["doc_id"], (r["text"] or "-")[:1]) for r in kept) == [(1, "a"), (1, "c"), (5, "-"), (5, "-"), (5, "b")]
+
+
 def test_empty_table(frame):
     none = frame([], "doc_id long, text string")
     assert near_duplicates(none).collect() == [] and near_dedup.without_near_duplicates(none).collect() == []
