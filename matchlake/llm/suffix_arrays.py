@@ -184,17 +184,19 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = 10, block_words
     replaced, all others stay. hit_spans are the stretches of words inside any occurrence of
     ``window`` consecutive words of an item, or of a whole item that is shorter; item_matches
     has an item's longest match (length, at: the place in the document, item_at: in the item),
-    the first one on ties. NULL texts have no words; items without words match nothing. The
-    benchmark is searched in blocks, each of which is broadcast and goes over all documents.
+    the first one on ties. NULL texts have no words; items without words match nothing, and
+    repeated rows of the benchmark count once. It is searched in blocks, each of which is
+    broadcast and goes over all documents.
     """
     docs = docs.drop("n_words", "hit_spans", "item_matches")
     kind = benchmark.schema["item_id"].dataType.simpleString()
+    benchmark = stored(benchmark.select("item_id", "text").distinct(), "items")
     blocks = item_blocks(benchmark, block_words)
     of_block = F.pmod(F.xxhash64(F.col("item_id").cast("string"), "text"), F.lit(blocks))
     span = "array<struct<`from`:bigint,`to`:bigint>>"
     match = f"array<struct<item_id:{kind},length:bigint,at:bigint,item_at:bigint>>"
     for block in range(blocks):
-        rows = benchmark.where(of_block == block).select("item_id", "text").collect()  # about block_words
+        rows = sorted(benchmark.where(of_block == block).collect(), key=repr)  # about block_words
         names = [fresh(docs, x) for x in ("n_words", "block_spans", "block_matches")]
         extra = f"{names[0]} bigint, {names[1]} {span}, {names[2]} {match}"
         docs = _one_block(docs, Items([tuple(r) for r in rows], window), extra)

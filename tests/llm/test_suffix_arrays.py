@@ -101,3 +101,17 @@ def test_empty_tables_and_long_texts(frame):
 
 def test_words():
     assert words_of("Ab-c É9_ß\x00z") == ["ab".encode(), b"c", "É9".encode(), "ß".encode(), b"z"]
+
+
+def test_copies_of_an_item_come_to_the_driver_once(frame, monkeypatch):
+    item, given, init = "one two three four", [], Items.__init__
+
+    def recorded(self, items, window):
+        given.append(items)
+        init(self, items, window)
+
+    monkeypatch.setattr(Items, "__init__", recorded)
+    docs = frame([(1, f"zero {item} five"), (2, "none")], "doc_id long, text string")
+    rows = [(1, item)] * 300 + [(2, f"other {n}") for n in range(3)]
+    found = [r["item_matches"] for r in matches(docs, frame(rows, "item_id long, text string"), 3, 400).orderBy("doc_id").collect()]
+    assert sum(map(len, given)) == 4 and [[m["item_id"] for m in x] for x in found] == [[1], []]
