@@ -15,13 +15,15 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int) -> tu
     """Texts and labels of at most ``per_class`` rows of each class, and how many rows each class has.
 
     The rows of ``labels`` with the smallest hashes of their ids are taken, none of them held
-    out; NULL ids and labels are left out. A label whose document is missing gives no text.
+    out; NULL ids and labels are left out. A label whose document is missing gives no text, and
+    one whose document has several rows the smallest text.
     """
     named = labels.where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     open_ = named.select("doc_id", F.col(label).cast("int").alias("label")).where("label IN (0, 1)")
     sizes = {r["label"]: r["count"] for r in open_.groupBy("label").count().collect()}
     chosen = [open_.where(F.col("label") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class) for y in (0, 1)]
     ids = F.broadcast(chosen[0].unionByName(chosen[1]).distinct())  # at most 2 * per_class rows
-    rows = docs.select("doc_id", "text").join(ids, "doc_id").select("doc_id", "text", "label").collect()
+    texts = docs.select("doc_id", "text").join(ids, "doc_id").groupBy("doc_id", "label")  # one row per id leaves a task
+    rows = texts.agg(F.min("text").alias("text")).collect()
     rows.sort(key=lambda r: (str(r["doc_id"]), r["label"], r["text"] or ""))
     return [(r["text"] or "", r["label"]) for r in rows], sizes

@@ -35,6 +35,14 @@ def test_sample_is_bounded_and_leaves_out_what_is_held_out(frame):
     assert sorted(y for _, y in texts) == [0] * 20 + [1] * 20
 
 
+def test_a_repeated_document_is_sampled_once(frame):
+    docs, labels = labelled(frame)
+    most = docs.join(labels.where(~held_out(F.col("doc_id"))), "doc_id").agg(F.max("doc_id")).first()[0]
+    again = docs.where(F.col("doc_id") == most).withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(500)))).drop("copy")
+    other = frame([(most, "~ the largest text", 1, 2, 3)], SCHEMA)
+    assert sample(docs.unionByName(again).unionByName(other), labels, "toxic", 240) == sample(docs, labels, "toxic", 240)
+
+
 def test_sentences_are_found_from_labels_of_documents(frame):
     docs, labels = labelled(frame)
     model = toxicity.fit(docs, labels)
