@@ -107,7 +107,10 @@ class Model:
         return _unit(_unit(np.log1p(counts) * self.frequencies) @ self.directions).astype(np.float32)
 
     def votes(self, vectors: np.ndarray, neighbours: int) -> np.ndarray:
-        """Share of label 1 among the nearest, each with its cosine's square as weight and the class's."""
+        """Share of label 1 among the nearest, each with its cosine's square as weight and the class's.
+
+        A vector of 0 has no nearest ones, and so the share among all labels.
+        """
         if not len(self.labels):
             return np.full(len(vectors), 0.5)
         cosines = np.maximum(vectors @ self.vectors.T, 0)
@@ -117,7 +120,8 @@ class Model:
             near = np.broadcast_to(np.arange(len(self.labels)), cosines.shape)
         weight = np.take_along_axis(cosines, near, axis=1).astype(float) ** 2 + 1e-9
         weight *= self.weights[self.labels[near]]
-        return (weight * self.labels[near]).sum(axis=1) / weight.sum(axis=1)
+        found = (weight * self.labels[near]).sum(axis=1) / weight.sum(axis=1)
+        return np.where(vectors.any(axis=1), found, np.average(self.labels, weights=self.weights[self.labels]))
 
 
 def _unit(rows: np.ndarray) -> np.ndarray:

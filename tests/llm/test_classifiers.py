@@ -112,6 +112,15 @@ def test_votes_against_all_cosines():
         assert got == pytest.approx(sum(w * labels[k] for w, k in zip(weight, near, strict=True)) / sum(weight), abs=1e-4)
 
 
+def test_texts_without_words_have_the_share_of_all_labels(frame):
+    docs, labels = labelled(frame)
+    model = neighbours.fit(docs, labels)
+    share = labels.where(~held_out(F.col("doc_id"))).agg(F.avg("quality")).first()[0]
+    assert len(model.labels) > neighbours.NEIGHBOURS
+    empty = frame([(1, None, 1, 1, 1), (2, "", 1, 1, 1), (3, " \n", 1, 1, 1)], SCHEMA)
+    assert [r["quality"] for r in neighbours.score(empty, model).collect()] == pytest.approx([share] * 3)
+
+
 def test_document_frequencies_cover_all_documents(frame):
     docs, _ = labelled(frame)
     counter = neighbours.Counter()
