@@ -8,7 +8,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchlake.llm import cuckoo, mixing, near_dedup, neighbours, pii, suffix_arrays, token_files, toxicity, url_rules, warc_audit
+from matchlake.llm import (
+    cuckoo,
+    mixing,
+    near_dedup,
+    neighbours,
+    periodic_runs,
+    pii,
+    suffix_arrays,
+    token_files,
+    toxicity,
+    url_rules,
+    warc_audit,
+)
 from matchlake.llm.labelled import held_out
 from matchlake.session import shared_folder
 
@@ -207,3 +219,64 @@ select page_id, strlen(record)::bigint as length, sha256(record) as sha256,
   case when substr(md5(url), 1, 2) = '00' and substr(html, 1, 1) = '<' then 'differs' else 'intact' end as status
 from records
 """
+
+
+@query
+def op13_periodic_runs(spark, sf_dir):
+    """Runs of repeated words in every document, some of which get a periodic tail first."""
+    docs = table(spark, sf_dir, "documents")
+    found = periodic_runs.periodic_runs(docs.select("doc_id", periodic_runs.planted(F.col("doc_id"), F.col("text")).alias("text")))
+    none = F.lit(None).cast(found.schema["runs"].dataType.elementType)
+    better = lambda a, r: a.isNull() | (r["length"] * a["period"] > a["length"] * r["period"])
+    best = F.aggregate("runs", none, lambda a, r: F.when(better(a, r), r).otherwise(a))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        *[F.col(f"best.{name}") for name in ("start", "length", "period")],
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+#: The unsigned crc32 of a text, bit by bit.
+CRC32 = """xor(4294967295::ubigint, list_reduce(
+    list_prepend(4294967295::ubigint, list_transform(range(1, strlen({0}) + 1), lambda i: ascii(substr({0}, i, 1))::ubigint)),
+    lambda c, b: list_reduce(list_prepend(xor(c, b), [0::ubigint, 0, 0, 0, 0, 0, 0, 0]), lambda d, z: xor(d >> 1, 3988292384::ubigint * (d & 1)))))"""
+
+#: Every pair of equal words of a document is a place of a diagonal; diagonals are islands of places.
+ORACLE["op13_periodic_runs"] = f"""
+with hashed as (
+  select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as words, {CRC32.format("doc_id::varchar")}::bigint as h from documents
+), sized as (
+  select *, len(words) as n, h // 10 as g from hashed
+), tailed as (
+  select *, case when h % 10 = 0 and n > 0 then g % n else n end as a from sized
+), placed as (
+  select *, 1 + (n - a) // (3 + g % 8) as p from tailed
+), word as (
+  select doc_id, n, i, words[1 + case when i < a then i else a + (i - a) % p end] as word from placed, unnest(range(n)) as x(i)
+), pair as (
+  select v.doc_id, v.n, v.i, v.i - u.i as period from word v join word u on u.doc_id = v.doc_id and u.word = v.word and u.i < v.i
+  where 3 * (v.i - u.i) <= v.n
+), diagonal as (
+  select doc_id, period, min(i) - period as start, count(*) + period as length
+  from (select *, i - row_number() over (partition by doc_id, period order by i) as island from pair)
+  group by doc_id, period, island having count(*) + period >= greatest(24, 3 * period)
+), run as (
+  select * from diagonal d where not exists (
+    select 1 from diagonal s where s.doc_id = d.doc_id and s.period < d.period and s.start <= d.start and s.start + s.length >= d.start + d.length)
+), best as (
+  select *, row_number() over (partition by doc_id order by length / period desc, start, period) as place from run
+), report as (
+  select doc_id, count(*) as n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' order by start, period) as lines from run group by doc_id
+), dropped as (
+  select distinct doc_id, unnest(range(start + period, start + length)) as i from run
+), collapsed as (
+  select doc_id, string_agg(word, ' ' order by i) as text from word anti join dropped using (doc_id, i) group by doc_id
+)
+select doc_id, coalesce(n_runs, 0) as n_runs, start, length, period, 1000 * length // period as exponent_milli,
+  sha256(coalesce(lines, '')) as runs_sha256, sha256(coalesce(c.text, '')) as collapsed_sha256
+from documents left join report using (doc_id) left join (from best where place = 1) using (doc_id) left join collapsed c using (doc_id)
+"""
