@@ -15,6 +15,7 @@ from matchlake.llm import (
     neighbours,
     periodic_runs,
     pii,
+    prefix_trie,
     suffix_arrays,
     token_files,
     toxicity,
@@ -280,3 +281,48 @@ select doc_id, coalesce(n_runs, 0) as n_runs, start, length, period, 1000 * leng
   sha256(coalesce(lines, '')) as runs_sha256, sha256(coalesce(c.text, '')) as collapsed_sha256
 from documents left join report using (doc_id) left join (from best where place = 1) using (doc_id) left join collapsed c using (doc_id)
 """
+
+
+@query
+def op12_prefix_trie(spark, sf_dir):
+    """Every distinct prefix of the spliced conversations, with what sharing it saves."""
+    lists = prefix_trie.turn_lists(table(spark, sf_dir, "conversations"))
+    nodes = prefix_trie.prefix_nodes(prefix_trie.spliced(lists))
+    return nodes.withColumnRenamed("saved_chars", "saved_tokens")
+
+
+ORACLE["op12_prefix_trie"] = f"""
+with turn as (
+  select conv_id, row_number() over (partition by conv_id order by turn nulls first) as k, coalesce(role, '') as role, coalesce(text, '') as text
+  from conversations where conv_id is not null
+), conv as (
+  select conv_id, conv_id - conv_id % 100 as head, {CRC32.format("conv_id::varchar")} % 6 as h from (select distinct conv_id from turn)
+), rebuilt as (
+  select c.conv_id, k, role, text from conv c join turn t on t.conv_id = c.head and k <= h
+  union all
+  select c.conv_id, k, role, text from conv c join turn t on t.conv_id = c.conv_id and k > h
+), prefix as (
+  select conv_id, row_number() over follow as depth, length(text) as chars,
+    string_agg(md5(length(role) || ':' || role || text), '') over follow as node
+  from rebuilt window follow as (partition by conv_id order by k)
+  union all
+  select conv_id, 0, 0, '' from conv
+), node as (
+  select node, min(conv_id) as conv_id, any_value(depth) as depth, any_value(chars) as chars, count(*) as n_convs,
+    substr(node, 1, greatest(length(node) - 32, 0)) as parent
+  from prefix group by node
+), last as (
+  select conv_id, arg_max(node, depth) as node from prefix group by conv_id
+), ended as (
+  select node, string_agg(conv_id::varchar, ',' order by conv_id) as ids from last group by node
+), child as (
+  select parent as node, count(*) as n_children from node where depth > 0 group by parent
+), below as (
+  select p.node, sum((n.n_convs - 1) * n.chars)::bigint as saved_tokens, count(*) filter (where c.node is null) as n_leaves
+  from node n join prefix p on p.conv_id = n.conv_id and p.depth <= n.depth left join child c on c.node = n.node group by p.node
+)
+select n.conv_id, n.depth, p.conv_id as parent_conv_id, n.n_convs, coalesce(n_children, 0) as n_children, n_leaves, saved_tokens,
+  sha256(coalesce(ids, '')) as ends_sha256
+from node n left join node p on p.node = n.parent and n.depth > 0 left join child c on c.node = n.node
+  left join ended e on e.node = n.node join below b on b.node = n.node
+"""
