@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from matchlake.llm import (
+    bpe_lexicon,
     cuckoo,
     mixing,
     near_dedup,
@@ -47,6 +48,12 @@ def tokenizer_file() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def word_tokenizer_file() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 URL_RULES = [
     ("allow", "com", "/"),
     ("block", "example.com", "/en/"),
@@ -326,3 +333,17 @@ select n.conv_id, n.depth, p.conv_id as parent_conv_id, n.n_convs, coalesce(n_ch
 from node n left join node p on p.node = n.parent and n.depth > 0 left join child c on c.node = n.node
   left join ended e on e.node = n.node join below b on b.node = n.node
 """
+
+
+@query
+def op11_bpe_lexicon(spark, sf_dir):
+    """Every document's ids by a lexicon of common words and by merging the others, and their text again."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    tokenizer = word_tokenizer_file()
+    encoded = bpe_lexicon.encode(docs, tokenizer, bpe_lexicon.lexicon(docs, tokenizer))
+    return bpe_lexicon.decode(encoded, tokenizer).select(
+        "doc_id",
+        F.expr("octet_length(ids) div 4").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
