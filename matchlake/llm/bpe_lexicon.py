@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import heapq
 import json
+import re
 import unicodedata
 import uuid
 from collections.abc import Iterable, Iterator
@@ -25,14 +26,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.window import Window
 
-from matchlake.llm.common import by_size
+from matchlake.llm.common import by_size, stored
 from matchlake.session import shared_folder
 
 #: Words that the lexicon holds at most, and bytes of the longest; together they bound its file.
-LEXICON_WORDS, LEXICON_BYTES = 100_000, 48
+LEXICON_WORDS, LEXICON_BYTES = 200_000, 48
 #: Letters of a text that are cut into words at once.
 PORTION = 1 << 18
+#: Letters before this one are cut into words by spelled-out classes.
+NEAR = 0x180
 #: Words outside the lexicon whose ids a worker remembers.
 REMEMBERED = 100_000
 
@@ -55,6 +59,18 @@ def _unassigned() -> regex.Pattern:
     return regex.compile("[" + "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in zip(starts, ends, strict=True)) + "]")
 
 
+def _near_pattern(pattern: str) -> re.Pattern | None:
+    """The pattern with the classes of letters, numbers and white space spelled out for the first letters of Unicode.
+
+    The standard library's patterns are several times as fast. These letters are composed as
+    they are, and their lower-case forms are no letters or numbers beyond.
+    """
+    for name in (r"\p{L}", r"\p{N}", r"\s"):
+        members = "".join(f"\\x{c:02x}" if c < 256 else f"\\u{c:04x}" for c in range(NEAR) if regex.match(name, chr(c)))
+        pattern = re.sub(r"\[([^\]]*)\]", lambda m, n=name, x=members: m[0].replace(n, x), pattern)
+    return None if re.search(r"\\[a-tv-wyzA-Z]", pattern) else re.compile(pattern)
+
+
 class Vocabulary:
     """A tokenizers file of lower-case words with word ends: its words, its merges and its letters."""
 
@@ -86,13 +102,14 @@ class Vocabulary:
         self.spelled = {i: x for x, i in (*vocab.items(), *self.special.items())}
         self.special_texts = regex.compile("(" + "|".join(sorted(map(regex.escape, self.special), key=len, reverse=True)) + ")")
         self.word = regex.compile(split["pattern"]["Regex"])
-        self.space, self.far, self.unassigned = regex.compile(r"\s+"), regex.compile(r"[^\x00-ɏ]"), _unassigned()
+        self.near_word = _near_pattern(split["pattern"]["Regex"])
+        self.beyond, self.far, self.unassigned = re.compile(f"[^\x00-{chr(NEAR - 1)}]"), re.compile(r"[^\x00-\u024f]"), _unassigned()
 
     def words(self, text: str) -> list[str]:
         """The words of a text without special tokens; all its letters must be assigned."""
-        if not text.isascii():
-            text = self.space.sub(" ", unicodedata.normalize("NFC", text)).replace("Σ", "σ")
-        return self.word.findall(text.lower())
+        if self.near_word and (text.isascii() or not self.beyond.search(text)):
+            return self.near_word.findall(text.lower())
+        return self.word.findall(unicodedata.normalize("NFC", text).replace("Σ", "σ").lower())
 
     def known_letters(self, text: str) -> bool:
         return text.isascii() or not self.far.search(text) or not self.unassigned.search(text)
@@ -100,14 +117,34 @@ class Vocabulary:
     def merged(self, word: str) -> list[int]:
         """The ids of a word: its letters' ids, merged by the smallest rank, the leftmost of equal ones first.
 
-        A heap of the pairs makes this n log n for long words. A letter that the vocabulary lacks has no id.
+        A letter that the vocabulary lacks has no id.
         """
         data = word.encode()
         ids = [x for x in (*(self.inner[b] for b in data[:-1]), self.last[data[-1]]) if x is not None] if data else []
+        return self._merged_long(ids) if len(ids) > LEXICON_BYTES else self._merged_short(ids)
+
+    def _merged_short(self, ids: list[int]) -> list[int]:
+        """Looks for the best pair again after each merge."""
+        best, never = self.merges.get, (len(self.merges), 0)
+        pairs = [best(pair, never) for pair in zip(ids, ids[1:], strict=False)]
+        while pairs:
+            least = min(pairs)
+            if least is never:
+                break
+            at = pairs.index(least)
+            ids[at : at + 2] = [least[1]]
+            del pairs[at]
+            if at:
+                pairs[at - 1] = best((ids[at - 1], ids[at]), never)
+            if at < len(pairs):
+                pairs[at] = best((ids[at], ids[at + 1]), never)
+        return ids
+
+    def _merged_long(self, ids: list[int]) -> list[int]:
+        """Keeps the pairs in a heap, so that n letters take n log n steps."""
         merges, after = self.merges, [*range(1, len(ids)), -1]
         before, live = list(range(-1, len(ids) - 1)), [True] * len(ids)
-        heap = [(*merges[pair], at, *pair) for at, pair in enumerate(zip(ids, ids[1:], strict=False)) if pair in merges]
-        heap = [(rank, at, new, a, b) for rank, new, at, a, b in heap]
+        heap = [(merges[pair][0], at, merges[pair][1], *pair) for at, pair in enumerate(zip(ids, ids[1:], strict=False)) if pair in merges]
         heapq.heapify(heap)
         while heap:
             _, at, new, a, b = heapq.heappop(heap)
@@ -209,14 +246,19 @@ class Lexicon:
 
 
 def common_words(docs: DataFrame, pattern: str, words: int = LEXICON_WORDS) -> DataFrame:
-    """The words that occur most often in all texts, as far as they have at most 48 bytes; ties by the word.
+    """The most frequent words of all texts, as far as they have at most 48 bytes: at most ``words``.
 
-    This only says what the lexicon holds, so it may cut rare letters otherwise than the tokenizer.
+    They are those with a count from a bound on, where bounds are eight to a doubling. So what is
+    gathered is one row for each of these steps, and the words. This only says what the
+    lexicon holds, so it may cut rare letters otherwise than the tokenizer.
     """
     split = F.regexp_extract_all(F.lower("text"), F.lit(pattern), F.lit(0))
-    counted = docs.select(F.explode(split).alias("word")).groupBy("word").count()
-    short = counted.where(F.octet_length("word") <= LEXICON_BYTES)
-    return short.orderBy(F.desc("count"), "word").limit(words).select("word")
+    counted = docs.select(F.explode(split).alias("word")).groupBy("word").count().where(F.octet_length("word") <= LEXICON_BYTES)
+    counted = stored(counted.select("word", F.floor(8 * F.log2("count")).alias("step")), "words")
+    steps = counted.groupBy("step").count()
+    down = steps.withColumn("above", F.sum("count").over(Window.orderBy(F.desc("step"))))  # at most 512 rows
+    bound = down.where(F.col("above") <= words).agg(F.min("step")).first()[0]
+    return counted.where(F.col("step") >= F.lit(bound)).select("word")
 
 
 def lexicon(docs: DataFrame, tokenizer: str, words: int = LEXICON_WORDS) -> str:
