@@ -308,8 +308,9 @@ class Encoder:
         lengths = np.where(places >= 0, ends[places + 1] - ends[places], 0)
         starts = np.where(places >= 0, ends[places], 0)
         others, more, at = np.flatnonzero(places < 0), [], len(self.lexicon.ids)
-        for word in others.tolist():
-            ids = self.rare(coded.dictionary[word].as_py())
+        rare = coded.dictionary.take(pa.array(others)).to_numpy(zero_copy_only=False).tolist()
+        for word, text in zip(others.tolist(), rare, strict=True):
+            ids = self.rare(text)
             starts[word], lengths[word], at = at, len(ids), at + len(ids)
             more.extend(ids)
         pool = np.concatenate((self.lexicon.ids, np.array(more, np.int64))) if more else self.lexicon.ids

@@ -14,20 +14,24 @@ from __future__ import annotations
 import json
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from matchlake.llm.common import by_size
+
 #: Ids that a shard holds at most, unless its only document has more.
 SHARD_IDS = 2_000_000
 #: Words that a Python worker remembers the ids of, from task to task; the first ones are the common ones.
-REMEMBERED = 600_000
+REMEMBERED = 1_000_000
 
 _LENGTHS = np.array([[(byte >> 2 * k & 3) + 1 for k in range(4)] for byte in range(256)], np.int64)
 
@@ -99,7 +103,8 @@ class Encoder:
             and layout["model"]["type"] == "BPE"
         )
         special = [re.escape(x["content"]) for x in layout["added_tokens"]]
-        self.whole = re.compile("|".join([r"[ \n]\s", *special]))
+        space = "".join(f"\\x{{{c:x}}}" for c in range(0x3001) if chr(c).isspace())
+        self.whole = "|".join([f"[ \\n][{space}]", *special])
         self.letters = _byte_letters()
         self.known: dict[str, bytes] = {}
 
@@ -108,44 +113,74 @@ class Encoder:
         return np.array(ids, "<u4").tobytes()
 
     def word(self, word: str) -> bytes:
-        """Ids of letters with one space before them, which are one word to the tokenizer."""
-        spelled = (" " + word).encode().decode("latin-1").translate(self.letters)
-        return np.array([t.id for t in self.tokenizer.model.tokenize(spelled)], "<u4").tobytes()
-
-    def bare(self, part: str) -> bytes:
-        key = f"\0{part}"
-        ids = self.known.get(key)
-        return self.remember(key, self.text(part)) if ids is None else ids
-
-    def remember(self, key: str, ids: bytes) -> bytes:
-        if len(self.known) < REMEMBERED:
-            self.known[key] = ids
+        """Ids of letters, with or without one space before them, which are one word to the tokenizer."""
+        plain = word.isascii()  # these letters are spelled as they are
+        spelled = word.replace(" ", self.letters[32]) if plain else word.encode().decode("latin-1").translate(self.letters)
+        return array("I", [t.id for t in self.tokenizer.model.tokenize(spelled)]).tobytes()
+
+    def part(self, part: str) -> bytes:
+        """Ids of a text that has no cut but at its start. Words are remembered without their commas and full stops."""
+        ids = self.known.get(part)
+        if ids is None:
+            core = part.rstrip(",.")
+            if core != part and core[-1:].isalpha():
+                return self.part(core) + self.part(part[len(core) :])
+            ids = self.word(part) if part[part[:1] == " " :].isalpha() else self.text(part)
+            if len(self.known) < REMEMBERED:
+                self.known[part] = ids
         return ids
 
     def piece(self, piece: str) -> bytes:
         """Ids of what followed a space, or of a line end and what follows it."""
-        ids = self.known.get(piece)
-        if ids is None:
-            core = piece.rstrip(",.")
-            if piece[:1] == "\n":
-                ids = self.bare("\n") + (self.bare(piece[1:]) if len(piece) > 1 else b"")
-            elif core and core[-1].isalpha() and core != piece:
-                ids = self.piece(core) + self.bare(piece[len(core) :])
-            else:
-                ids = self.word(piece) if piece.isalpha() else self.text(f" {piece}")
-            self.remember(piece, ids)
-        return ids
+        if piece[:1] != "\n":
+            return self.part(f" {piece}")
+        return self.part("\n") + (self.part(piece[1:]) if len(piece) > 1 else b"")
+
+    def _start(self, first: str, alone: bool) -> bytes:
+        """Ids of what stands before the first cut of a text."""
+        if alone or first[:1] == "\n":
+            return self.text(first)
+        return self.part(first) if first else b""
+
+    def texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts one after another, and how many each has.
+
+        Pieces are cut and told apart by Arrow, so that a piece is looked up once for all its
+        occurrences in the texts; their ids are then gathered from those of the distinct pieces.
+        """
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        if self.by_piece:
+            alone = pc.match_substring_regex(texts, self.whole).to_numpy(zero_copy_only=False)
+        else:
+            alone = np.ones(len(texts), bool)
+        cut = pc.if_else(pa.array(alone), "", texts)
+        lists = pc.split_pattern(pc.replace_substring(cut, "\n", " \n"), " ")
+        offsets, pieces = np.asarray(lists.offsets), lists.flatten()
+        coded = pieces.dictionary_encode()
+        index, firsts = coded.indices.to_numpy(zero_copy_only=False).copy(), offsets[:-1]
+        later = np.ones(len(index), bool)
+        later[firsts] = False
+        used = np.zeros(len(coded.dictionary), bool)
+        used[index[later]] = True
+        known, lead = self.known.get, " "
+        distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        found = [(known(lead + x) or self.piece(x)) if u else b"" for x, u in zip(distinct, used.tolist(), strict=True)]
+        # What a text starts with has other ids than the same piece after a space.
+        single = np.diff(offsets) == 1
+        starts = zip(pieces.take(pa.array(firsts)).to_pylist(), single.tolist(), alone.tolist(), strict=True)
+        index[firsts] = len(found) + np.arange(len(firsts))
+        found += [b"" if apart else self._start(first, only) for first, only, apart in starts]
+        for n in np.flatnonzero(alone).tolist():
+            found[len(found) - len(firsts) + n] = self.text(texts[n].as_py())
+        lengths = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        pool, begins = np.frombuffer(b"".join(found), "<u4"), np.cumsum(lengths) - lengths
+        counts = lengths[index]
+        ends = np.cumsum(counts)
+        ids = pool[np.arange(counts.sum()) + np.repeat(begins[index] - (ends - counts), counts)]
+        return ids, np.diff(np.concatenate(([0], ends))[offsets])
 
     def __call__(self, text: str) -> np.ndarray:
-        if not self.by_piece or self.whole.search(text):
-            return np.frombuffer(self.text(text), "<u4")
-        first, *pieces = text.replace("\n", " \n").split(" ")
-        if first[:1] == "\n" or not pieces:
-            start = self.text(first)
-        else:
-            start = self.bare(first) if first else b""
-        known = self.known.get
-        return np.frombuffer(start + b"".join([known(x) or self.piece(x) for x in pieces]), "<u4")
+        return self.texts(pa.array([text], pa.large_string()))[0]
 
 
 @cache
@@ -156,12 +191,13 @@ def encoder_of(path: str) -> Encoder:
 
 def _shard(part: int, number: int, docs: list, ids: list[np.ndarray]) -> dict:
     stream = np.concatenate(ids)
-    distinct, place, counts = np.unique(stream, return_inverse=True, return_counts=True)
-    ranked = np.lexsort((distinct, -counts))
-    rank = np.empty(len(ranked), np.uint32)
-    rank[ranked] = np.arange(len(ranked))
-    control, data = pack(rank[place])
-    vocabulary = distinct[ranked].astype("<u4").tobytes()
+    counts = np.bincount(stream)  # ids are below the size of the tokenizer's vocabulary
+    distinct = np.flatnonzero(counts)
+    distinct = distinct[np.argsort(-counts[distinct], kind="stable")]
+    rank = np.zeros(len(counts), np.uint32)
+    rank[distinct] = np.arange(len(distinct))
+    control, data = pack(rank[stream])
+    vocabulary = distinct.astype("<u4").tobytes()
     lengths = [len(x) for x in ids]
     return {"part": part, "shard": number, "tokens": len(stream), "doc_ids": docs, "lengths": lengths} | {
         "vocabulary": vocabulary,
@@ -189,10 +225,11 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int | None
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, end = encoder_of(tokenizer), np.array([] if end_id is None else [end_id], "<u4")
         names, ids, held, number, part = [], [], 0, 0, 0
-        for batch in batches:
-            part = batch["part"][0].as_py() if batch.num_rows else part
-            for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"], strict=True):
-                new = np.concatenate((encoder(text.as_py() or ""), end))
+        for batch in by_size(batches, "text", 8 << 20):
+            part = batch["part"][0].as_py()
+            stream, counts = encoder.texts(batch["text"])
+            for doc_id, text_ids in zip(batch["doc_id"].to_pylist(), np.split(stream, np.cumsum(counts)[:-1]), strict=True):
+                new = np.concatenate((text_ids, end))
                 if ids and held + len(new) > shard_ids:
                     yield pa.RecordBatch.from_pylist([_shard(part, number, names, ids)], arrow)
                     names, ids, held, number = [], [], 0, number + 1
