@@ -2,13 +2,17 @@
 
 1. Every document gets the hashes of its distinct word shingles and a MinHash signature of
    them. Documents with equal sets are one class, of which one member is looked at.
-2. Classes meet in the buckets of their signatures' bands. Buckets with the same members
-   are looked at once, and large ones in chunks of bounded weight.
-3. A task compares the members of a chunk, each with those it is not yet connected to: a
-   batch of hashes at a time, dropping a pair as soon as the posterior probability that it
-   is similar falls below the chosen miss probability. Pairs that survive all batches are
-   verified on their full sets. What leaves the task is a forest of verified links.
-4. Chunks of one bucket are compared with each other where they hold different components.
+2. Classes meet in the buckets of their signatures' bands. Buckets with the same members are
+   looked at once. What travels is a byte of each hash: members are compared a batch of
+   hashes at a time, and a pair is dropped as soon as the posterior probability that it is
+   similar falls below the chosen miss probability. A bucket gives a forest of likely pairs,
+   not all of them; a very large one ties its members to one of them unseen.
+3. The components of likely pairs are groups. Each text goes once to its group, or to a
+   chunk of bounded weight of it. There pairs that aren't connected yet are sought with whole
+   signatures, again by batches, and verified on their full sets. What leaves the task is a
+   forest of verified links.
+4. Members of a group of several chunks that aren't connected with its centre visit all of
+   its other chunks.
 """
 
 from __future__ import annotations
@@ -31,8 +35,10 @@ _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 #: Words whose hashes a task remembers.
 REMEMBERED = 500_000
-#: Shingles that a chunk of a bucket holds at most, about; a single document may have more.
-CHUNK_SHINGLES = 250_000
+#: Shingles that a chunk of a group holds at most, about; a single document may have more.
+CHUNK_SHINGLES = 100_000
+#: Members of a bucket that are compared; those of larger ones are all taken as likely.
+BUCKET_MEMBERS = 4096
 #: Bands of a signature at least, and at most as long as they can have fewer rows.
 LEAST_BANDS, MOST_BANDS = 24, 48
 
@@ -135,28 +141,31 @@ class Shingler:
 
 
 def _signed(docs: DataFrame, how: Similarity) -> DataFrame:
-    """doc_id, text_key, n_shingles, set_key, part and bands of each row; no set_key without words.
+    """doc_id, text_key, n_shingles, set_key, part, bands and sketch of each row; no set_key without words.
 
-    ``part`` tells the sets of rows with the same doc_id apart, ``text_key`` their texts.
+    ``part`` tells the sets of rows with the same doc_id apart, ``text_key`` their texts. The
+    sketch has a byte of each hash of the signature.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
 
-    added = "text_key bigint, n_shingles bigint, set_key binary, part bigint, bands array<bigint>"
+    added = "text_key bigint, n_shingles bigint, set_key binary, part bigint, bands array<bigint>, sketch binary"
     schema = T.StructType([docs.schema["doc_id"], *T.StructType.fromDDL(added).fields])
     arrow = to_arrow_schema(schema)
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(how)
         for batch in batches:
-            sizes, keys, parts, bands = [], [], [], []
+            sizes, keys, parts, bands, sketches = [], [], [], [], []
             for text in batch["text"]:
                 shingles = shingler(text.as_py())
                 sizes.append(len(shingles))
                 keys.append(xxhash.xxh3_128_digest(shingles.tobytes()) if len(shingles) else None)
                 parts.append(_part(shingles) if len(shingles) else None)
-                bands.append(shingler.bands(shingler.signature(shingles)) if len(shingles) else None)
+                signature = shingler.signature(shingles) if len(shingles) else None
+                bands.append(shingler.bands(signature) if len(shingles) else None)
+                sketches.append(signature.astype(np.uint8).tobytes() if len(shingles) else None)
             columns = [pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(parts, pa.int64())]
-            columns.append(pa.array(bands, pa.list_(pa.int64())))
+            columns += [pa.array(bands, pa.list_(pa.int64())), pa.array(sketches, pa.binary())]
             yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["text_key"], *columns], schema=arrow)
 
     return docs.select("doc_id", _text_key(), "text").mapInArrow(sign, schema)
@@ -170,8 +179,20 @@ def _part(shingles: np.ndarray) -> int:
     return int.from_bytes(xxhash.xxh3_64_digest(shingles.tobytes()), "big", signed=True)
 
 
+def _unpruned(signatures: np.ndarray, i: int, others: np.ndarray, how: Similarity) -> np.ndarray:
+    """Those of ``others`` that no batch of hashes prunes as a partner of ``i``."""
+    equal, begin = np.zeros(len(others), np.int64), 0
+    for end, least in how.least:
+        if not others.size:
+            break
+        equal += (signatures[others, begin:end] == signatures[i, begin:end]).sum(axis=1)
+        stay = equal >= least
+        others, equal, begin = others[stay], equal[stay], end
+    return others
+
+
 class Chunk:
-    """Members that a task compares: their sets, signatures, bands, components and sides."""
+    """Members that a task compares: their sets, signatures, components and sides."""
 
     def __init__(self, shingler: Shingler, rows: list[dict]):
         self.how = shingler.how
@@ -185,26 +206,19 @@ class Chunk:
         rows, self.sets = [sets[node][0] for node in self.nodes], [sets[node][1] for node in self.nodes]
         self.sizes = np.array([len(s) for s in self.sets], np.int64)
         self.signatures = np.array([shingler.signature(s) for s in self.sets])
-        self.bands = np.array([shingler.bands(s) for s in self.signatures])
         first = {}
         self.component = np.array([first.setdefault(r["label"], n) for n, r in enumerate(rows)])
-        self.sides = np.array([r["side"] for r in rows])
-        self.center = np.array([r["node"] == r["center"] for r in rows])
+        self.visits = np.array([r["visits"] for r in rows])
 
-    def links(self, band: int, across: bool) -> Iterator[tuple[object, object]]:
-        """Verified links that join components. ``across``: only between the two sides."""
+    def links(self, across: bool) -> Iterator[tuple[object, object]]:
+        """Verified links that join components. ``across``: only between visitors and others."""
         percent = self.how.percent
         for i in range(len(self.nodes) - 1):
             others = np.nonzero(self.component[i + 1 :] != self.component[i])[0] + i + 1
             if across:
-                others = others[self.sides[others] != self.sides[i]]
+                others = others[self.visits[others] != self.visits[i]]
             small, large = np.minimum(self.sizes[others], self.sizes[i]), np.maximum(self.sizes[others], self.sizes[i])
-            others = others[100 * small >= percent * large]
-            if band and others.size and not self.center[i]:
-                # Such a pair belongs to the bucket of the first band that it shares.
-                met = (self.bands[others, :band] == self.bands[i, :band]).any(axis=1)
-                others = others[~met | self.center[others]]
-            others = self._likely(i, others)
+            others = _unpruned(self.signatures, i, others[100 * small >= percent * large], self.how)
             for at in range(0, len(others), 64):
                 some = others[at : at + 64]
                 some = some[self.component[some] != self.component[i]]
@@ -213,17 +227,6 @@ class Chunk:
                         self.component[self.component == self.component[j]] = self.component[i]
                         yield self.nodes[i], self.nodes[j]
 
-    def _likely(self, i: int, others: np.ndarray) -> np.ndarray:
-        """Those that no batch of hashes prunes."""
-        equal, begin = np.zeros(len(others), np.int64), 0
-        for end, least in self.how.least:
-            if not others.size:
-                break
-            equal += (self.signatures[others, begin:end] == self.signatures[i, begin:end]).sum(axis=1)
-            stay = equal >= least
-            others, equal, begin = others[stay], equal[stay], end
-        return others
-
     def _similar(self, i: int, others: np.ndarray) -> np.ndarray:
         """Exact verification on the full sets."""
         sizes, mine = self.sizes[others], self.sets[i]
@@ -234,20 +237,58 @@ class Chunk:
         return 100 * common >= self.how.percent * (sizes + len(mine) - common)
 
 
+def _link_schema(members: DataFrame) -> T.StructType:
+    return T.StructType([T.StructField(side, members.schema["node"].dataType) for side in "ab"])
+
+
+def _likely(members: DataFrame, how: Similarity) -> DataFrame:
+    """Forests of likely pairs (a, b) from the buckets of ``members``: band, key, node, sketch."""
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    schema = _link_schema(members)
+    arrow = to_arrow_schema(schema)
+
+    def forest(nodes: pa.Array, sketches: list[bytes]) -> pa.RecordBatch:
+        signatures = np.frombuffer(b"".join(sketches), np.uint8).reshape(len(sketches), -1)
+        component, pairs = np.arange(len(sketches)), []
+        for i in range(len(sketches) - 1):
+            others = np.nonzero(component[i + 1 :] != component[i])[0] + i + 1
+            for j in _unpruned(signatures, i, others, how).tolist():
+                if component[j] != component[i]:
+                    component[component == component[j]] = component[i]
+                    pairs.append((i, j))
+        ends = [nodes.take(pa.array([pair[k] for pair in pairs], pa.int64())) for k in (0, 1)]
+        return pa.RecordBatch.from_arrays([e.cast(f.type) for e, f in zip(ends, arrow, strict=True)], schema=arrow)
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        nodes, sketches, now = [], [], None
+        for batch in batches:
+            for at, of in enumerate(zip(batch["band"].to_pylist(), batch["key"].to_pylist(), strict=True)):
+                if of != now:
+                    if len(sketches) > 1:
+                        yield forest(pa.concat_arrays(nodes), sketches)
+                    nodes, sketches, now = [], [], of
+                nodes.append(batch["node"].slice(at, 1))
+                sketches.append(batch["sketch"][at].as_py())
+        if len(sketches) > 1:
+            yield forest(pa.concat_arrays(nodes), sketches)
+
+    return members.repartition("band", "key").sortWithinPartitions("band", "key").mapInArrow(compare, schema)
+
+
 def _linked(members: DataFrame, how: Similarity, across: bool) -> DataFrame:
-    """Verified links (a, b) from the chunks of ``members``: band, key, chunk, node, label, side, center, text."""
+    """Verified links (a, b) from the chunks of ``members``: group, chunk, node, label, visits, text."""
     from pyspark.sql.pandas.types import to_arrow_schema
 
-    kind = members.schema["node"].dataType  # (id, part)
-    schema = T.StructType([T.StructField("a", kind), T.StructField("b", kind)])
-    arrow, chunk_of = to_arrow_schema(schema), ("band", "key", "chunk")
+    schema = _link_schema(members)
+    arrow, chunk_of = to_arrow_schema(schema), ("group", "chunk")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, held, now = Shingler(how), [], None
 
         def links() -> Iterator[pa.RecordBatch]:
             if len(held) > 1:
-                pairs = Chunk(shingler, held).links(now[0], across)
+                pairs = Chunk(shingler, held).links(across)
                 found = [{side: {"id": n[0], "part": n[1]} for side, n in zip("ab", pair, strict=True)} for pair in pairs]
                 yield pa.RecordBatch.from_pylist(found, arrow)
 
@@ -258,7 +299,7 @@ def _linked(members: DataFrame, how: Similarity, across: bool) -> DataFrame:
                     if of != now:
                         yield from links()
                         held, now = [], of
-                    held.append(row | {c: (row[c]["id"], row[c]["part"]) for c in ("node", "label", "center")})
+                    held.append(row | {c: (row[c]["id"], row[c]["part"]) for c in ("node", "label")})
         yield from links()
 
     return members.repartition(*chunk_of).sortWithinPartitions(*chunk_of).mapInArrow(compare, schema)
@@ -307,59 +348,64 @@ def _labelled(docs: DataFrame, how: Similarity) -> DataFrame:
     signed = stored(_signed(docs, how), "signed")
     named = signed.where("set_key IS NOT NULL AND doc_id IS NOT NULL")
     node = F.struct(F.col("doc_id").alias("id"), "part")
-    of_class = (F.min(node).alias("node"), F.first("n_shingles").alias("weight"), F.first("bands").alias("bands"))
-    classes = stored(named.groupBy("set_key").agg(*of_class), "classes")
-    spread = classes.select("node", "weight", F.posexplode("bands").alias("band", "key"))
+    first = (F.first(c).alias(c) for c in ("bands", "sketch"))
+    classes = named.groupBy("set_key").agg(F.min(node).alias("node"), F.first("n_shingles").alias("weight"), *first)
+    classes = stored(classes, "classes")
+    groups = components(stored(_likely_pairs(classes, how), "likely"))
+    groups = groups.unionByName(groups.select(F.col("label").alias("node"), "label").distinct())  # the smallest ones too
+    labels = components(_verified(groups.join(classes.select("node", "weight"), "node"), docs, how))
+    found = classes.select("set_key", "node").join(labels, "node", "left")
+    found = stored(found.select("set_key", F.coalesce("label", "node").alias("label")), "labels")
+    forget(classes)
+    result = signed.drop("bands", "sketch").join(found, "set_key", "left")
+    return result.select("doc_id", "text_key", "n_shingles", "part", "label")
+
+
+def _likely_pairs(classes: DataFrame, how: Similarity) -> DataFrame:
+    """Pairs (a, b) that connect all classes which share a bucket and aren't pruned."""
+    spread = classes.select("node", F.posexplode("bands").alias("band", "key"))
     buckets = spread.groupBy("band", "key").agg(
         F.count(F.lit(1)).alias("members"),
-        F.sum("weight").alias("weight"),
         F.min("node").alias("center"),
         F.bit_xor(F.xxhash64("node")).alias("mark"),
     )
-    same = buckets.where("members > 1").groupBy("members", "weight", "center", "mark")
-    same = same.agg(F.min(F.struct("band", "key")).alias("first"))
+    same = buckets.where("members > 1").groupBy("members", "center", "mark")
+    buckets = same.agg(F.min(F.struct("band", "key")).alias("first")).select("first.*", "center", "members")
+    members = stored(spread.join(buckets, ["band", "key"]), "members")
+    small = members.where(F.col("members") <= BUCKET_MEMBERS).select("band", "key", "node")
+    compared = _likely(small.join(classes.select("node", "sketch"), "node"), how)
+    return compared.unionByName(members.where(F.col("members") > BUCKET_MEMBERS).select(F.col("node").alias("a"), F.col("center").alias("b")))
+
+
+def _verified(members: DataFrame, docs: DataFrame, how: Similarity) -> DataFrame:
+    """Verified links (a, b) of groups: node, weight, and the group's smallest node as label."""
+    texts = docs.select(F.col("doc_id").alias("id"), "text")
+
+    def with_texts(rows: DataFrame) -> DataFrame:
+        """Every text of a node's id; ``Chunk`` takes the one with the node's set."""
+        return rows.withColumn("id", F.col("node.id")).join(texts, "id").drop("id")
+
+    weights = members.groupBy("label").agg(F.sum("weight").alias("weight"))
     chunks = F.ceil(F.col("weight") / CHUNK_SHINGLES).cast("int")
-    buckets = stored(same.select("first.band", "first.key", "center", chunks.alias("chunks")), "buckets")
-    chunk = F.pmod(F.xxhash64("node", "band"), F.col("chunks")).cast("int")
-    met = spread.join(buckets, ["band", "key"])
-    members = stored(met.select("band", "key", chunk.alias("chunk"), "chunks", "node", "center"), "members")
+    weights = weights.select(F.col("label").alias("group"), chunks.alias("chunks"))
+    chunk = F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int").alias("chunk")
+    members = stored(members.select("node", F.col("label").alias("group")).join(weights, "group").select("group", chunk, "chunks", "node"), "members")
     every = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk")
-    large = buckets.where("chunks > 1").select("band", "key", every, "center")
-    centers = large.select("band", "key", "chunk", F.col("center").alias("node"), "center")  # also in every chunk
-    texts = docs.select(F.col("doc_id").alias("id"), "text")
-    asked = _with_texts(members.drop("chunks").unionByName(centers), texts)
-    asked = asked.withColumns({"label": F.col("node"), "side": F.lit(0)})
+    large = members.where("chunks > 1")
+    centers = large.where("node = group").select("group", every, F.col("group").alias("node"))  # in every chunk
+    asked = members.select("group", "chunk", "node").unionByName(centers)
+    asked = with_texts(asked).withColumns({"label": F.col("node"), "visits": F.lit(False)})
     links = stored(_linked(asked, how, across=False), "links")
+    if large.isEmpty():
+        return links
     labels = components(links)
-    if not buckets.where("chunks > 1").isEmpty():
-        links = links.unionByName(_across(members, labels, texts, how))
-        labels = components(links)
-    found = classes.select("set_key", "node").join(labels, "node", "left")
-    found = stored(found.select("set_key", F.coalesce("label", "node").alias("label")), "labels")
-    for old in (classes, members, buckets):
-        forget(old)
-    result = signed.drop("bands").join(found, "set_key", "left")
-    return result.select("doc_id", "text_key", "n_shingles", "part", "label")
-
-
-def _with_texts(members: DataFrame, texts: DataFrame) -> DataFrame:
-    """``members`` with every text of their nodes' ids; ``Chunk`` takes the one with the node's set."""
-    return members.withColumn("id", F.col("node.id")).join(texts, "id").drop("id")
-
-
-def _across(members: DataFrame, labels: DataFrame, texts: DataFrame, how: Similarity) -> DataFrame:
-    """Links between the chunks of one bucket, for pairs of chunks with more than one component."""
-    large = members.where("chunks > 1").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    large = stored(large, "large")
-    per_chunk = large.groupBy("band", "key", "chunk").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-    one, two = (stored(per_chunk, f"chunks-{n}") for n in (1, 2))
-    one = one.select("band", "key", F.col("chunk").alias("first"), F.col("low").alias("low_1"), F.col("high").alias("high_1"))
-    two = two.select("band", "key", F.col("chunk").alias("second"), "low", "high")
-    pairs = one.join(two, ["band", "key"]).where("first < second AND (low <> low_1 OR high <> high_1 OR low <> high)")
-    pairs = pairs.select("band", "key", F.explode(F.array("first", "second")).alias("side"), F.struct("first", "second").alias("chunk"))
-    rows = _with_texts(large.withColumnRenamed("chunk", "side").drop("chunks").join(pairs, ["band", "key", "side"]), texts)
-    name = F.concat_ws("-", "chunk.first", "chunk.second")
-    return stored(_linked(rows.withColumn("chunk", name), how, across=True), "links")
+    placed = stored(large.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")), "placed")
+    mains = placed.where("node = group").select("group", F.col("label").alias("main"))
+    apart = placed.join(mains, "group").where("label <> main")
+    visitors = apart.select("group", every, "node", "label", F.lit(True).alias("visits"), F.col("chunk").alias("own")).where("chunk <> own").drop("own")
+    hosts = placed.join(apart.select("group").distinct(), "group", "left_semi")
+    hosts = hosts.select("group", "chunk", "node", "label", F.lit(False).alias("visits"))
+    return links.unionByName(stored(_linked(with_texts(hosts.unionByName(visitors)), how, across=True), "links"))
 
 
 def without_near_duplicates(docs: DataFrame, how: Similarity = Similarity()) -> DataFrame:  # noqa: B008
