@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from matchlake import operators
 from matchlake.functions import club_key, name_key
 from matchlake.ml.pairings import find_teams
-from matchlake.operators.candidates import near_names
+from matchlake.operators.candidates import meetings, near_names
 from matchlake.operators.containment import best_holder
 
 TEAMS = "team_id bigint, team_name string, league string, season int, source string"
@@ -76,6 +76,17 @@ def test_names_with_a_common_segment_equal_all_pairs(frame, k):
     assert {tuple(r) for r in got} == {(a, b, distance(a, b)) for a in left for b in right if distance(a, b) <= k}
 
 
+def test_a_word_that_all_names_share_is_none_they_meet_on(frame):
+    rng = random.Random(7)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    base = ["".join(rng.choices(letters, k=9)) + " " + "".join(rng.choices(letters, k=7)) for _ in range(2500)]
+    left, right = ({edited(rng, w, rng.randint(0, 1), letters) + " united" for w in base} for _ in range(2))
+    left, right = (frame([(w,) for w in names], "name string") for names in (left, right))
+    found = near_names(left, right, 2).count()
+    assert found >= 2400 and meetings(left, right, 2).count() <= 5 * found
+    assert meetings(left, right, 2, spare=0).count() > 50 * found
+
+
 def test_hot_signatures_lose_no_pairs(frame):
     words = [f"club {chr(97 + i)}{chr(97 + j)}" for i in range(6) for j in range(6)]
     names = frame([(w,) for w in words], "name string")
