@@ -13,7 +13,7 @@ def main() -> None:
     parser = argparse.ArgumentParser(prog="matchlake")
     parser.add_argument("job", choices=[*JOBS, "profile", "predict", "teams"])
     parser.add_argument("--base", required=True, help="folder or URI that holds all datasets")
-    parser.add_argument("--overwrite", choices=["static", "dynamic"], default="static")
+    parser.add_argument("--overwrite", choices=["static", "dynamic", "publish"], default="static")
     parser.add_argument("--season", type=int, help="resolve, candidates: season of the teams")
     parser.add_argument("--distance", type=int, help="candidates: most edits between two names")
     parser.add_argument("--dumps", help="slices: folder of the registry's csv.gz files")

@@ -4,7 +4,7 @@ from matchlake.operators.candidates import name_candidates
 from matchlake.operators.dedupe import keep_one
 from matchlake.operators.enrich import enrich, split_matches, training_sets, with_standings
 from matchlake.operators.nested import explode_rows, flatten, parse_fields
-from matchlake.operators.quality import duplicate_keys, nonnull_counts, profile, row_counts
+from matchlake.operators.quality import duplicate_keys, grouped_counts, nonnull_counts, profile, row_counts
 from matchlake.operators.resolve import automatic_matches, manual_matches, resolve_teams, teams_of_season
 from matchlake.operators.roles import as_role, stack_roles
 from matchlake.operators.search import distinct_leagues, filter_predictions, search_teams
@@ -21,6 +21,7 @@ __all__ = [
     "explode_rows",
     "filter_predictions",
     "flatten",
+    "grouped_counts",
     "keep_one",
     "latest_team_stats",
     "logo_per_team",

@@ -23,7 +23,7 @@ from matchlake.operators import (
     with_standings,
 )
 from matchlake.plans import tables
-from matchlake.sources import intermediate, read_dataset, require_rows, slice_by_league, write_dataset
+from matchlake.sources import counted, intermediate, read_dataset, require_rows, slice_by_league, write_dataset
 
 Job = Callable[..., dict[str, DataFrame]]
 
@@ -107,6 +107,20 @@ def run_job(spark: SparkSession, name: str, base: str, overwrite: str = "static"
     return {target: write_dataset(df, target, base, overwrite) for target, df in built.items()}
 
 
+def run_job_counted(spark: SparkSession, name: str, base: str, overwrite: str = "static", **options) -> DataFrame:
+    """Run one job like ``run_job``; returns rows and non-nulls by column of what it wrote.
+
+    The counts are taken while the tables are written, without another scan.
+    """
+    report = []
+    for target, df in JOBS[name](spark, base, **options).items():
+        df, observation = counted(df)
+        write_dataset(df, target, base, overwrite)
+        found = observation.get
+        report.append((target, found["rows"], {c: found[f"nonnull.{c}"] for c in df.columns}))
+    return spark.createDataFrame(report, "dataset string, rows bigint, nonnull map<string,bigint>")
+
+
 def profile_sources(spark: SparkSession, base: str, prefix: str = "raw_") -> DataFrame:
     """Profile of every dataset whose name starts with ``prefix``."""
     names = [name for name in DATASETS if name.startswith(prefix)]

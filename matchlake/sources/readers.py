@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.types import StructType
 
 from matchlake.catalog import DATASETS, dataset_path
-
+from matchlake.session import shared_folder
 
 LANDED = "ingest_date"
+#: Of a published table: the folder of its versions, and the file that names the current one.
+VERSIONS, POINTER = "_versions", "_current"
 CORRUPT = "_corrupt_record"
 
 
@@ -62,9 +66,65 @@ def read_csv(spark: SparkSession, path: str, schema: str, partitions: int | None
     return rows.repartition(partitions) if partitions else rows
 
 
+def split_csv(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame, DataFrame]:
+    """Rows of CSV files that each have their own header, and the lines that don't fit it: ``value`` and ``file``.
+
+    A file's header is the first line of its first block, and its names choose the columns,
+    in any order. A column that it lacks and a value that is not of its type are NULL. A line
+    with more or fewer values than the header is rejected; empty lines are skipped. Values
+    must not contain line ends. The number of different headers must be small, as each is one
+    expression of the plan; the number of files need not be.
+    """
+    at, start = F.monotonically_increasing_id(), F.col("_metadata.file_block_start")
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), start.alias("start"), at.alias("at"))
+    # Both scans are alike, without a filter, so that they number the lines alike.
+    first = lines.groupBy("file").agg(F.min(F.when(F.col("start") == 0, F.struct("at", "value"))).alias("first"))
+    first = intermediate_rows(first.select("file", F.col("first.at").alias("first"), F.col("first.value").alias("header")))
+    headers = [row["header"] for row in first.select("header").distinct().collect()]
+    body = lines.join(first, "file").where("(start <> 0 OR at <> first) AND trim(value) <> ''")
+    wanted = spark.createDataFrame([], schema).schema
+    rows, corrupt = F.lit(None), F.lit(None).cast("string")
+    for header in headers:
+        names = [name.strip() for name in next(csv.reader([header]))]
+        known = T.StructType([T.StructField(f"c{n}", T.StringType()) for n in range(len(names))])
+        options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+        parsed = F.from_csv("value", f"{', '.join(f'{f.name} string' for f in known)}, {CORRUPT} string", options)
+        fields = [
+            (parsed[f"c{names.index(f.name)}"] if f.name in names else F.lit(None)).try_cast(f.dataType).alias(f.name) for f in wanted
+        ]
+        rows = F.when(F.col("header") == header, F.struct(*fields)).otherwise(rows)
+        corrupt = F.when(F.col("header") == header, parsed[CORRUPT]).otherwise(corrupt)
+    if not headers:
+        return spark.createDataFrame([], schema), body.select("value", "file")
+    parsed = body.select("value", "file", rows.alias("row"), corrupt.alias(CORRUPT))
+    broken = F.col(CORRUPT).isNotNull()
+    return parsed.where(~broken).select("row.*"), parsed.where(broken).select("value", "file")
+
+
+def intermediate_rows(df: DataFrame) -> DataFrame:
+    """``df`` written to an intermediate folder and read again."""
+    folder = shared_folder(df.sparkSession, "headers")
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+def published(spark: SparkSession, path: str) -> str:
+    """The folder of a published table's current version; ``path`` itself for other tables."""
+    pointer = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{POINTER}")
+    files = pointer.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(pointer):
+        return path
+    stream = files.open(pointer)
+    try:
+        version = bytes(stream.readNBytes(64)).decode("ascii")
+    finally:
+        stream.close()
+    return f"{path.rstrip('/')}/{VERSIONS}/{version}"
+
+
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
-    """Parquet with its partition columns."""
-    return spark.read.parquet(path)
+    """Parquet with its partition columns; of a published table, its current version."""
+    return spark.read.parquet(published(spark, path))
 
 
 def read_dataset(spark: SparkSession, name: str, base: str) -> DataFrame:

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from matchlake.catalog import DATASETS, dataset_path
-from matchlake.session import shared_folder
+from matchlake.session import remove_folder, shared_folder
+from matchlake.sources.readers import POINTER, VERSIONS, published
 
 
 def write_files(
@@ -37,14 +39,62 @@ def write_files(
     writer.save(path)
 
 
+def counted(df: DataFrame) -> tuple[DataFrame, Observation]:
+    """``df``, and what the one action that writes it will have counted: rows, and non-nulls by column."""
+    observation = Observation()
+    nonnulls = [F.count(F.col(f"`{c}`")).alias(f"nonnull.{c}") for c in df.columns]
+    return df.observe(observation, F.count(F.lit(1)).alias("rows"), *nonnulls), observation
+
+
+def publish(df: DataFrame, path: str, **options) -> str:
+    """Write ``df`` as the table's next version, which readers see whole or not at all.
+
+    A version is a folder of its own below ``path``; a pointer file that is replaced last,
+    by one rename, names the current one. A write that fails leaves the table as it was.
+    ``options`` go to ``write_files``. Returns the version's folder.
+    """
+    folder = f"{path.rstrip('/')}/{VERSIONS}/{uuid.uuid4().hex}"
+    write_files(df, folder, **options)
+    jvm = df.sparkSession._jvm
+    pointer = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{POINTER}")
+    written = jvm.org.apache.hadoop.fs.Path(f"{folder}.pointer")
+    files = pointer.getFileSystem(df.sparkSession._jsc.hadoopConfiguration())
+    out = files.create(written, True)
+    out.write(bytearray(folder.rsplit("/", 1)[1], "ascii"))
+    out.close()
+    modes = df.sparkSession.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    modes[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(files.getUri(), df.sparkSession._jsc.hadoopConfiguration())
+    context.rename(files.makeQualified(written), files.makeQualified(pointer), modes)
+    return folder
+
+
+def drop_versions(spark: SparkSession, path: str) -> list[str]:
+    """Remove all versions of a published table but the current one; returns the removed folders."""
+    current = published(spark, path)
+    versions = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{VERSIONS}")
+    files = versions.getFileSystem(spark._jsc.hadoopConfiguration())
+    old = [f.getPath().toString() for f in files.listStatus(versions) if f.getPath().getName() != current.rsplit("/", 1)[1]]
+    for folder in old:
+        remove_folder(spark, folder)
+    return old
+
+
 def write_dataset(
     df: DataFrame, name: str, base: str, overwrite: str = "static", files: int | None = None
 ) -> str:
-    """Write a dataset of the catalog in its own layout; returns its path."""
+    """Write a dataset of the catalog in its own layout; returns its path.
+
+    ``overwrite="publish"`` makes a Parquet dataset a published table.
+    """
     dataset, path = DATASETS[name], dataset_path(base, name)
     file_format = {"parquet": "parquet", "csv": "csv"}.get(dataset.layout, "json")
     options = {"csv": {"header": "true"}, "json": {"ignoreNullFields": "false"}}.get(file_format, {})
-    write_files(df, path, file_format, dataset.partition_by, overwrite=overwrite, files=files, **options)
+    if overwrite == "publish" and file_format == "parquet":
+        publish(df, path, partition_by=dataset.partition_by, files=files)
+    else:
+        mode = "static" if overwrite == "publish" else overwrite
+        write_files(df, path, file_format, dataset.partition_by, overwrite=mode, files=files, **options)
     return path
 
 

@@ -7,8 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from matchlake.catalog import DATASETS, dataset_path
-from matchlake.plans.jobs import count_by_partition, list_teams, predict_pairing, profile_sources, run_job
-from matchlake.sources import read_dataset, rows_frame
+from matchlake.plans.jobs import count_by_partition, list_teams, predict_pairing, profile_sources, run_job, run_job_counted
+from matchlake.sources import published, read_dataset, rows_frame
 
 NAMES = ["Alpha FC", "Beta Club", "Gamma", "Delta United", "Epsilon 04", "Zeta SA"]
 
@@ -150,3 +150,10 @@ def test_source_profile_reports_every_source(spark, base):
 def test_every_dataset_has_its_own_path(base):
     paths = [dataset_path(base, name) for name in DATASETS]
     assert len(set(paths)) == len(paths)
+
+
+def test_published_jobs_report_what_they_wrote(spark, base):
+    first = run_job_counted(spark, "dim_clubs", base, overwrite="publish").collect()
+    assert [(r.dataset, r.rows, r.nonnull["club_name"]) for r in first] == [("dim_clubs", 6, 6)]
+    assert published(spark, dataset_path(base, "dim_clubs")) != dataset_path(base, "dim_clubs")
+    assert read_dataset(spark, "dim_clubs", base).count() == 6

@@ -206,3 +206,18 @@ def test_quality_reports(spark, frame, rows):
     assert rows(operators.duplicate_keys(df, ["k"])) == [(1, 2)]
     report = operators.profile(spark, {"good": lambda: df, "bad": lambda: spark.read.parquet("/no/such/path")})
     assert rows(report) == [("bad", "failed", None, None, "PATH_NOT_FOUND"), ("good", "ok", 3, "k,v", None)]
+
+
+def test_profile_goes_on_when_a_source_fails_while_it_is_read(spark):
+    broken = spark.range(5).selectExpr("IF(id = 3, raise_error('bad row'), id) AS id").where("id >= 0")
+    report = operators.profile(spark, {"good": lambda: spark.range(7), "broken": lambda: broken})
+    assert [(r.dataset, r.status, r.rows) for r in report.collect()] == [("good", "ok", 7), ("broken", "failed", None)]
+
+
+def test_groupings_tell_null_keys_from_left_out_ones(frame, rows):
+    df = frame([("a", 1), ("a", None), (None, 1)], "k string, n int")
+    got = operators.grouped_counts(df, [[], ["k"], ["k", "n"]])
+    assert got._jdf.queryExecution().executedPlan().toString().count("Scan") == 1
+    expected = [("all", None, None, 3), ("k", "a", None, 2), ("k", None, None, 1)]
+    expected += [("k,n", "a", 1, 1), ("k,n", "a", None, 1), ("k,n", None, 1, 1)]
+    assert rows(got) == sorted(expected, key=repr)

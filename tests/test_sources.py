@@ -142,3 +142,57 @@ def test_landing_a_day_again_replaces_it(spark, frame, tmp_path, rows):
         sources.land_records(frame([(v, "x", 2024) for v in values], schema), str(tmp_path / "raw"), day)
     back = sources.with_landing(sources.read_json_records(spark, str(tmp_path / "raw"), schema))
     assert rows(back.select("id", "ingest_date")) == [(3, "2025-01-02"), (4, "2025-01-01")]
+
+
+def test_csv_files_with_their_own_headers(spark, tmp_path, rows):
+    (tmp_path / "a.csv").write_text("id,name,size\n1,x,10\n2,\"y, z\",no\nid,name,size\n")
+    (tmp_path / "b.csv").write_text("size,id\n30,3\n\n40,4,extra\n50\n")
+    (tmp_path / "c.csv").write_text("other\nq\n")
+    (tmp_path / "empty.csv").write_text("")
+    (tmp_path / "only-header.csv").write_text("id,size\n")
+    found, rejected = sources.split_csv(spark, str(tmp_path), "id int, name string, size int")
+    assert found.columns == ["id", "name", "size"]
+    expected = [(1, "x", 10), (2, "y, z", None), (None, "name", None), (3, None, 30), (None, None, None)]
+    assert rows(found) == sorted(expected, key=repr)
+    assert sorted((r["value"], r["file"].rsplit("/", 1)[1]) for r in rejected.collect()) == [("40,4,extra", "b.csv"), ("50", "b.csv")]
+
+
+def test_csv_folder_without_lines(spark, tmp_path):
+    (tmp_path / "empty.csv").write_text("")
+    found, rejected = sources.split_csv(spark, str(tmp_path), "id int")
+    assert found.collect() == [] and rejected.collect() == [] and found.columns == ["id"]
+
+
+def test_csv_files_of_several_splits(spark, tmp_path, rows):
+    for n, header in enumerate(["id,name", "name,id"]):
+        lines = [f"{i},n{i}" if n == 0 else f"n{i},{i}" for i in range(n, 4000, 2)]
+        (tmp_path / f"{n}.csv").write_text("\n".join([header, *lines]) + "\n")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "5000")
+    try:
+        found, rejected = sources.split_csv(spark, str(tmp_path), "id int, name string")
+        assert rows(found) == sorted(((i, f"n{i}") for i in range(4000)), key=repr) and rejected.isEmpty()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_a_failed_publish_leaves_the_table_as_it_was(spark, frame, tmp_path, rows):
+    path = str(tmp_path / "table")
+    first = frame([(n, "x") for n in range(50)], "id int, league string").repartition(8)
+    sources.publish(first, path, partition_by=("league",))
+    reader = sources.read_parquet(spark, path)
+    failing = first.withColumn("id", F.expr("IF(id = 40, raise_error('task failed'), id + 1)"))
+    with pytest.raises(Exception, match="task failed"):
+        sources.publish(failing, path, partition_by=("league",))
+    assert sorted(r["id"] for r in sources.read_parquet(spark, path).collect()) == list(range(50))
+    sources.publish(first.withColumn("id", F.col("id") * 2), path, partition_by=("league",))
+    assert sorted(r["id"] for r in sources.read_parquet(spark, path).collect()) == [2 * n for n in range(50)]
+    assert sorted(r["id"] for r in reader.collect()) == list(range(50))  # who reads an older version goes on
+    assert len(sources.drop_versions(spark, path)) == 1  # Spark removed what the failed write left
+    assert sources.read_parquet(spark, path).count() == 50
+
+
+def test_counts_of_what_is_written(frame, tmp_path):
+    df, seen = sources.counted(frame([(1, None), (2, "b"), (None, None)], "`a.b` int, c string"))
+    sources.write_files(df, str(tmp_path / "out"))
+    assert seen.get == {"rows": 3, "nonnull.a.b": 2, "nonnull.c": 1}

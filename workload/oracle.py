@@ -259,6 +259,7 @@ def oracle_queries() -> dict[str, str]:
     return {
         "src_json_records": "SELECT *, cast(year(o_orderdate) AS int) AS season FROM orders",
         "src_json_documents": "SELECT conv_id, role, turn, text FROM conversations",
+        "src_csv_headers": """SELECT p_partkey, p_name, p_brand, CASE WHEN p_partkey % 3 < 2 THEN p_size END AS p_size, p_retailprice FROM part""",
         "src_csv": "SELECT p_partkey, p_name, p_brand, p_size, p_retailprice FROM part",
         "src_parquet_partitioned": "SELECT * FROM orders WHERE o_orderstatus = 'F'",
         "envelope_decode": f"SELECT doc_id, lang, source, n_chars FROM {ENVELOPES} WHERE NOT failed AND NOT empty",
@@ -533,6 +534,17 @@ def oracle_queries() -> dict[str, str]:
             SELECT round(sum(hits) / sum(actual), 6) AS accuracy,
                    round(sum(actual * (2 * hits / (actual + predicted))) / sum(actual), 6) AS f1 FROM class""",
         "dq_rowcounts": using("fact", "SELECT league, season, source, count(*) AS count FROM fact GROUP BY 1, 2, 3"),
+        "dq_match_report": using(
+            "fact",
+            """SELECT CASE grouping_id(source, league, season, result) WHEN 15 THEN 'all' WHEN 7 THEN 'source'
+                           WHEN 9 THEN 'league,season' WHEN 11 THEN 'league' ELSE 'result' END AS grouping,
+                      source, league, season, result, count(*) AS count
+               FROM fact GROUP BY GROUPING SETS ((), (source), (league, season), (league), (result))""",
+        ),
+        "dq_published_counts": using(
+            "fact",
+            "SELECT count(*) AS rows_read, count(*) AS rows, count(match_id) AS match_id, count(home_goals) AS home_goals FROM fact",
+        ),
         "dq_nonnull_counts": using(
             "enriched",
             """SELECT count(home_goals) AS home_goals, count(home_squad_market_value_eur) AS home_squad_market_value_eur,

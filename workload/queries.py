@@ -87,6 +87,19 @@ def src_csv(spark, sf_dir):
     return sources.read_csv(spark, landed, schema)
 
 
+@query
+def src_csv_headers(spark, sf_dir):
+    """Parts as CSV files of one folder with three headers: two orders of the columns, and one without the size."""
+    landed = shared_folder(spark, "csv-headers")
+    parts = table(spark, sf_dir, "part")
+    orders = [list(parts.columns), list(reversed(parts.columns)), [c for c in parts.columns if c != "p_size"]]
+    for n, columns in enumerate(orders):
+        some = parts.where(F.pmod("p_partkey", F.lit(3)) == n).select(*columns)
+        sources.write_files(some, landed, "csv", mode="append", header="true")
+    schema = "p_partkey bigint, p_name string, p_brand string, p_size int, p_retailprice double"
+    return sources.split_csv(spark, landed, schema)[0]
+
+
 @query
 def src_parquet_partitioned(spark, sf_dir):
     """Orders laid out by status; the read of one status touches only its folder."""
@@ -688,6 +701,23 @@ def dq_rowcounts(spark, sf_dir):
     return operators.row_counts(views.matches(spark, sf_dir), "league", "season", "source")
 
 
+@query
+def dq_match_report(spark, sf_dir):
+    """Matches in all, by source, by league and season, by league and by result, from one scan."""
+    groupings = [[], ["source"], ["league", "season"], ["league"], ["result"]]
+    return operators.grouped_counts(views.matches(spark, sf_dir), groupings)
+
+
+@query
+def dq_published_counts(spark, sf_dir):
+    """Rows and non-null goals that were counted while matches were written as a published table."""
+    matches, seen = sources.counted(views.matches(spark, sf_dir).select("match_id", "league", "home_goals"))
+    path = shared_folder(spark, "published")
+    sources.publish(matches, path, partition_by=("league",))
+    read = sources.read_parquet(spark, path).agg(F.count(F.lit(1)).alias("rows_read"))
+    return read.select("rows_read", *[F.lit(seen.get[k]).alias(k.replace("nonnull.", "")) for k in ("rows", "nonnull.match_id", "nonnull.home_goals")])
+
+
 @query
 def dq_nonnull_counts(spark, sf_dir):
     matches = enriched(spark, sf_dir)
