@@ -371,7 +371,8 @@ def _likely_pairs(classes: DataFrame, how: Similarity) -> DataFrame:
     )
     same = buckets.where("members > 1").groupBy("members", "center", "mark")
     buckets = same.agg(F.min(F.struct("band", "key")).alias("first")).select("first.*", "center", "members")
-    members = stored(spread.join(buckets, ["band", "key"]), "members")
+    # Buckets and members grow with the table, so they are merged and not broadcast at any size.
+    members = stored(spread.join(buckets.hint("merge"), ["band", "key"]), "members")
     small = members.where(F.col("members") <= BUCKET_MEMBERS).select("band", "key", "node")
     compared = _likely(small.join(classes.select("node", "sketch"), "node"), how)
     return compared.unionByName(members.where(F.col("members") > BUCKET_MEMBERS).select(F.col("node").alias("a"), F.col("center").alias("b")))
@@ -380,6 +381,8 @@ def _likely_pairs(classes: DataFrame, how: Similarity) -> DataFrame:
 def _verified(members: DataFrame, docs: DataFrame, how: Similarity) -> DataFrame:
     """Verified links (a, b) of groups: node, weight, and the group's smallest node as label."""
     texts = docs.select(F.col("doc_id").alias("id"), "text")
+    ids = members.select("node.id").distinct()
+    texts = stored(texts.join(ids.hint("merge"), "id", "left_semi"), "texts")  # only these travel further
 
     def with_texts(rows: DataFrame) -> DataFrame:
         """Every text of a node's id; ``Chunk`` takes the one with the node's set."""
