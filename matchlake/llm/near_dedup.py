@@ -338,6 +338,8 @@ def near_duplicates(docs: DataFrame, how: Similarity = Similarity()) -> DataFram
     component_id is the smallest doc_id that links lead to. A document without words has no
     shingles and no links. Rows with the same doc_id but other shingles are documents of their
     own. Rows whose doc_id is NULL can't be named and link with nothing; their component_id is NULL.
+    Equal texts have equal sets and are linked; ties go to the smallest id. A very long text is
+    held by one task with its set of hashes; other columns are left out; an empty table gives no rows.
     """
     own = F.when(F.col("doc_id").isNotNull(), F.coalesce("label.id", "doc_id"))
     return _labelled(docs, how).select("doc_id", "n_shingles", own.alias("component_id"))

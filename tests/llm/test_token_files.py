@@ -2,6 +2,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given
 from hypothesis import strategies as st
@@ -38,6 +39,15 @@ def test_encoder_equals_the_tokenizer(encoder):
         assert encoder(text).tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids, text
 
 
+def test_texts_of_one_batch_keep_their_ids_apart(encoder):
+    random.seed(5)
+    parts = ["a", "é ", " the", " the,", " The.", "\n", "\nthe", "'s", ",.", " ", "1", "\x0b", "\x85", "<|endoftext|>", " 日本.", "\xa0", "word"]
+    texts = ["".join(random.choices(parts, k=random.randint(0, 9))) for _ in range(5_000)] + [None]
+    ids, counts = encoder.texts(pa.array(texts))
+    expected = [encoder.tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert counts.tolist() == [len(x) for x in expected] and ids.tolist() == [x for e in expected for x in e]
+
+
 def test_encoder_of_another_kind_goes_text_by_text():
     import public_tokenizers
 
