@@ -54,6 +54,8 @@ SPEAKS_FOR = {
 SPEAKS_AGAINST = r"version|release|section|figure|table|chapter|isbn|order|invoice|token|hash|serial|build|sha|md5|key"
 #: Characters looked at before and after a candidate.
 BEFORE, AFTER = 40, 8
+#: Texts are cut into parts of so many characters for that.
+PART = 1024
 #: Digits that a number needs to be a candidate for a card.
 CARD_CANDIDATE = 13
 
@@ -61,6 +63,24 @@ LABELERS = ("form", "check", "gazetteer", "for", "against", "around")
 FEATURES = ("plus", "brackets", "groups", "length", "digits", "valid", "joined", "context", "is_email", "is_ip", "is_card")
 
 
+def running(values: Column, combine: Callable[[Column, Column], Column]) -> Column:
+    """Each value combined with all before it (sum, maximum), in n log n steps.
+
+    Each step takes in what is 1, 2, 4 ... places before; ``aggregate`` would copy its list for every value.
+    """
+    steps = F.filter(F.array(*[F.lit(2**n) for n in range(31)]), lambda step: step < F.size(values))
+
+    def further(sums: Column, step: Column) -> Column:
+        return F.transform(sums, lambda x, at: F.when(at >= step, combine(x, F.get(sums, at - step))).otherwise(x))
+
+    return F.aggregate(steps, values, further)
+
+
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def found(text: Column, pattern: str) -> Column:
     """All matches, from left to right, as structs of match, begin and end (code points, end exclusive).
 
@@ -68,17 +88,23 @@ def found(text: Column, pattern: str) -> Column:
     """
     pieces, matches = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     both = F.zip_with(pieces, matches, lambda p, m: F.struct(F.char_length(p).alias("gap"), m.alias("match")))
-    kind = "struct<at:int,spans:array<struct<match:string,begin:int,end:int>>>"
 
-    def add(state: Column, piece: Column) -> Column:
-        begin = state["at"] + piece["gap"]
-        end = begin + F.char_length(piece["match"])
-        span = F.struct(piece["match"].alias("match"), begin.alias("begin"), end.alias("end"))
-        return F.struct(end.alias("at"), F.concat(state["spans"], F.array(span)).alias("spans")).cast(kind)
+    def placed(both: Column) -> Column:
+        lengths = F.transform(both, lambda x: F.struct(x["match"].alias("match"), F.char_length(x["match"]).alias("length"), x["gap"].alias("gap")))
+        ends = _once(F.transform(lengths, lambda x: x["gap"] + x["length"]), lambda steps: running(steps, lambda x, y: x + y))
+        return F.zip_with(
+            lengths, ends, lambda x, end: F.struct(x["match"].alias("match"), (end - x["length"]).alias("begin"), end.alias("end"))
+        )
 
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<match:string,begin:int,end:int>>").alias("spans"))
     # The piece after the last match has none.
-    return F.aggregate(F.filter(both, lambda x: x["match"].isNotNull()), start.cast(kind), add)["spans"]
+    return _once(F.filter(both, lambda x: x["match"].isNotNull()), placed)
+
+
+def _cut(parts: Column, begin: Column, length: Column) -> Column:
+    """At most ``PART`` characters from ``begin`` on, out of a text's ``parts``; ``substr`` would count from its start."""
+    at = F.floor(begin / PART).cast("int")
+    two = F.concat(F.coalesce(F.get(parts, at), F.lit("")), F.coalesce(F.get(parts, at + 1), F.lit("")))
+    return F.substr(two, begin - at * PART + 1, length)
 
 
 def _digits(match: Column) -> Column:
@@ -110,19 +136,19 @@ def valid(kind: str, match: Column) -> Column:
     return F.char_length(digits).between(8, 15)
 
 
-def _described(text: Column, kind: str, base: bool) -> Callable[[Column], Column]:
+def _described(parts: Column, kind: str, base: bool) -> Callable[[Column], Column]:
     return lambda s: F.struct(
         F.lit(kind).alias("kind"),
         s["begin"].cast("long").alias("begin"),
         s["end"].cast("long").alias("end"),
         s["match"].alias("match"),
         (F.lit(base) & valid(kind, s["match"])).alias("base"),
-        F.substr(text, F.greatest(s["begin"] - BEFORE + 1, F.lit(1)), F.least(s["begin"], F.lit(BEFORE))).alias("before"),
-        F.substr(text, s["end"] + 1, F.lit(AFTER)).alias("after"),
+        _cut(parts, F.greatest(s["begin"] - BEFORE, F.lit(0)), F.least(s["begin"], F.lit(BEFORE))).alias("before"),
+        _cut(parts, s["end"], F.lit(AFTER)).alias("after"),
     )
 
 
-def _candidates(text: Column) -> Column:
+def _candidates(text: Column, parts: Column) -> Column:
     """Base spans and wider candidates, with what the labelers look at."""
     lists = []
     empty = F.array().cast("array<struct<match:string,begin:int,end:int>>")
@@ -131,7 +157,7 @@ def _candidates(text: Column) -> Column:
             spans = F.when(text.rlike(hints[kind]), found(text, pattern)).otherwise(empty)
             if base and kind == "card":
                 spans = F.filter(spans, lambda s: F.char_length(_digits(s["match"])) >= CARD_CANDIDATE)
-            described = F.transform(spans, _described(text, kind, base))
+            described = F.transform(spans, _described(parts, kind, base))
             lists.append(described)
     return F.concat(*lists)
 
@@ -259,17 +285,69 @@ def train(judged: DataFrame) -> Column | None:
     return 1 / (1 + F.exp(-sum(terms, F.lit(float(model.intercept)))))
 
 
+def _clear(added: Column, base: Column) -> Column:
+    """The added spans that overlap no base span.
+
+    In order of place, with an added span at its end and a base span at its begin, a base span overlaps if it
+    comes before and one that does ends after the added span's begin.
+    """
+    none = F.lit(None).cast("struct<begin:bigint,end:bigint,kind:string,base:boolean,score:double,match:string>")
+    ends = F.transform(added, lambda a: F.struct(a["end"].alias("at"), F.lit(0).alias("turn"), F.lit(0).cast("long").alias("reach"), a.alias("span")))
+    begins = F.transform(base, lambda b: F.struct(b["begin"].alias("at"), F.lit(1).alias("turn"), b["end"].alias("reach"), none.alias("span")))
+
+    def swept(events: Column) -> Column:
+        reach = _once(F.transform(events, lambda e: e["reach"]), lambda reach: running(reach, F.greatest))
+        both = F.zip_with(events, reach, lambda e, r: F.struct(e["turn"].alias("turn"), r.alias("reach"), e["span"].alias("span")))
+        return F.filter(both, lambda e: (e["turn"] == 0) & (e["reach"] <= e["span"]["begin"]))
+
+    return F.transform(_once(F.array_sort(F.concat(ends, begins)), swept), lambda e: e["span"])
+
+
+def _first(spans: Column) -> Column:
+    """Of sorted spans those that overlap none taken before them, in order.
+
+    Taken one after another within each chain of spans that overlap; chains don't touch each other.
+    """
+
+    def taken(chain: Column) -> Column:
+        last = lambda done: F.get(done, F.size(done) - 1)["end"]
+        empty = F.array().cast(_ADDED)
+        return F.aggregate(
+            chain, empty, lambda done, a: F.when((F.size(done) > 0) & (last(done) > a["begin"]), done).otherwise(F.concat(done, F.array(a)))
+        )
+
+    def chained(spans: Column) -> Column:
+        reach = _once(F.transform(spans, lambda s: s["end"]), lambda ends: running(ends, F.greatest))
+        begins = _once(
+            reach,
+            lambda reach: F.filter(
+                F.transform(spans, lambda s, at: F.when((at == 0) | (F.get(reach, at - 1) <= s["begin"]), at)), lambda at: at.isNotNull()
+            ),
+        )
+        cut = lambda begins: F.transform(
+            begins, lambda at, n: taken(F.slice(spans, at + 1, F.coalesce(F.get(begins, n + 1), F.size(spans)) - at))
+        )
+        return F.flatten(_once(begins, cut))
+
+    return _once(spans, chained)
+
+
 def personal_data(docs: DataFrame, least: float = 0.9) -> DataFrame:
     """``docs`` without text, with the spans of personal data found in its texts.
 
     Needs text; a column called spans is replaced. spans holds kind, begin, end (code points, end
     exclusive), base, score and match, by kind as in ``KINDS``, then begin. Base spans always stay;
     other candidates are added if the classifier gives them ``least`` and they overlap no base
-    span nor an added one before them. NULL and empty texts have none.
+    span nor an added one before them; of candidates with the same begin the shorter goes first,
+    then by kind. NULL and empty texts have none, and an empty table gives an empty one.
+    Repeated rows are judged each on its own. Texts of any length are searched whole, in time
+    that grows with n log n of their matches.
     """
-    row, list_ = fresh(docs, "row_id"), fresh(docs, "candidates")
+    row, list_, parts = fresh(docs, "row_id"), fresh(docs, "candidates"), fresh(docs, "parts")
     narrow = [c for c in docs.columns if c not in ("text", "spans")]
-    seen = docs.select(*[F.col(f"`{c}`") for c in narrow], _candidates(F.coalesce("text", F.lit(""))).alias(list_))
+    text = F.coalesce(F.col("text"), F.lit(""))
+    cut = docs.withColumn(parts, F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PART}}}+"), F.lit(0)))
+    seen = cut.select(*[F.col(f"`{c}`") for c in narrow], _candidates(text, F.col(parts)).alias(list_))
     numbered = stored(seen.withColumn(row, F.monotonically_increasing_id()), "candidates")
     candidates = numbered.select(F.col(row).alias("row"), F.explode(list_).alias("c")).select("row", "c.*")
     judged = stored(span_features(votes(candidates)).drop("before", "after"), "judged")
@@ -286,17 +364,8 @@ def personal_data(docs: DataFrame, least: float = 0.9) -> DataFrame:
         F.filter(list_, lambda c: c["base"]),
         lambda c: F.struct(c["begin"], c["end"], c["kind"], c["base"], F.lit(1.0).alias("score"), c["match"]),
     )
-    clear = F.filter(
-        F.array_sort(F.coalesce("added", F.array().cast(_ADDED))),
-        lambda a: ~F.exists(base, lambda b: (b["begin"] < a["end"]) & (a["begin"] < b["end"])),
-    )
-    first = F.aggregate(
-        clear,
-        F.array().cast(_ADDED),
-        lambda done, a: F.when((F.size(done) > 0) & (F.get(done, F.size(done) - 1)["end"] > a["begin"]), done).otherwise(
-            F.concat(done, F.array(a))
-        ),
-    )
+    clear = _clear(F.coalesce("added", F.array().cast(_ADDED)), base)
+    first = F.when(F.col("added").isNotNull(), _first(F.array_sort(clear))).otherwise(F.array().cast(_ADDED))
     every = F.concat(base.cast(_ADDED), first)
     ordered = F.array_sort(F.transform(every, lambda s: F.struct(_place(s["kind"]).alias("place"), s["begin"], s["end"], s.alias("span"))))
     spans = F.transform(

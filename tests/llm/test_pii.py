@@ -1,6 +1,8 @@
 import hashlib
 import random
 import re
+import time
+from itertools import accumulate
 
 import pytest
 from pyspark.sql import functions as F
@@ -117,3 +119,40 @@ def test_luhn(frame):
     numbers = ["4111111111111111", "4111111111111112", "0", "18", "79927398713", ""]
     got = frame([(n,) for n in numbers], "n string").select(pii.luhn(F.col("n"))).collect()
     assert [r[0] for r in got][:5] == [luhn(n) for n in numbers][:5]
+
+
+def test_many_matches_in_one_text(frame):
+    text = " ".join(f"x{n}" for n in range(400_000)) + " a@b.co" * 50_000 + " call 555-123-4567," * 50_000
+    start = time.monotonic()
+    spans = pii.personal_data(frame([(1, text)], "doc_id long, text string")).first()["spans"]
+    assert time.monotonic() - start < 60
+    got = [f"{s['kind']}:{s['begin']}:{s['end']}" for s in spans if s["base"]]
+    assert got == base(text) and len(got) == 50_000 and all(text[s["begin"] : s["end"]] == s["match"] for s in spans)
+
+
+def test_running_totals(frame):
+    lists = [[], [5], [3, 1, 4, 1, 5, 9, 2, 6], list(range(1000, 0, -1))]
+    both = [F.transform(F.array("n"), lambda n: pii.running(n, lambda x, y: x + y)), F.transform(F.array("n"), lambda n: pii.running(n, F.greatest))]
+    for values, row in zip(lists, frame([(n,) for n in lists], "n array<int>").select("n", *both).collect(), strict=True):
+        assert row[1][0] == list(accumulate(values)) and row[2][0] == list(accumulate(values, max))
+
+
+def brute_added(added, base_spans):
+    done = []
+    for span in sorted(added):
+        if not any(b < span[1] and span[0] < e for b, e in base_spans) and not (done and done[-1][1] > span[0]):
+            done.append(span)
+    return done
+
+
+def test_overlaps_against_all_pairs(frame):
+    pick, rows = random.Random(4), []
+    for _ in range(300):
+        spans = [sorted(pick.sample(range(60), 2)) for _ in range(pick.randint(0, 24))]
+        cut = pick.randint(0, len(spans))
+        rows.append(([(b, e, "ip", False, 0.95, "") for b, e in spans[:cut]], [(b, e, "ip", True, 1.0, "") for b, e in spans[cut:]]))
+    df = frame(rows, f"added {pii._ADDED}, base {pii._ADDED}")
+    kept = df.select("added", "base", pii._first(F.array_sort(pii._clear(F.col("added"), F.col("base")))).alias("kept")).collect()
+    for (added, base_spans), row in zip(rows, kept, strict=True):
+        want = brute_added([s[:2] for s in added], [s[:2] for s in base_spans])
+        assert [(s["begin"], s["end"]) for s in row["kept"]] == want
