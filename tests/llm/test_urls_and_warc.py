@@ -1,6 +1,7 @@
 import gzip
 import hashlib
 import re
+import time
 from itertools import combinations
 
 import pytest
@@ -74,6 +75,33 @@ def test_rules_judge_the_urls_that_have_their_tokens(frame):
     assert got["http://other.org/de/78"]["verdict"] == "allow" and got["http://other.org/xx"]["mined"] in (None, ["path:xx"], ["depth:2"])
 
 
+def test_a_hot_url_with_many_tokens(frame):
+    """25 keys of one verdict; 25 more that both verdicts have in different sets, with one pair that tells."""
+    keys = [f"key:{n:02}" for n in range(25)]
+    bags = [(["hot", *keys], "block")] * 100 + [(sorted({f"t{n % 7}", f"u{n % 3}"}), "allow" if n % 3 else "block") for n in range(100)]
+    start = time.monotonic()
+    got = {(tuple(r["antecedent"]), r["verdict"]) for r in url_rules.mined_rules(frame(bags, "tokens array<string>, verdict string")).collect()}
+    singles = {((t,), "block") for t in ("hot", "u0", *keys)} | {((t,), "allow") for t in ("u1", "u2")}
+    pairs = brute_rules([b for b in bags if b[0][0] != "hot"], 0.01, 0.8)
+    assert got == singles | set(pairs) and time.monotonic() - start < 60
+    mixed = [([k for j, k in enumerate(keys) if j != n % 25], "block" if n % 2 else "allow") for n in range(500)]
+    mixed += [(["a"], "block")] * 50 + [(["b"], "allow")] * 50 + [(["a", "b"], "allow")] * 50 + [(["a", "x"], "allow")] * 20
+    found = url_rules.mined_rules(frame(mixed, "tokens array<string>, verdict string")).collect()
+    assert (("a", "b"), "allow") not in {(tuple(r["antecedent"]), r["verdict"]) for r in found}  # b alone is as sure
+    assert {(("b",), "allow"), (("x",), "allow")} <= {(tuple(r["antecedent"]), r["verdict"]) for r in found}
+    assert time.monotonic() - start < 120
+
+
+def test_matching_by_the_index_against_all_rules(frame):
+    names = [f"t{n}" for n in range(8)]
+    rules = [(list(c), "block" if sum(map(ord, "".join(c))) % 2 else "allow", 0.9, 0.1) for n in (1, 2, 3) for c in combinations(names, n) if len("".join(c)) % 2 == 0 or c[0] == "t3"]
+    index = url_rules.inverted_index(frame(rules, "antecedent array<string>, verdict string, confidence double, support double")).collect()
+    assert sorted((r["antecedent"], r["verdict"]) for r in index) == sorted((r[0], r[1]) for r in rules)
+    for url in combinations(names, 4):
+        hit = sorted(r["antecedent"] for r in index if r["token"] in url and set(r["antecedent"]) <= set(url))
+        assert hit == sorted(r[0] for r in rules if set(r[0]) <= set(url))
+
+
 def test_without_labels_and_without_rows(frame):
     pages = frame([("http://a.org/x",)], "url string")
     assert url_rules.judged(pages, URL_RULES, default="block").first()["verdict"] == "block"
