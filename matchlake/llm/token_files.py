@@ -31,7 +31,7 @@ from matchlake.llm.common import by_size
 #: Ids that a shard holds at most, unless its only document has more.
 SHARD_IDS = 2_000_000
 #: Words that a Python worker remembers the ids of, from task to task; the first ones are the common ones.
-REMEMBERED = 1_000_000
+REMEMBERED = 300_000
 
 _LENGTHS = np.array([[(byte >> 2 * k & 3) + 1 for k in range(4)] for byte in range(256)], np.int64)
 
@@ -225,7 +225,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int | None
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, end = encoder_of(tokenizer), np.array([] if end_id is None else [end_id], "<u4")
         names, ids, held, number, part = [], [], 0, 0, 0
-        for batch in by_size(batches, "text", 8 << 20):
+        for batch in by_size(batches, "text", 4 << 20):
             part = batch["part"][0].as_py()
             stream, counts = encoder.texts(batch["text"])
             for doc_id, text_ids in zip(batch["doc_id"].to_pylist(), np.split(stream, np.cumsum(counts)[:-1]), strict=True):
