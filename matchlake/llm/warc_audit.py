@@ -17,12 +17,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchlake.llm.common import stored
+from matchlake.llm.common import by_size, stored
 
 FANOUT = 16
 #: Records of a file at most, which bound the file that a task reads whole.
 FILE_RECORDS = 2_000
 _END = "\r\n\r\n"
+#: Fixed value: a gzip member that holds nothing.
+_EMPTY = bytes.fromhex("1f8b080000000000000303000000000000000000")
+#: Bytes that are inflated at a time.
+_PIECE = 16_384
 
 
 def _header(text: Column) -> Column:
@@ -49,31 +53,105 @@ def record_text(page_id: Column, url: Column, html: Column) -> Column:
 def write_warc(pages: DataFrame, path: str, file_records: int = FILE_RECORDS) -> None:
     """Writes ``pages`` (page_id, url, html) as gzipped WARC files, in the order of their rows.
 
-    The blank lines that close a record are the line end of Spark's text writer, so tasks
-    write, and rewrite after a loss, as they do any other files.
+    Each record is a gzip member of its own, so that damage to one leaves the others readable. Spark's
+    text writer puts an empty member after each as its line end; tasks write, and rewrite after a
+    loss, as they do any other files. NULL columns are empty; repeated rows are records of their
+    own; an empty table gives no records.
     """
+
+    def compress(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in by_size(batches, "value"):
+            members = []
+            for text in batch["value"]:
+                deflate = zlib.compressobj(wbits=31)
+                members.append(deflate.compress(text.as_buffer()) + deflate.compress(_END.encode()) + deflate.flush())
+            yield pa.RecordBatch.from_arrays([pa.array(members, pa.binary())], names=["value"])
+
     records = pages.select(record_text(F.col("page_id"), F.col("url"), F.col("html")).alias("value"))
-    writer = records.write.option("lineSep", _END).option("compression", "gzip").option("maxRecordsPerFile", file_records)
-    writer.text(path)
+    members = records.mapInArrow(compress, "value binary").select(F.col("value").cast("string"))
+    writer = members.write.option("encoding", "ISO-8859-1").option("lineSep", _EMPTY.decode("latin-1"))
+    writer.option("maxRecordsPerFile", file_records).text(path)
+
+
+def _member(content: bytes, at: int, most: int | None = None) -> tuple[bytes, int | None]:
+    """What the gzip member at ``at`` holds, as far as it can be read, and where it ends; None if it is damaged.
+
+    With ``most`` reading stops once so many bytes are known.
+    """
+    inflate, parts, read = zlib.decompressobj(wbits=31), [], 0
+    while at < len(content) and not inflate.eof and (most is None or read < most):
+        piece = content[at : at + _PIECE]
+        before = inflate.copy()
+        try:
+            parts.append(inflate.decompress(piece))
+        except zlib.error:
+            return b"".join([*parts, *_readable(before, piece)]), None
+        read, at = read + len(parts[-1]), at + len(piece)
+    return b"".join(parts), at - len(inflate.unused_data) if inflate.eof else None
+
+
+def _readable(inflate, piece: bytes) -> Iterator[bytes]:
+    """What a damaged piece gives before its error."""
+    for at in range(len(piece)):
+        try:
+            yield inflate.decompress(piece[at : at + 1])
+        except zlib.error:
+            return
+
+
+def _next_member(content: bytes, at: int) -> int:
+    """Where the next member with the start of a record begins, or the end."""
+    while (at := content.find(_EMPTY[:3], at)) >= 0:
+        if _member(content, at, 5)[0][:5] == b"WARC/":
+            return at
+        at += 1
+    return len(content)
+
+
+def _stretches(content: bytes) -> Iterator[tuple[bytes, bool]]:
+    """The uncompressed parts of a gzipped file between its damaged members, which are parts of their own, and whether they are damaged."""
+    parts, at = [], 0  # a member for the file, or one for each record
+    while at < len(content):
+        if content.startswith(_EMPTY, at):
+            at += len(_EMPTY)
+            continue
+        part, end = _member(content, at)
+        if end is None:
+            if parts:
+                yield b"".join(parts), False
+            end, parts = _next_member(content, at + 1), []
+            if end - at != len(_EMPTY):  # else an empty member is damaged, which loses nothing
+                yield part, True
+        else:
+            parts.append(part)
+        at = end
+    if parts:
+        yield b"".join(parts), False
 
 
 def read_records(content: bytes) -> Iterator[tuple[int, bytes, dict[str, str], bytes]]:
     """Offset, bytes, headers and body of each record of a gzipped or plain WARC file.
 
-    Offsets are those of the uncompressed file. What can't be parsed ends the file: its rest
-    is one record without headers.
+    Offsets are those of the uncompressed file. A damaged gzip member gives what can be read of it, the
+    rest of it as one record without headers, and reading goes on at the next member that starts a
+    record; offsets after it lack what was lost. Damage in the empty members between records loses nothing
+    and gives no sign. In a plain file, or within a member, what can't be parsed
+    ends the file or the member: its rest is one record without headers. A file that is cut off
+    lacks what comes after the cut. An empty file has no records.
     """
-    if content[:2] == b"\x1f\x8b":
-        parts, rest = [], content
-        while rest:  # a member for the file, or one for each record
-            inflate = zlib.decompressobj(wbits=31)
-            try:
-                parts.append(inflate.decompress(rest) + inflate.flush())
-            except zlib.error:
-                parts.append(rest)
-                break
-            rest = inflate.unused_data
-        content = b"".join(parts)
+    at, plain = 0, content[:5] == b"WARC/" or content.find(_EMPTY[:3]) < 0
+    for part, damaged in [(content, False)] if plain else _stretches(content):
+        records = list(_parsed(part)) if damaged else _parsed(part)
+        if damaged and len(records) > 1 and not records[-1][1].startswith(b"WARC/"):
+            # Bytes after the end of a record are damage to it.
+            first, record, headers, body = records[-2]
+            records[-2:] = [(first, record + records[-1][1], headers, body)]
+        for offset, record, headers, body in records or ([(0, b"", {}, b"")] if damaged else []):
+            yield at + offset, record, headers, body
+        at += len(part)
+
+
+def _parsed(content: bytes) -> Iterator[tuple[int, bytes, dict[str, str], bytes]]:
     at = 0
     while at < len(content):
         head = content.find(b"\r\n\r\n", at)
@@ -91,7 +169,9 @@ def read_records(content: bytes) -> Iterator[tuple[int, bytes, dict[str, str], b
 def scan_warc(spark: SparkSession, path: str) -> DataFrame:
     """file, ordinal, offset, length, record_id and sha256 of every record below ``path``.
 
-    ``file`` is the file's number, which replicas share. A file is read as a whole by one task.
+    ``file`` is the file's number, which replicas share; a file that Spark didn't name has its own name.
+    A file is read as a whole by one task, with records of any length. Repeated records are told
+    apart by their ordinals, records without an id have a NULL one, files without records give no rows.
     """
     schema = "file string, ordinal long, offset long, length long, record_id string, sha256 string"
     names = ("file", "ordinal", "offset", "length", "record_id", "sha256")
@@ -178,7 +258,8 @@ def mismatches(one: DataFrame, two: DataFrame, fanout: int = FANOUT) -> DataFram
 def audit(spark: SparkSession, one: str, two: str, fanout: int = FANOUT) -> DataFrame:
     """All records of the replica ``one`` as ``scan_warc`` has them, with status: ``intact`` or that of ``mismatches``.
 
-    Records that only ``two`` has are rows without length, record_id and sha256.
+    Records that only ``two`` has are rows without length, record_id and sha256. Without records
+    on either side there are no rows.
     """
     scans = [stored(scan_warc(spark, path), "records") for path in (one, two)]
     found = stored(mismatches(*[merkle_tree(scan, fanout) for scan in scans], fanout), "mismatches")

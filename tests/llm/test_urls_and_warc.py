@@ -1,6 +1,7 @@
 import gzip
 import hashlib
 import re
+import tempfile
 import time
 from itertools import combinations
 
@@ -145,6 +146,35 @@ def test_missing_and_added_records(spark, frame):
     assert status["missing"] == 2 == back["added"] and sum(status.values()) == len(PAGES) == sum(back.values())
 
 
+def test_damage_inside_compressed_files_is_located(spark, frame):
+    """One flipped bit, at several places, is one record; of a file that is cut off the rest is missing."""
+    pages = [(n, f"http://a.org/{n}", "".join(f"<p>{(n * k * 7919) % 9973}</p>" for k in range(60))) for n in range(250)]
+    one = replica(spark, frame, pages)
+    files = spark.read.format("binaryFile").load(one).select("path", "content").collect()
+    whole = sorted(((r["path"].rsplit("/", 1)[1], bytes(r["content"])) for r in files if r["content"]), key=lambda f: f[0])
+    own = list(warc_audit.read_records(whole[0][1]))
+    assert sum(len(list(warc_audit.read_records(c))) for _, c in whole) == 250 and gzip.decompress(whole[0][1]) == b"".join(r[1] for r in own)
+    for at in range(40, len(whole[0][1]) - 40, len(whole[0][1]) // 150):
+        content = bytearray(whole[0][1])
+        content[at] ^= 16
+        got = list(warc_audit.read_records(bytes(content)))
+        assert len(got) == len(own) and sum(a[1] != b[1] for a, b in zip(own, got, strict=True)) <= 1, at
+    def audited(content):
+        folder = tempfile.mkdtemp(prefix="warc-")
+        for name, kept in whole:
+            with open(f"{folder}/{name}", "wb") as file:
+                file.write(content if name == whole[0][0] else kept)
+        found = warc_audit.audit(spark, one, folder).where("status <> 'intact'").groupBy("status").count()
+        return {r["status"]: r["count"] for r in found.collect()}
+    middle = len(whole[0][1]) // 2 + 30
+    content = bytearray(whole[0][1])
+    content[middle] ^= 1
+    assert audited(bytes(content)) == {"differs": 1}
+    cut = audited(whole[0][1][:middle])
+    left = len(list(warc_audit.read_records(whole[0][1][:middle])))
+    assert cut.pop("differs", 0) <= 1 and cut == {"missing": len(own) - left}
+
+
 def brute_root(hashes, ranges, fanout):
     nodes = list(zip(hashes, ranges, strict=True))
     first = True
