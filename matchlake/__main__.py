@@ -16,6 +16,7 @@ def main() -> None:
     parser.add_argument("--overwrite", choices=["static", "dynamic", "publish"], default="static")
     parser.add_argument("--season", type=int, help="resolve, candidates: season of the teams")
     parser.add_argument("--distance", type=int, help="candidates: most edits between two names")
+    parser.add_argument("--tasks", type=int, help="model: tasks of the fit, as model_fit records them")
     parser.add_argument("--dumps", help="slices: folder of the registry's csv.gz files")
     parser.add_argument("--home", help="predict: home team")
     parser.add_argument("--away", help="predict: away team")
@@ -42,6 +43,8 @@ def main() -> None:
             options["season"] = args.season
         if args.job == "candidates":
             options["max_distance"] = args.distance
+        if args.job == "model":
+            options["tasks"] = args.tasks
         if args.job == "slices":
             options["dumps"] = args.dumps
         for name, path in run_job(spark, args.job, args.base, args.overwrite, **options).items():

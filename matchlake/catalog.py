@@ -130,6 +130,7 @@ DATASETS = {
     "future_dataset": Dataset("processed/ml/future_dataset", "parquet", None, BY_LEAGUE_SEASON),
     "team_overrides": Dataset("reference/team_transfermarkt_manual_mapping.csv", "csv", OVERRIDES),
     "predictions": Dataset("output/predictions", "records", PREDICTIONS),
+    "model_fit": Dataset("output/model_fit", "records", "rows bigint, tasks int"),
     "team_stats": Dataset("output/team_stats", "records", TEAM_STATS),
     "training_snapshot": Dataset("output/training_data", "parquet"),
 }

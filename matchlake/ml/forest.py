@@ -10,6 +10,8 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from matchlake.sources.writers import intermediate
+
 # The model's inputs, in order.
 FEATURES = (
     "home_squad_market_value_eur",
@@ -28,6 +30,9 @@ FEATURES = (
 )
 TARGET = "target"
 SPLIT_STEPS = 10_000
+#: Rows that a task of the fit gets, and its least number of tasks.
+ROWS_PER_TASK = 100_000
+LEAST_TASKS = 16
 
 
 def feature_rows(df: DataFrame, features: Sequence[str] = FEATURES, target: str | None = None) -> DataFrame:
@@ -48,6 +53,11 @@ def split(
     return df.filter(in_training), df.filter(~in_training)
 
 
+def fit_tasks(rows: int) -> int:
+    """Tasks that a fit of so many rows is laid out over; the same rows always get the same number."""
+    return max(LEAST_TASKS, -(-rows // ROWS_PER_TASK))
+
+
 def fit_forest(
     training: DataFrame,
     features: Sequence[str] = FEATURES,
@@ -56,14 +66,15 @@ def fit_forest(
     trees: int = 100,
     depth: int = 5,
     seed: int = 42,
-    tasks: int = 16,
+    tasks: int | None = None,
 ) -> PipelineModel:
     """Assemble the features and fit a random forest; both steps are kept in one model.
 
     The trees' samples depend on the partition and position of each row, so rows are
     first laid out by their key over ``tasks`` partitions: the same rows give the same
     model however they arrive and whatever the session's settings, and a partition
-    computed again after a loss equals the lost one. Large tables want more tasks.
+    computed again after a loss equals the lost one. Without ``tasks`` the rows are stored
+    and their number decides (``fit_tasks``).
     """
     assembler = VectorAssembler(inputCols=list(features), outputCol="features")
     forest = RandomForestClassifier(
@@ -71,9 +82,13 @@ def fit_forest(
     )
     # The fit reads its input several times; only the columns it needs are kept around.
     rows = feature_rows(training.select(*keys, *features, target), features, target)
+    if tasks is None:
+        rows = intermediate(rows, "fit")
+        tasks = fit_tasks(rows.count())
     needed = rows.repartition(tasks, *keys).sortWithinPartitions(*rows.columns).persist()
     try:
-        return Pipeline(stages=[assembler, forest]).fit(needed)
+        # A copy has no training summary, which holds the session and so keeps a two-class model from the tasks.
+        return Pipeline(stages=[assembler, forest]).fit(needed).copy()
     finally:
         needed.unpersist()
 

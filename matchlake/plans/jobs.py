@@ -23,7 +23,7 @@ from matchlake.operators import (
     with_standings,
 )
 from matchlake.plans import tables
-from matchlake.sources import counted, intermediate, read_dataset, require_rows, slice_by_league, write_dataset
+from matchlake.sources import counted, intermediate, read_dataset, require_rows, rows_frame, slice_by_league, write_dataset
 
 Job = Callable[..., dict[str, DataFrame]]
 
@@ -63,14 +63,21 @@ def slices_job(spark: SparkSession, base: str, dumps: str) -> dict[str, DataFram
     return {names[name]: df for name, df in sliced.items()}
 
 
-def model_job(spark: SparkSession, base: str) -> dict[str, DataFrame]:
-    """Fit, evaluate and save the forest, then predict the matches to come."""
+def model_job(spark: SparkSession, base: str, tasks: int | None = None) -> dict[str, DataFrame]:
+    """Fit, evaluate and save the forest, then predict the matches to come.
+
+    ``model_fit`` records the rows and the tasks of the fit; with its ``tasks`` the same rows
+    give the same forest, whatever the defaults are by then.
+    """
     training, test = ml.split(ml.feature_rows(read_dataset(spark, "training_dataset", base), target=ml.forest.TARGET))
-    model = ml.fit_forest(training)
+    rows = training.count()
+    tasks = tasks or ml.fit_tasks(rows)
+    model = ml.fit_forest(training, tasks=tasks)
     ml.save_model(model, model_path(base))
     ml.evaluate(model.transform(test)).show()
     ml.importances(spark, model).show(truncate=False)
-    return {"predictions": ml.score(model, read_dataset(spark, "future_dataset", base))}
+    fit = rows_frame(spark, [{"rows": rows, "tasks": tasks}], "rows bigint, tasks int")
+    return {"predictions": ml.score(model, read_dataset(spark, "future_dataset", base)), "model_fit": fit}
 
 
 def stats_job(spark: SparkSession, base: str) -> dict[str, DataFrame]:

@@ -38,12 +38,13 @@ def _landed(df: DataFrame) -> list[tuple[str, str]]:
     return [(LANDED, LANDED)] if LANDED in df.columns else []
 
 
-def _latest(flat: DataFrame, order: Sequence[Column] | None) -> DataFrame:
+def _latest(flat: DataFrame, order: Sequence[Column] | None, keep_landed: bool = False) -> DataFrame:
     """One row per team, league and season: by ``order``, else of the latest landing."""
     if order is None and LANDED in flat.columns:
         rest = [F.col(c).asc_nulls_last() for c in flat.columns if c not in (*TEAM_SEASON, LANDED)]
         order = [F.col(LANDED).desc_nulls_last(), *rest]
-    return keep_one(flat, TEAM_SEASON, order).drop(LANDED)
+    kept = keep_one(flat, TEAM_SEASON, order)
+    return kept if keep_landed else kept.drop(LANDED)
 
 
 def fact_matches_a(fixtures: DataFrame) -> DataFrame:
@@ -95,9 +96,15 @@ def dim_teams_b(
     return _latest(tag_source(_league_and_season(flat, leagues), fields.SOURCE_B), order)
 
 
-def fact_standings_a(standings: DataFrame, order: Sequence[Column] | None = None) -> DataFrame:
-    """Standings of vendor A, one row per team, league and season: that of the latest landing."""
-    return _latest(flatten(standings, [*parse_fields(fields.STANDING_FIELDS_A), *_landed(standings)]), order)
+def fact_standings_a(
+    standings: DataFrame, order: Sequence[Column] | None = None, keep_landed: bool = False
+) -> DataFrame:
+    """Standings of vendor A, one row per team, league and season: that of the latest landing.
+
+    ``keep_landed`` keeps the day, which a table that later landings are merged into needs.
+    """
+    flat = flatten(standings, [*parse_fields(fields.STANDING_FIELDS_A), *_landed(standings)])
+    return _latest(flat, order, keep_landed)
 
 
 def fact_standings_b(

@@ -11,11 +11,21 @@ from matchlake.sources.readers import (
     require_rows,
     rows_frame,
     split_csv,
+    split_json_documents,
     split_json_records,
     with_landing,
 )
 from matchlake.sources.slices import slice_by_league
-from matchlake.sources.writers import counted, drop_versions, intermediate, land_records, publish, write_dataset, write_files
+from matchlake.sources.writers import (
+    counted,
+    drop_versions,
+    intermediate,
+    land_records,
+    publish,
+    upsert,
+    write_dataset,
+    write_files,
+)
 
 __all__ = [
     "counted",
@@ -36,7 +46,9 @@ __all__ = [
     "slice_by_league",
     "split_csv",
     "split_envelopes",
+    "split_json_documents",
     "split_json_records",
+    "upsert",
     "with_landing",
     "write_dataset",
     "write_files",

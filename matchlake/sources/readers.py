@@ -47,6 +47,31 @@ def read_json_documents(spark: SparkSession, path: str, schema: str, files: str
     return reader.option("pathGlobFilter", files).option("multiLine", True).json(path)
 
 
+def split_json_documents(spark: SparkSession, path: str, schema: str, files: str = "*.json") -> tuple[DataFrame, DataFrame]:
+    """Documents like ``read_json_documents``, and the files that hold none: ``value`` and ``file``.
+
+    A file is rejected whole if it is blank, is no JSON, or one of its values is not of its
+    type; files of no bytes and nulls in an array are skipped. Documents keep the path of
+    their ``file``. A file is read by one task, as documents that go over lines must be.
+    """
+    reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", files)
+    texts = reader.text(path, wholetext=True).select("value", F.col("_metadata.file_path").alias("file"))
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    declared = spark.createDataFrame([], schema).schema
+    kind = declared.simpleString()
+    wrapped, holds = F.concat(F.lit('{"documents":'), "value", F.lit("}")), f"documents array<{kind}>, {CORRUPT} string"
+    several = F.from_json(wrapped, holds, options)
+    single = F.from_json("value", f"{schema}, {CORRUPT} string", options)
+    names = [single[f.name].alias(f.name) for f in declared]
+    is_array = F.col("value").rlike(r"^\s*\[")
+    found = F.when(is_array, several["documents"]).when(single.isNotNull(), F.array(F.struct(*names)))
+    corrupt = F.when(is_array, several[CORRUPT]).otherwise(single[CORRUPT])
+    parsed = texts.select("value", "file", found.alias("documents"), corrupt.alias(CORRUPT))
+    broken = F.col("documents").isNull() | F.col(CORRUPT).isNotNull()
+    documents = parsed.where(~broken).select(F.explode("documents").alias("document"), "file")
+    return documents.where("document IS NOT NULL").select("document.*", "file"), parsed.where(broken).select("value", "file")
+
+
 def read_csv(spark: SparkSession, path: str, schema: str, partitions: int | None = None) -> DataFrame:
     """Delimited rows with a header, gzip by file extension; the header names choose the columns.
 

@@ -4,14 +4,20 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_, or_
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from matchlake.catalog import DATASETS, dataset_path
+from matchlake.operators.dedupe import keep_one
 from matchlake.session import remove_folder, shared_folder
 from matchlake.sources.readers import POINTER, VERSIONS, published
 
+#: Of an upsert: whether a row is new; no column of a table may be called so.
+ADDED = "_added"
+
 
 def write_files(
     df: DataFrame,
@@ -80,6 +86,36 @@ def drop_versions(spark: SparkSession, path: str) -> list[str]:
     return old
 
 
+def upsert(df: DataFrame, path: str, keys: Sequence[str], latest: str, partition_by: Sequence[str]) -> int:
+    """Merge ``df`` into the Parquet table at ``path``; returns how many of its partitions were rewritten.
+
+    Of a key the row with the greatest ``latest`` holds, NULL last; of equal days the new row,
+    then the smallest by the other columns. ``keys`` include ``partition_by``, so that a key
+    stays in its partition, and only partitions that ``df`` has rows of are read and replaced,
+    each as a whole. A lost run leaves some of them old and some new, and running it again
+    gives the same table. Columns are those of the table; a missing table is made.
+    """
+    if missing := set(partition_by) - set(keys):
+        raise ValueError(f"partitions {sorted(missing)} are no keys")
+    spark = df.sparkSession
+    if published(spark, path) != path:
+        raise ValueError(f"{path} is a published table; its versions are whole")
+    new = intermediate(df, "upsert").withColumn(ADDED, F.lit(True))
+    touched = new.select(*partition_by).distinct().collect()  # one for each folder that is replaced
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if touched and folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        # Values and not a join, so that the other folders are not listed for reading.
+        same = [reduce(and_, (F.col(c).eqNullSafe(F.lit(v)) for c, v in row.asDict().items())) for row in touched]
+        old = spark.read.schema(df.schema).parquet(path).where(reduce(or_, same))
+        new = new.unionByName(old.withColumn(ADDED, F.lit(False)))
+    rest = [F.col(c).asc_nulls_last() for c in df.columns if c not in (*keys, latest)]
+    kept = keep_one(new, keys, [F.col(latest).desc_nulls_last(), F.col(ADDED).desc(), *rest])
+    # The merged rows are stored before the folders that they come from are replaced.
+    merged = intermediate(kept.drop(ADDED), "upserted")
+    write_files(merged, path, partition_by=partition_by, overwrite="dynamic")
+    return len(touched)
+
+
 def write_dataset(
     df: DataFrame, name: str, base: str, overwrite: str = "static", files: int | None = None
 ) -> str:

@@ -3,6 +3,7 @@ from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.sql import functions as F
 
 from matchlake import ml
+from matchlake.sources import counted
 
 STATS = (
     "team_id bigint, team_name string, league string, season int, squad_market_value_eur double, "
@@ -105,6 +106,7 @@ def test_published_predictions(matches, model):
 
 
 def test_two_class_model_gives_the_third_class_no_share(spark, matches):
+    counted(matches)[0].count()  # a session that has observed counts can't go to tasks
     model = ml.fit_forest(matches.filter("target < 2"), trees=3)
     assert {r.prob_gana_visitante for r in ml.with_forecast(model, matches).collect()} == {0.0}
 
@@ -164,3 +166,10 @@ def test_pairings_by_name_and_league(frame, model):
     }
     with pytest.raises(ValueError):
         ml.score_pairings(asked, stats, model)
+
+
+def test_tasks_of_a_fit_follow_its_rows(matches):
+    assert [ml.fit_tasks(n) for n in (0, 1_600_000, 1_600_001, 100_000_000)] == [16, 16, 17, 1000]
+    by_rows, given = (ml.fit_forest(matches, trees=3, **how) for how in ({}, {"tasks": 16}))
+    first, second = (m.stages[-1].toDebugString.split("\n", 1)[1] for m in (by_rows, given))
+    assert first == second

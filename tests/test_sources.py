@@ -196,3 +196,51 @@ def test_counts_of_what_is_written(frame, tmp_path):
     df, seen = sources.counted(frame([(1, None), (2, "b"), (None, None)], "`a.b` int, c string"))
     sources.write_files(df, str(tmp_path / "out"))
     assert seen.get == {"rows": 3, "nonnull.a.b": 2, "nonnull.c": 1}
+
+
+def test_files_that_are_no_documents_are_set_apart(spark, tmp_path, rows):
+    schema = "code string, rows array<struct<id:bigint>>"
+    put(tmp_path / "a/one.json", {"code": "x", "rows": [{"id": 1}, {"id": 2}], "more": 1})
+    put(tmp_path / "a/two.json", [{"code": "y", "rows": []}, None, {"rows": None}])
+    put(tmp_path / "none.json", "[]")
+    put(tmp_path / "b/cut.json", '{"code": "z", "rows": [{"id": 3}')
+    put(tmp_path / "b/cut-array.json", '[{"code": "z"}, {"code"')
+    put(tmp_path / "b/type.json", {"code": "z", "rows": [{"id": "three"}]})
+    put(tmp_path / "b/text.json", "not a document")
+    put(tmp_path / "b/number.json", "5")
+    put(tmp_path / "b/numbers.json", "[5]")
+    put(tmp_path / "b/null.json", "null")
+    put(tmp_path / "b/blank.json", " \n")
+    put(tmp_path / "b/empty.json", "")
+    documents, rejected = sources.split_json_documents(spark, str(tmp_path), schema)
+    assert documents.columns == ["code", "rows", "file"]
+    assert rows(documents.select("code", F.size("rows"))) == sorted([("x", 2), ("y", 0), (None, None)], key=repr)
+    names = [r[0] for r in rows(rejected.select(F.substring_index("file", "/", -1)))]
+    assert names == ["blank.json", "cut-array.json", "cut.json", "null.json", "number.json", "numbers.json", "text.json", "type.json"]
+    assert rows(rejected.where("file like '%text.json'").select("value")) == [("not a document",)]
+
+
+def test_upserts_rewrite_touched_partitions_only(spark, frame, tmp_path, rows):
+    path, schema = str(tmp_path / "table"), "team int, figure int, day string, league string"
+    keys = ("team", "league")
+
+    def put_rows(*values):
+        return sources.upsert(frame(list(values), schema), path, keys, "day", ("league",))
+
+    def files(league):
+        return sorted(p.name for p in (tmp_path / f"table/league={league}").glob("*.parquet"))
+
+    assert put_rows((1, 10, "2025-01-01", "x"), (1, 9, "2024-01-01", "x"), (2, 20, None, "x"), (1, 30, "2025-01-01", "y"), (3, 1, "2025-01-01", None)) == 3
+    untouched, replaced = files("y"), files("x")
+    assert put_rows((1, 11, "2025-01-01", "x"), (2, 21, "2024-01-01", "x"), (4, 40, "2024-01-01", "x")) == 1
+    assert files("y") == untouched and files("x") != replaced
+    assert put_rows((1, 0, "2023-01-01", "x"), (3, 2, "2025-02-01", None)) == 2
+    found = rows(sources.read_parquet(spark, path).select("team", "figure", "league"))
+    assert found == sorted([(1, 11, "x"), (2, 21, "x"), (4, 40, "x"), (1, 30, "y"), (3, 2, None)], key=repr)
+    assert put_rows() == 0 and len(rows(sources.read_parquet(spark, path))) == 5
+    with pytest.raises(ValueError):
+        sources.upsert(frame([], schema), path, ("team",), "day", ("league",))
+    version = sources.publish(frame([(1, 1, "d", "x")], schema), str(tmp_path / "whole"))
+    with pytest.raises(ValueError):
+        sources.upsert(frame([], schema), str(tmp_path / "whole"), keys, "day", ("league",))
+    assert version

@@ -259,6 +259,8 @@ def oracle_queries() -> dict[str, str]:
     return {
         "src_json_records": "SELECT *, cast(year(o_orderdate) AS int) AS season FROM orders",
         "src_json_documents": "SELECT conv_id, role, turn, text FROM conversations",
+        "src_documents_rejected": """SELECT o_custkey // 100 AS code, (o_custkey // 100) % 3 = 0 AS rejected,
+            CASE WHEN (o_custkey // 100) % 3 <> 0 THEN count(*) END AS n_rows FROM orders GROUP BY o_custkey // 100""",
         "src_csv_headers": """SELECT p_partkey, p_name, p_brand, CASE WHEN p_partkey % 3 < 2 THEN p_size END AS p_size, p_retailprice FROM part""",
         "src_csv": "SELECT p_partkey, p_name, p_brand, p_size, p_retailprice FROM part",
         "src_parquet_partitioned": "SELECT * FROM orders WHERE o_orderstatus = 'F'",
@@ -366,6 +368,14 @@ def oracle_queries() -> dict[str, str]:
                       goal_difference, source), season || '-12-31' AS last_updated
                FROM standing WHERE source = 'api_football'""",
         ),
+        "standings_upserted": using(
+            "standing",
+            """SELECT team_id, team_name, lower(team_name) || '.png' AS team_logo, rank, points, goal_difference,
+                      cast(NULL AS varchar) AS recent_form, CASE WHEN rank = 1 THEN 'Champion' END AS description,
+                      'same' AS status, league AS group_name, * EXCLUDE (team_id, team_name, rank, points,
+                      goal_difference, source), season || '-12-31' AS last_updated
+               FROM standing WHERE source = 'api_football'""",
+        ),
         "union_standings": using(
             "standing",
             f"""SELECT team_id, CASE WHEN source = 'api_football' THEN league

@@ -56,6 +56,23 @@ def src_json_rejected(spark, sf_dir):
     return good.select("o_orderkey", "o_custkey", F.lit(False).alias("rejected")).unionByName(lost)
 
 
+@query
+def src_documents_rejected(spark, sf_dir):
+    """Orders of a hundred customers each as one document, in files read whole; every third document is cut off."""
+    landed = shared_folder(spark, "documents-rejected")
+    orders = table(spark, sf_dir, "orders").withColumn("code", F.expr("o_custkey div 100"))
+    rows = F.collect_list(F.struct("o_orderkey", "o_custkey")).alias("rows")
+    document = F.to_json(F.struct("code", "rows"))
+    cut = F.when(F.col("code") % 3 == 0, F.substr(document, F.lit(1), F.length(document) - 1)).otherwise(document)
+    documents = orders.groupBy("code").agg(rows).select(cut.alias("value"), F.expr("code div 16").alias("folder"))
+    sources.write_files(documents, landed, "text", ("folder",), maxRecordsPerFile="1")
+    schema = "code bigint, rows array<struct<o_orderkey:bigint,o_custkey:bigint>>"
+    good, rejected = sources.split_json_documents(spark, landed, schema, files="*.txt")
+    whole = good.select("code", F.size("rows").cast("bigint").alias("n_rows"), F.lit(False).alias("rejected"))
+    code = F.regexp_extract("value", r'"code":(\d+)', 1).cast("bigint")
+    return whole.unionByName(rejected.select(code.alias("code"), F.lit(None).cast("bigint").alias("n_rows"), F.lit(True).alias("rejected")))
+
+
 @query
 def src_json_documents(spark, sf_dir):
     """Conversations as arrays of documents of sixteen turns, in files in nested folders, read whole."""
@@ -339,6 +356,26 @@ def standings_relanded(spark, sf_dir):
     return tables.fact_standings_a(back)
 
 
+@query
+def standings_upserted(spark, sf_dir):
+    """Vendor A's standings in a table that three landings are merged into: all, wrong ones of some leagues, right ones.
+
+    The second landing is of an earlier day and so changes nothing; the third replaces the
+    figures of the leagues it has.
+    """
+    target, raw = shared_folder(spark, "standings-table"), views.raw_standings_a(spark, sf_dir)
+    wrong = raw.withColumns({"points": F.lit(0).cast("bigint"), "goalsDiff": F.lit(-999).cast("bigint")})
+    asia = F.col("league") == "asia"
+    landings = ((raw.where(~asia).unionByName(wrong.where(asia)), "2025-01-31"), (wrong.where(~asia), "2024-09-01"), (raw.where(asia), "2025-05-30"))
+    for rows, day in landings:
+        landed = shared_folder(spark, "standings-landing")
+        sources.land_records(rows, landed, day)
+        back = sources.with_landing(sources.read_json_records(spark, landed, raw.schema))
+        table_rows = tables.fact_standings_a(back, keep_landed=True)
+        sources.upsert(table_rows, target, tables.TEAM_SEASON, tables.LANDED, ("league", "season"))
+    return sources.read_parquet(spark, target).drop(tables.LANDED)
+
+
 @query
 def union_standings(spark, sf_dir):
     """Both vendors' standings, through their shapes, stacked."""
