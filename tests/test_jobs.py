@@ -157,3 +157,7 @@ def test_published_jobs_report_what_they_wrote(spark, base):
     assert [(r.dataset, r.rows, r.nonnull["club_name"]) for r in first] == [("dim_clubs", 6, 6)]
     assert published(spark, dataset_path(base, "dim_clubs")) != dataset_path(base, "dim_clubs")
     assert read_dataset(spark, "dim_clubs", base).count() == 6
+
+
+def test_the_fit_is_recorded(spark, base):
+    assert [r["tasks"] for r in read_dataset(spark, "model_fit", base).collect()] == [16]
