@@ -4,6 +4,7 @@ import re
 import tempfile
 import time
 from itertools import combinations
+from random import Random
 
 import pytest
 from pyspark.sql import functions as F
@@ -93,6 +94,31 @@ def test_a_hot_url_with_many_tokens(frame):
     assert time.monotonic() - start < 120
 
 
+def test_rules_of_the_least_sure_of_many_tokens_and_of_doubles(frame):
+    """p and q, the least sure of urls with 16 tokens, tell together; d has the labelled urls of c00."""
+    bags = []
+    for n in range(60):
+        tokens = [f"c{j:02}" for j in range(14) if j != n % 15] + ["d"] * (n % 15 != 0) + ["p"] * (n % 4 < 2) + ["q"] * (n % 4 in (1, 2))
+        bags += [(sorted(tokens), "block" if n % 4 == 1 or k < 4 else "allow") for k in range(10)]
+    rules = url_rules.mined_rules(frame(bags, "tokens array<string>, verdict string")).collect()
+    assert {(tuple(r["antecedent"]), r["verdict"]) for r in rules} == {(("p", "q"), "block")}
+    bags = [(t, v) for t, v, n in ((["a", "b", "s"], "block", 40), (["a", "b"], "allow", 30), (["s"], "allow", 30)) for _ in range(n)]
+    got = {(tuple(r["antecedent"]), r["verdict"]): r["confidence"] for r in url_rules.mined_rules(frame(bags, "tokens array<string>, verdict string")).collect()}
+    assert got == brute_rules(bags, 0.005, 0.8) and {(("a", "s"), "block"), (("b", "s"), "block")} <= set(got)
+
+
+def test_rules_of_random_urls_against_all_combinations(frame):
+    random = Random(5)
+    for confidence in (0.6, 0.75, 1.0):
+        bags = []
+        for _ in range(90):
+            tokens = sorted({f"t{min(random.randrange(8), random.randrange(8))}" for _ in range(random.randrange(1, 7))})
+            bags.append((tokens, random.choice(["allow", "block"] if "t1" in tokens else ["allow", "allow", "block", "other"])))
+        rules = url_rules.mined_rules(frame(bags, "tokens array<string>, verdict string"), 0.02, confidence).collect()
+        got = {(tuple(r["antecedent"]), r["verdict"]): r["confidence"] for r in rules}
+        assert len(rules) == len(got) and got == pytest.approx(brute_rules(bags, 0.02, confidence))
+
+
 def test_matching_by_the_index_against_all_rules(frame):
     names = [f"t{n}" for n in range(8)]
     rules = [(list(c), "block" if sum(map(ord, "".join(c))) % 2 else "allow", 0.9, 0.1) for n in (1, 2, 3) for c in combinations(names, n) if len("".join(c)) % 2 == 0 or c[0] == "t3"]
