@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -80,12 +81,14 @@ def fit_forest(
     forest = RandomForestClassifier(
         featuresCol="features", labelCol=target, numTrees=trees, maxDepth=depth, seed=seed
     )
-    # The fit reads its input several times; only the columns it needs are kept around.
+    # The fit reads its input several times; only the columns it needs are kept around, and on disk: memory is left
+    # to the fit's own table of every row's part in every tree, which it reads again for each level of the trees.
     rows = feature_rows(training.select(*keys, *features, target), features, target)
     if tasks is None:
         rows = intermediate(rows, "fit")
         tasks = fit_tasks(rows.count())
-    needed = rows.repartition(tasks, *keys).sortWithinPartitions(*rows.columns).persist()
+    laid = rows.repartition(tasks, *keys).sortWithinPartitions(*rows.columns)
+    needed = laid.select(*features, target).persist(StorageLevel.DISK_ONLY)
     try:
         # A copy has no training summary, which holds the session and so keeps a two-class model from the tasks.
         return Pipeline(stages=[assembler, forest]).fit(needed).copy()

@@ -1,4 +1,5 @@
 import pytest
+from pyspark import StorageLevel
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.sql import functions as F
 
@@ -173,3 +174,12 @@ def test_tasks_of_a_fit_follow_its_rows(matches):
     by_rows, given = (ml.fit_forest(matches, trees=3, **how) for how in ({}, {"tasks": 16}))
     first, second = (m.stages[-1].toDebugString.split("\n", 1)[1] for m in (by_rows, given))
     assert first == second
+
+
+def test_a_fit_keeps_its_rows_on_disk_and_without_their_keys(matches, monkeypatch):
+    kept, kind = [], type(matches)
+    persist = kind.persist
+    monkeypatch.setattr(kind, "persist", lambda df, *level: kept.append((df.columns, *level)) or persist(df, *level))
+    ml.fit_forest(matches, trees=1, tasks=16)
+    (columns, level), *others = kept
+    assert columns == [*ml.FEATURES, "target"] and level == StorageLevel.DISK_ONLY and not others

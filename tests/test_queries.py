@@ -46,3 +46,9 @@ def test_sql_counterparts_belong_to_queries():
 def test_flagship_query(spark):
     df = entries.entry(spark)
     assert "market_value_diff_eur" in df.columns and not df.isEmpty()
+
+
+def test_the_model_queries_share_their_joins(spark):
+    for name in ("train_forest", "score_future", "score_future_checks", "model_roundtrip"):
+        read = entries.queries()[name](spark, SF_DIR).inputFiles()
+        assert read and not [file for file in read if file.startswith(f"file://{SF_DIR}")], name
