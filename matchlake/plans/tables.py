@@ -43,7 +43,8 @@ def _latest(flat: DataFrame, order: Sequence[Column] | None, keep_landed: bool =
     if order is None and LANDED in flat.columns:
         rest = [F.col(c).asc_nulls_last() for c in flat.columns if c not in (*TEAM_SEASON, LANDED)]
         order = [F.col(LANDED).desc_nulls_last(), *rest]
-    kept = keep_one(flat, TEAM_SEASON, order)
+    # Each task sorts what it has got, and flat rows are wide: even parts stay small however large the table is.
+    kept = keep_one(flat.hint("rebalance"), TEAM_SEASON, order)
     return kept if keep_landed else kept.drop(LANDED)
 
 
