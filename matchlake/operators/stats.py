@@ -23,9 +23,13 @@ STAT_COLUMNS = (
 
 
 def logo_per_team(matches: DataFrame) -> DataFrame:
-    """One logo per team name seen on either side; of several the smallest."""
-    seen = stack_roles(matches, [], ["team_name", "team_logo"]).dropna()
-    return seen.groupBy("team_name").agg(F.min("team_logo").alias("logo_url"))
+    """One logo per team name seen on either side; of several the smallest.
+
+    Pairs are made distinct first, by hashing. A minimum of texts is found by sorting, which
+    would be of all matches: Spark drops a distinct before it, as it can't change the result.
+    """
+    seen = stack_roles(matches, [], ["team_name", "team_logo"]).dropna().distinct()
+    return keep_one(seen, ["team_name"], [F.col("team_logo")]).withColumnRenamed("team_logo", "logo_url")
 
 
 def latest_team_stats(

@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from matchlake import operators
 from matchlake.operators.enrich import TRAINING_COLUMNS
+from matchlake.plans import tables
 
 PLAYERS = (
     "player_id int, current_club_id int, current_club_name string, market_value_in_eur double, "
@@ -221,3 +222,24 @@ def test_groupings_tell_null_keys_from_left_out_ones(frame, rows):
     expected = [("all", None, None, 3), ("k", "a", None, 2), ("k", None, None, 1)]
     expected += [("k,n", "a", 1, 1), ("k,n", "a", None, 1), ("k,n", None, 1, 1)]
     assert rows(got) == sorted(expected, key=repr)
+
+
+def test_logos_are_made_distinct_before_anything_is_sorted(frame, rows, capsys):
+    df = frame([("a", f"l{n % 3}", "b", "x") for n in range(300)], "home_team_name string, home_team_logo string, away_team_name string, away_team_logo string")
+    logos = operators.logo_per_team(df)
+    assert rows(logos) == [("a", "l0"), ("b", "x")]
+    logos.explain()
+    plan = capsys.readouterr().out
+    below_sorts = plan[plan.rindex("Sort ") :]
+    assert "SortAggregate" not in plan and "HashAggregate" in below_sorts
+
+
+def test_wide_team_rows_are_dealt_out_evenly_before_they_are_sorted(frame, capsys):
+    team = "struct<id:bigint,name:string,code:string,country:string,founded:bigint,logo:string,national:boolean>"
+    venue = "struct<id:bigint,name:string,city:string,address:string,capacity:bigint,surface:string,image:string>"
+    teams = [((n % 2, f"t{n}", "c", "x", 1, "l", False), (n, "v", "c", "a", 1, "s", "i"), "asia", 2024) for n in range(40)]
+    unique = tables.dim_teams_a(frame(teams, f"team {team}, venue {venue}, league string, season int"))
+    assert sorted((r.team_id, r.team_name) for r in unique.collect()) == [(0, "t0"), (1, "t1")]
+    unique.explain()
+    plan = capsys.readouterr().out
+    assert "REBALANCE" in plan[plan.rindex("Sort ") :]
