@@ -313,23 +313,25 @@ def components(edges: DataFrame) -> DataFrame:
     """
     pairs = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     edges = stored(pairs.distinct(), "links")
-    state = None
-    while True:
+    while not _are_stars(edges):
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = stored(both.groupBy("a").agg(F.least("a", F.min("b")).alias("least")), "least")
+        least = both.groupBy("a").agg(F.least("a", F.min("b")).alias("least"))
         large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("least").alias("b"))
         large = stored(large.distinct(), "large")
-        smallest = stored(large.groupBy("a").agg(F.min("b").alias("least")), "smallest")
-        small = large.join(smallest, "a")
-        tied = small.where("b <> least").select(F.col("b").alias("a"), F.col("least").alias("b"))
-        tied = stored(tied.unionByName(smallest.select("a", F.col("least").alias("b"))).distinct(), "links")
-        for old in (edges, least, large, smallest):
+        smallest = large.groupBy("a").agg(F.min("b").alias("least"))
+        small = large.join(smallest, "a").select("least", F.explode(F.array("a", "b")).alias("a")).where("a <> least")
+        tied = stored(small.select("a", F.col("least").alias("b")).distinct(), "links")
+        for old in (edges, large):
             forget(old)
         edges = tied
-        now = tuple(edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b"))).first())
-        if now == state:
-            return edges.select(F.col("a").alias("node"), F.col("b").alias("label"))
-        state = now
+    return edges.select(F.col("a").alias("node"), F.col("b").alias("label"))
+
+
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether every ``a`` of ``edges`` (a, b, distinct and a > b) has one ``b`` and no ``b`` is an ``a``."""
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("above")).unionByName(edges.select(F.col("b").alias("node"), F.lit(0).alias("above")))
+    nodes = ends.groupBy("node").agg(F.sum("above").alias("above"), F.min("above").alias("least"))
+    return nodes.where("above > 1 OR above > 0 AND least = 0").isEmpty()
 
 
 def near_duplicates(docs: DataFrame, how: Similarity = Similarity()) -> DataFrame:  # noqa: B008

@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 
 from matchlake.llm import near_dedup
+from matchlake.llm.common import stored
 from matchlake.llm.near_dedup import Shingler, Similarity, components, near_duplicates
 
 
@@ -129,3 +130,12 @@ def test_pruning_keeps_to_the_miss_probability():
         similar = equal[equal >= 0.8]
         matches = np.random.default_rng(n + 1).binomial(n, similar)
         assert (matches < least).mean() < 0.01
+
+
+def test_components_that_are_stars_already_are_not_worked_on(frame, monkeypatch):
+    written = []
+    monkeypatch.setattr(near_dedup, "stored", lambda df, purpose: written.append(purpose) or stored(df, purpose))
+    star = [(1, n) for n in range(2, 30)] + [(41, 40)]
+    assert sorted(map(tuple, components(frame(star, "a long, b long")).collect())) == [*((n, 1) for n in range(2, 30)), (41, 40)]
+    assert written == ["links"]
+    assert sorted(map(tuple, components(frame([(1, 2), (2, 3), (3, 4)], "a long, b long")).collect())) == [(2, 1), (3, 1), (4, 1)]
