@@ -315,13 +315,14 @@ def components(edges: DataFrame) -> DataFrame:
     edges = stored(pairs.distinct(), "links")
     while not _are_stars(edges):
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least("a", F.min("b")).alias("least"))
+        # Stored, so that each join has its own shuffle, in which Spark splits a node with very many links.
+        least = stored(both.groupBy("a").agg(F.least("a", F.min("b")).alias("least")), "least")
         large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("least").alias("b"))
         large = stored(large.distinct(), "large")
-        smallest = large.groupBy("a").agg(F.min("b").alias("least"))
+        smallest = stored(large.groupBy("a").agg(F.min("b").alias("least")), "smallest")
         small = large.join(smallest, "a").select("least", F.explode(F.array("a", "b")).alias("a")).where("a <> least")
         tied = stored(small.select("a", F.col("least").alias("b")).distinct(), "links")
-        for old in (edges, large):
+        for old in (edges, least, large, smallest):
             forget(old)
         edges = tied
     return edges.select(F.col("a").alias("node"), F.col("b").alias("label"))
