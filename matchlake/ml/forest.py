@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from matchlake.ml.growing import fit_trees
 from matchlake.sources.writers import intermediate
 
 # The model's inputs, in order.
@@ -71,6 +72,8 @@ def fit_forest(
 ) -> PipelineModel:
     """Assemble the features and fit a random forest; both steps are kept in one model.
 
+    The forest is that of ``RandomForestClassifier``, grown by passes that cost a fraction of its own (``fit_trees``).
+
     The trees' samples depend on the partition and position of each row, so rows are
     first laid out by their key over ``tasks`` partitions: the same rows give the same
     model however they arrive and whatever the session's settings, and a partition
@@ -81,8 +84,7 @@ def fit_forest(
     forest = RandomForestClassifier(
         featuresCol="features", labelCol=target, numTrees=trees, maxDepth=depth, seed=seed
     )
-    # The fit reads its input several times; only the columns it needs are kept around, and on disk: memory is left
-    # to the fit's own table of every row's part in every tree, which it reads again for each level of the trees.
+    # The fit reads its input several times; only the columns it needs are kept around, and on disk.
     rows = feature_rows(training.select(*keys, *features, target), features, target)
     if tasks is None:
         rows = intermediate(rows, "fit")
@@ -90,8 +92,7 @@ def fit_forest(
     laid = rows.repartition(tasks, *keys).sortWithinPartitions(*rows.columns)
     needed = laid.select(*features, target).persist(StorageLevel.DISK_ONLY)
     try:
-        # A copy has no training summary, which holds the session and so keeps a two-class model from the tasks.
-        return Pipeline(stages=[assembler, forest]).fit(needed).copy()
+        return PipelineModel([assembler, fit_trees(needed, features, forest)])
     finally:
         needed.unpersist()
 

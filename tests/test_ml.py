@@ -1,9 +1,13 @@
 import pytest
 from pyspark import StorageLevel
+from pyspark.ml import Pipeline
+from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
 from matchlake import ml
+from matchlake.ml.growing import fit_trees
 from matchlake.sources import counted
 
 STATS = (
@@ -183,3 +187,43 @@ def test_a_fit_keeps_its_rows_on_disk_and_without_their_keys(matches, monkeypatc
     ml.fit_forest(matches, trees=1, tasks=16)
     (columns, level), *others = kept
     assert columns == [*ml.FEATURES, "target"] and level == StorageLevel.DISK_ONLY and not others
+
+
+@pytest.mark.parametrize(
+    ("rows", "classes", "trees", "depth", "memory"),
+    [(20, 3, 3, 5, 256), (3000, 3, 30, 5, 256), (12000, 7, 5, 8, 256), (3000, 2, 1, 4, 256), (3000, 3, 3, 4, 0)],
+)
+def test_a_grown_forest_is_sparks_node_by_node(spark, tmp_path, rows, classes, trees, depth, memory):
+    df = spark.range(rows, numPartitions=5)
+    # Many and few values, zeros, negative ones, a constant and only zeros.
+    for i, (values, least) in enumerate([(1 << 30, 0), (1000, -300), (40, 0), (3, -1), (1, 5), (1, 0)]):
+        df = df.withColumn(f"f{i}", F.pmod(F.xxhash64("id", F.lit(i)), F.lit(values)) + F.lit(float(least)))
+    noise = F.pmod(F.xxhash64("id", F.lit(9)), F.lit(300))
+    target = F.when(F.col("f1") + noise > 400, 0).when(F.col("f2") > 20, classes - 1).otherwise(F.pmod("id", F.lit(2)))
+    names = [f"f{i}" for i in range(6)]
+    df = df.withColumn("target", target).filter("id % 5 != 2 or id > 100").select(*names, "target").persist()
+    forest = RandomForestClassifier(labelCol="target", numTrees=trees, maxDepth=depth, maxMemoryInMB=memory, seed=42)
+    models = (
+        Pipeline(stages=[VectorAssembler(inputCols=names, outputCol="features"), forest]).fit(df).stages[1],
+        fit_trees(df, names, forest),
+    )
+    nodes = []
+    for i, model in enumerate(models):
+        model.write().save(str(tmp_path / str(i)))
+        nodes.append(sorted(map(str, spark.read.parquet(str(tmp_path / str(i) / "data")).collect())))
+    assert nodes[0] == nodes[1] and len(nodes[0]) > trees
+    assert models[0].featureImportances == models[1].featureImportances
+    assert {p.name: v for p, v in models[0].extractParamMap().items()} == {
+        p.name: v for p, v in models[1].extractParamMap().items()
+    }
+
+
+def test_a_fit_makes_no_passes_row_by_row(matches, monkeypatch):
+    monkeypatch.setattr(RandomForestClassifier, "_fit", lambda *_: pytest.fail("every row was looked up in every tree"))
+    assert ml.fit_forest(matches, trees=3, tasks=16).stages[-1].getNumTrees == 3
+
+
+@pytest.mark.parametrize("wrong", ["target + 0.5", "target - 3", "double('inf')"])
+def test_a_fit_refuses_what_is_no_class(matches, wrong):
+    with pytest.raises(Exception, match="(?i)class|label|finite"):
+        ml.fit_forest(matches.withColumn("target", F.expr(wrong)), trees=1, tasks=16)
