@@ -599,10 +599,18 @@ def split_hash(spark, sf_dir):
     )
 
 
+@cache
+def team_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Squad values and standings, made from all matches once per session for the fit and the pairings' profiles."""
+    links, table_ = views.club_links(spark, sf_dir), views.standings(spark, sf_dir)
+    return sources.intermediate(links, "club-links"), sources.intermediate(table_, "standings")
+
+
 @cache
 def model_sets(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """What the model reads of the two datasets, joined once per session for the fit and the forecasts."""
-    matches = operators.with_standings(enriched(spark, sf_dir), views.standings(spark, sf_dir))
+    links, table_ = team_tables(spark, sf_dir)
+    matches = operators.with_standings(operators.enrich(views.matches(spark, sf_dir), links), table_)
     return operators.split_matches(sources.intermediate(matches.select(*TRAINING_COLUMNS), "model-matches"))[:2]
 
 
@@ -674,7 +682,7 @@ def asked_pairings(spark, sf_dir):
 
 
 def profiles(spark, sf_dir):
-    return operators.team_profiles(views.club_links(spark, sf_dir), views.standings(spark, sf_dir))
+    return operators.team_profiles(*team_tables(spark, sf_dir))
 
 
 @query
