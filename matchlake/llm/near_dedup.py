@@ -33,8 +33,6 @@ from matchlake.llm.common import forget, fresh, stored
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _MIX = np.uint64(0x9E3779B97F4A7C15)
-#: Words whose hashes a task remembers.
-REMEMBERED = 500_000
 #: Shingles that a chunk of a group holds at most, about; a single document may have more.
 CHUNK_SHINGLES = 100_000
 #: Members of a bucket that are compared; those of larger ones are all taken as likely.
@@ -99,29 +97,24 @@ class Similarity:
 
 
 class Shingler:
-    """Hashed word shingles; remembers the hashes of words."""
+    """Hashed word shingles."""
 
     def __init__(self, how: Similarity):
-        self.how, self.hashes = how, {}
-
-    def _word(self, word: bytes) -> int:
-        value = self.hashes.get(word)
-        if value is None:
-            value = self.hashes[word] = xxhash.xxh3_64_intdigest(word)
-        return value
+        self.how = how
 
     def __call__(self, text: str | None) -> np.ndarray:
         """The document's set as sorted hashes: of all runs of words, or of the whole where it has fewer."""
-        if len(self.hashes) > REMEMBERED:
-            self.hashes = {}
         words = (text or "").encode().translate(_LOWER).split()
-        hashes = np.fromiter(map(self._word, words), np.uint64, len(words))
+        # Hashing a word takes less time than looking it up among many.
+        hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
         run = min(self.how.words, len(words))
         shingles = np.full(len(words) - run + 1 if run else 0, run, np.uint64)
         for k in range(run):
             shingles = (shingles ^ (shingles >> np.uint64(29))) * _MIX + hashes[k : k + len(shingles)]
         shingles = (shingles ^ (shingles >> np.uint64(32))) * _MIX
-        return np.unique(shingles ^ (shingles >> np.uint64(29)))
+        shingles ^= shingles >> np.uint64(29)
+        shingles.sort()
+        return shingles[np.concatenate(([True], shingles[1:] != shingles[:-1]))] if len(shingles) else shingles
 
     def signature(self, shingles: np.ndarray) -> np.ndarray:
         odd, plus = self.how.factors

@@ -14,8 +14,8 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
-from itertools import repeat
+from dataclasses import dataclass
+from functools import cached_property
 from math import fsum
 
 import numpy as np
@@ -29,14 +29,13 @@ from matchlake.llm.labelled import sample
 
 #: Labelled documents of each class that a model is fitted on, at most.
 PER_CLASS = 2_500
-#: Words without a weight that a task remembers.
-REMEMBERED = 100_000
 #: Letters (bytes) of the prefix that stands for words which the fit has not seen.
 PREFIX = 5
 #: Least likelihood ratio, against chance, of a word or prefix that gets a weight.
 RATIO = 20.0
 
 _END = b"\x01"
+_PREFIXED = b"\x02"
 _ENDS = b".?\n"
 #: ASCII letters are lower-cased; the ends of sentences become marks, other ASCII signs spaces.
 _LETTERS = bytes(
@@ -60,24 +59,20 @@ class Model:
     bias: float
     weights: dict[bytes, float]
     leak: float = -np.inf
-    #: Of words met so far: 0 without a weight, 1 the end of a sentence, 2 with a weight.
-    known: dict[bytes, int] = field(default_factory=lambda: {_END: 1}, repr=False)
+
+    @cached_property
+    def _prefixes(self) -> frozenset[bytes]:
+        """The learned prefixes, without their mark."""
+        return frozenset(f[1:] for f in self.weights if f.startswith(_PREFIXED))
 
     def sentences(self, text: str | None) -> list[frozenset[bytes]]:
         """The learned features of each sentence that has words, in order."""
-        words = tokens(text)
-        kinds = np.fromiter(map(self.known.get, words, repeat(-1)), np.int8, len(words))
-        for at in np.nonzero(kinds < 0)[0].tolist():
-            word = words[at]
-            if word not in self.known:
-                self.known[word] = 0 if self.weights.keys().isdisjoint(_features([word])) else 2
-            kinds[at] = self.known[word]
-        ends = kinds == 1
-        number = np.cumsum(ends)
-        learned: dict[int, set[bytes]] = {}
-        for at in np.nonzero(kinds == 2)[0].tolist():
-            learned.setdefault(int(number[at]), set()).update(_features([words[at]]) & self.weights.keys())
-        return [frozenset(learned.get(n, _NONE)) for n in np.unique(number[~ends]).tolist()]
+        weights, prefixes, found = self.weights, self._prefixes, []
+        for sentence in (text or "").encode().translate(_LETTERS).split(_END):
+            if words := sentence.split():
+                learned = [w for w in words if w in weights or w[:PREFIX] in prefixes]
+                found.append(frozenset(_features(learned) & weights.keys()) if learned else _NONE)
+        return found
 
     def logit(self, learned: frozenset[bytes]) -> float:
         """Of a sentence; without learned words it can't be toxic."""
@@ -101,7 +96,7 @@ def noisy_or(logits: np.ndarray) -> float:
 
 def _features(words: list[bytes]) -> set[bytes]:
     """Words, and their prefixes after a mark."""
-    return {x for w in words if w != _END for x in (w, b"\x02" + w[:PREFIX])}
+    return {x for w in words if w != _END for x in (w, _PREFIXED + w[:PREFIX])}
 
 
 def _telling(bags: list[list[bytes]], y: np.ndarray) -> list[bytes]:
@@ -183,10 +178,8 @@ def score(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
     held = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the sample it was fitted on
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fitted, own = held.value, None
+        own = held.value
         for batch in in_portions(batches):
-            if own is None or len(own.known) > REMEMBERED:
-                own = Model(fitted.bias, fitted.weights, fitted.leak)
             scores, found = [], []
             for text in batch.column(batch.schema.get_field_index("text")):
                 text = text.as_py() or ""

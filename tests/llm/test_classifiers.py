@@ -137,3 +137,13 @@ def test_held_out_accuracy(spark, name, label, recall, precision):
     hit, real, said = (F.count_if(F.expr(x)) for x in (f"predicted = 1 AND {label} = 1", f"{label} = 1", "predicted = 1"))
     counts = found.agg(hit.alias("hit"), real.alias("real"), said.alias("said")).first()
     assert counts["hit"] >= recall * counts["real"] and counts["hit"] >= precision * counts["said"]
+
+
+def test_sentences_of_texts_of_many_words_are_not_remembered():
+    model = toxicity.Model(-8.0, {b"bad": 5.0, b"\x02wors": 1.0, b"\x02worst": 2.0})
+    before = {name: value for name, value in vars(model).items() if name != "_prefixes"}
+    text = "Bad " + " ".join(f"n{i}" for i in range(5000)) + ". .worstever, bad?\n fine \x01 x"
+    assert model.sentences(text) == [{b"bad"}, {b"bad", b"\x02worst"}, set()]
+    assert model.sentences(None) == [] and model.sentences("..?") == []
+    assert {name: value for name, value in vars(model).items() if name != "_prefixes"} == before
+    assert not any(isinstance(value, dict) and len(value) > 3 for value in vars(model).values())

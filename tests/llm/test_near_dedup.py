@@ -139,3 +139,13 @@ def test_components_that_are_stars_already_are_not_worked_on(frame, monkeypatch)
     assert sorted(map(tuple, components(frame(star, "a long, b long")).collect())) == [*((n, 1) for n in range(2, 30)), (41, 40)]
     assert written == ["links"]
     assert sorted(map(tuple, components(frame([(1, 2), (2, 3), (3, 4)], "a long, b long")).collect())) == [(2, 1), (3, 1), (4, 1)]
+
+
+def test_a_shingler_keeps_no_words_and_gives_sorted_sets():
+    shingler = near_dedup.Shingler(near_dedup.Similarity(words=2, percent=80))
+    before = dict(vars(shingler))
+    text = " ".join(f"w{i % 700}" for i in range(3000))
+    found = shingler(text)
+    assert vars(shingler) == before
+    assert len(found) == 700 and (found[1:] > found[:-1]).all()
+    assert (found == shingler(text.upper())).all() and not len(shingler(None)) and len(shingler("w")) == 1
